@@ -16,6 +16,7 @@ from starmill.functions.dates import (  # noqa: E402
     day_of,
     millis,
     month_first,
+    time_text,
     timestamp_from_millis,
 )
 from starmill.functions.text import like_class  # noqa: E402
@@ -140,15 +141,22 @@ def profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalise_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text dates become dates and epoch milliseconds, NaN becomes NULL, NULL text a word."""
+    """Text dates become dates and times, NaN becomes NULL, a missing text becomes a word."""
     events = _events_as_text(spark, sf_dir)
-    profiles = column_profiles(events)
-    as_dates = normalise(events, profiles, null_text="None")
-    as_millis = normalise(events, profiles, dates="millis").select(
-        "event_id", F.col("iso_day").alias("iso_day_millis"), F.col("ts").alias("ts_millis")
+    dated = normalise(events, column_profiles(events), null_text="None")
+    return dated.withColumn("ts", millis(F.col("ts"), dated.schema["ts"].dataType))
+
+
+def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as they are staged: every date and time in epoch milliseconds."""
+    events = _events_as_text(spark, sf_dir)
+    return normalise(events, column_profiles(events), dates="millis")
+
+
+def times_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample.read(spark, sf_dir, "events").select(
+        "event_id", time_text(F.col("ts")).alias("written"), F.floor("value").cast("int").alias("whole")
     )
-    days = as_dates.select("event_id", "iso_day", "us_day", "event_type", "value", "user_text")
-    return days.join(as_millis, "event_id")
 
 
 def epoch_millis_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +357,8 @@ _QUERIES: tuple[Query, ...] = (
     profile_orders,
     profile_documents,
     normalise_events,
+    staged_events,
+    times_as_text,
     epoch_millis_roundtrip,
     month_first_dates,
     table_inventory,

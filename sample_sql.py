@@ -261,12 +261,22 @@ ORACLES = {
     # milliseconds are cut, not rounded
     "normalise_events": f"""
         WITH {_EVENTS_TEXT}
-        SELECT event_id, CAST(iso_day AS DATE) AS iso_day,
+        SELECT event_id, epoch_us(ts_value) // 1000 AS ts, CAST(iso_day AS DATE) AS iso_day,
                CAST(strptime(us_day, '%m/%d/%y') AS DATE) AS us_day,
-               coalesce(event_type, 'None') AS event_type, value, user_text,
-               epoch_ms(CAST(CAST(iso_day AS DATE) AS TIMESTAMP)) AS iso_day_millis,
-               epoch_us(ts_value) // 1000 AS ts_millis
+               coalesce(event_type, 'None') AS event_type, value, user_text
         FROM events_text""",
+    "staged_events": f"""
+        WITH {_EVENTS_TEXT}
+        SELECT event_id, epoch_us(ts_value) // 1000 AS ts,
+               epoch_us(CAST(CAST(iso_day AS DATE) AS TIMESTAMP)) // 1000 AS iso_day,
+               epoch_us(strptime(us_day, '%m/%d/%y')) // 1000 AS us_day,
+               event_type, value, user_text
+        FROM events_text""",
+    "times_as_text": """
+        SELECT event_id, strftime(ts, '%d %b %Y %H:%M:%S:') ||
+                   lpad(CAST((epoch_us(ts) // 1000) % 1000 AS VARCHAR), 3, '0') AS written,
+               CAST(floor(value) AS INTEGER) AS whole
+        FROM events""",
     "epoch_millis_roundtrip": f"""
         WITH {_ORDERS}
         SELECT order_id, epoch_ms(CAST(order_date AS TIMESTAMP)) AS order_millis,

@@ -65,3 +65,8 @@ def iso_duration(c: Column) -> Column:
     return F.concat(
         F.lit("P"), d, F.lit("DT"), h, F.lit("H"), m, F.lit("M"), s, F.lit("S")
     )
+
+
+def time_text(c: Column) -> Column:
+    """Day, month name, year and milliseconds: ``09 Mar 1998 14:05:07:123``."""
+    return F.date_format(c, "dd MMM yyyy HH:mm:ss:SSS")

@@ -56,12 +56,10 @@ def date_ids(
 def with_role_dates(df: DataFrame, calendar_df: DataFrame, roles: Mapping[str, str]) -> DataFrame:
     """Adds one calendar id per role by joining the given calendar once per role.
 
-    For a calendar whose ids are not consecutive days. The calendar holds one row per day, so
-    its size is bounded by the day type and each join is a broadcast.
+    For a calendar whose ids are not consecutive days. Spark broadcasts the calendar when its
+    size allows.
     """
     for source, target in roles.items():
-        lookup = F.broadcast(
-            calendar_df.select(F.col("date").alias("__day"), F.col("date_id").alias(target))
-        )
+        lookup = calendar_df.select(F.col("date").alias("__day"), F.col("date_id").alias(target))
         df = df.join(lookup, day_of(df, source) == F.col("__day"), "left").drop("__day")
     return df

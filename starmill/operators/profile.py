@@ -14,15 +14,16 @@ from starmill.functions.text import null_as_text
 
 @dataclass(frozen=True)
 class DateForm:
-    """One way to write a date as text. ``parse`` gives NULL for what does not fit."""
+    """One way to write a date as text. ``parse`` gives NULL for what is no such date."""
 
     name: str
     pattern: str
     parse: Callable[[Column], Column]
 
 
-# The written forms that count as dates, and the years a nanosecond clock can
-# hold, outside of which a text column stays text. Plain numbers are no dates.
+# The written forms that count as dates, of which a text fits at most one, and the
+# years a nanosecond clock can hold, outside of which a text column stays text. Plain numbers are
+# no dates.
 DATE_FORMS = (
     DateForm("iso_day", r"^\d{4}-\d{2}-\d{2}$", lambda c: c.try_cast("timestamp_ntz")),
     DateForm(
@@ -48,12 +49,27 @@ FIRST_YEAR, LAST_YEAR = 1678, 2261
 LONGEST_DATE_TEXT = 40
 
 
+def form_name(c: Column) -> Column:
+    """The written form a text fits. Long texts are ruled out by their length alone."""
+    found = F.lit(None).cast("string")
+    for form in reversed(DATE_FORMS):
+        found = F.when(c.rlike(form.pattern), F.lit(form.name)).otherwise(found)
+    return F.when(F.length(c) <= LONGEST_DATE_TEXT, found)
+
+
 def parse_form(c: Column, form: DateForm) -> Column:
-    fits = (F.length(c) <= LONGEST_DATE_TEXT) & c.rlike(form.pattern)
-    parsed = form.parse(F.when(fits, c))
+    parsed = form.parse(c)
     return F.when(F.year(parsed).between(FIRST_YEAR, LAST_YEAR), parsed)
 
 
+def parse_text(c: Column, name: Column) -> Column:
+    """A text as a timestamp, by the form it fits; NULL when it is no date."""
+    parsed = F.lit(None).cast("timestamp_ntz")
+    for form in reversed(DATE_FORMS):
+        parsed = F.when(name == form.name, form.parse(c)).otherwise(parsed)
+    return parsed
+
+
 def staged_type(dtype: T.DataType) -> T.DataType:
     """The type a column is staged as."""
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
@@ -96,27 +112,38 @@ def _midnight(c: Column) -> Column:
     return F.coalesce(F.bool_and(c == F.to_date(c).cast("timestamp_ntz")), F.lit(False))
 
 
-def _facts(fields: list[T.StructField]) -> list[Column]:
-    """Every aggregate of every column, so that one pass over the table answers all."""
-    facts = [F.count(F.lit(1)).alias("rows")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        facts.append(F.count(_null_safe(c, f)).alias(f"n{i}"))
-        if _is_text(f):
-            for form in DATE_FORMS:
-                parsed = parse_form(c, form)
-                facts.append(F.count(parsed).alias(f"d{i}_{form.name}"))
-                facts.append(_midnight(parsed).alias(f"m{i}_{form.name}"))
-        elif _is_moment(f):
-            facts.append(_midnight(c.cast("timestamp_ntz")).alias(f"m{i}"))
-    return facts
-
-
 def _null_safe(c: Column, f: T.StructField) -> Column:
     """A missing number (NaN) counts as NULL."""
     return nan_to_null(c) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c
 
 
+def _facts(df: DataFrame) -> DataFrame:
+    """One row with every fact of every column, from one pass over the table.
+
+    Texts are matched and parsed once per value, in projections below the aggregate.
+    """
+    fields = df.schema.fields
+    columns = [F.col(f"`{f.name}`") for f in fields]
+    values, names, parsed, facts = [], [], [], [F.count(F.lit(1)).alias("rows")]
+    for i, (f, c) in enumerate(zip(fields, columns)):
+        values.append(_null_safe(c, f).alias(f"v{i}"))
+        facts.append(F.count(f"v{i}").alias(f"n{i}"))
+        if _is_text(f):
+            names.append(form_name(F.col(f"v{i}")).alias(f"f{i}"))
+            parsed.append(parse_text(F.col(f"v{i}"), F.col(f"f{i}")).alias(f"t{i}"))
+            t = F.col(f"t{i}")
+            dated = F.year(t).between(FIRST_YEAR, LAST_YEAR)
+            facts += [
+                F.count_if(dated).alias(f"d{i}"),
+                F.min(f"f{i}").alias(f"lo{i}"),
+                F.max(f"f{i}").alias(f"hi{i}"),
+                _midnight(t).alias(f"m{i}"),
+            ]
+        elif _is_moment(f):
+            facts.append(_midnight(F.col(f"v{i}").cast("timestamp_ntz")).alias(f"m{i}"))
+    return df.select(*values).select("*", *names).select("*", *parsed).agg(*facts)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: types, null count, date-likeness.
 
@@ -127,21 +154,17 @@ def profile(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     if not fields:
         raise ValueError("a table without columns has no profile")
-    wide = df.agg(*_facts(fields))
+    wide = _facts(df)
     entries = []
     for i, f in enumerate(fields):
         n = F.col(f"n{i}")
         form = F.lit(None).cast("string")
         logical = F.lit(None).cast("string")
         if _is_text(f):
-            day = F.lit(False)
-            for d in reversed(DATE_FORMS):
-                fits = (n > 0) & (F.col(f"d{i}_{d.name}") == n)
-                form = F.when(fits, F.lit(d.name)).otherwise(form)
-                day = F.when(fits, F.col(f"m{i}_{d.name}")).otherwise(day)
-            logical = F.when(
-                form.isNotNull(), F.when(day, F.lit("date")).otherwise(F.lit("timestamp"))
-            )
+            one_form = F.col(f"lo{i}") == F.col(f"hi{i}")
+            form = F.when((n > 0) & (F.col(f"d{i}") == n) & one_form, F.col(f"lo{i}"))
+            day = F.when(F.col(f"m{i}"), F.lit("date")).otherwise(F.lit("timestamp"))
+            logical = F.when(form.isNotNull(), day)
         elif isinstance(f.dataType, T.DateType):
             logical = F.lit("date")
         elif _is_moment(f):

@@ -14,14 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmill.operators.profile import column_profiles, normalise
 from starmill.plans import star
+from starmill.session import scratch_dir
 from starmill.sinks.staging import stage
 from starmill.sinks.warehouse import load_table, replace_table
-from starmill.sources.folders import list_staged
+from starmill.sources.folders import list_staged, read_staged
 
 log = logging.getLogger(__name__)
 
 
 class Source(Protocol):
+    """``stable`` tells that a second read is cheap and gives the same rows."""
+
+    stable: bool
+
     def tables(self) -> list[str]: ...
 
     def read(self, table: str) -> DataFrame: ...
@@ -41,27 +46,35 @@ class Run:
     tables_at_once: int = 4
 
 
-def _each(work: Callable[[str], None], names: Iterable[str], n: int) -> None:
+def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str], n: int) -> None:
     """Runs ``work`` for every name; the first failure is raised."""
     with ThreadPoolExecutor(n) as pool:
-        for done in [pool.submit(inheritable_thread_target(work), name) for name in names]:
+        for done in [pool.submit(inheritable_thread_target(spark)(work), name) for name in names]:
             done.result()
 
 
 def extract(spark: SparkSession, source: Source, run: Run) -> list[str]:
-    """Profiles, casts and stages every base table of the source."""
+    """Profiles, casts and stages every base table of the source.
+
+    The profile and the cast each read the table. A source that is not stable is read once, into
+    the scratch folder, and both work from there.
+    """
     names = source.tables()
     log.info("tables to extract: %s", names)
+    landing = None if source.stable else scratch_dir(spark, "landing")
 
     def one(name: str) -> None:
         df = source.read(name)
+        if landing:
+            stage(df, landing, name, "parquet")
+            df = read_staged(spark, landing, name, "parquet")
         profiles = column_profiles(df)
         path = stage(
             normalise(df, profiles, run.null_text, run.dates), run.staging_root, name, run.fmt
         )
         log.info("staged %s", path)
 
-    _each(one, names, run.tables_at_once)
+    _each(spark, one, names, run.tables_at_once)
     return names
 
 
@@ -73,7 +86,7 @@ def load(spark: SparkSession, run: Run) -> list[str]:
         load_table(spark, run.staging_root, name, run.raw_db, run.fmt)
         log.info("loaded %s.%s", run.raw_db, name)
 
-    _each(one, names, run.tables_at_once)
+    _each(spark, one, names, run.tables_at_once)
     return names
 
 

@@ -59,17 +59,22 @@ def dim_products(t: Tables) -> DataFrame:
 def dim_employees(t: Tables, country: str = "USA", hire_date: str = "date") -> DataFrame:
     """One row per employee and region, with the number of territories there.
 
-    The bridge is counted per employee and region before it meets the employees: the counts
-    combine ahead of the shuffle, so a busy employee costs no more than any other.
+    Territories learn their region first, so the bridge is joined once. It is counted per
+    employee and region before it meets the employees: the counts combine ahead of the shuffle,
+    so a busy employee costs no more than any other.
     ``hire_date="millis"`` keeps the epoch milliseconds of a staged file.
     """
-    home = t["territories"].select("territory_id", "region_id")
     regions = t["region"].select("region_id", "region_description")
+    home = (
+        t["territories"]
+        .select("territory_id", "region_id")
+        .join(regions, "region_id", "left")
+        .select("territory_id", "region_description")
+    )
     managed = (
         t["employee_territories"]
         .select("employee_id", "territory_id")
         .join(home, "territory_id", "left")
-        .join(regions, "region_id", "left")
         .groupBy("employee_id", "region_description")
         .agg(F.count("territory_id").alias("n"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,8 @@ class CatalogSource:
     spark: SparkSession
     db: str
 
+    stable: ClassVar[bool] = True
+
     def tables(self) -> list[str]:
         return list_tables(self.spark, self.db)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -61,6 +62,8 @@ class FolderSource:
     root: str
     fmt: str = "parquet"
 
+    stable: ClassVar[bool] = True
+
     def tables(self) -> list[str]:
         return list_staged(self.spark, self.root, self.fmt)
 

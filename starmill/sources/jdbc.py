@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Split:
@@ -39,6 +43,7 @@ class JdbcSource:
     options: Mapping[str, str]
     schema: str = "public"
     splits: Mapping[str, Split] = field(default_factory=dict)
+    stable: ClassVar[bool] = False
 
     def query(self, sql: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options).option("query", sql).load()
@@ -64,6 +69,7 @@ class JdbcSource:
         name = f"{self.schema}.{table}"
         reader = self.spark.read.format("jdbc").options(**self.options)
         if split is None:
+            log.warning("%s has no split: one task reads it", name)
             return reader.option("dbtable", name).load()
         if split.predicates:
             properties = {k: v for k, v in self.options.items() if k != "url"}

@@ -1,0 +1,125 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from starmill.functions import dates, numbers, text
+
+
+def one(spark, schema, values, column):
+    df = spark.createDataFrame([(v,) for v in values], schema)
+    return [r[0] for r in df.select(column).collect()]
+
+
+def test_day_from_millis_counts_utc_days_before_1970_too(spark):
+    assert one(spark, "c long", [0, 86_399_999, 86_400_000, -1, None], dates.day_from_millis(F.col("c"))) == [
+        dt.date(1970, 1, 1),
+        dt.date(1970, 1, 1),
+        dt.date(1970, 1, 2),
+        dt.date(1969, 12, 31),
+        None,
+    ]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_date_to_millis_and_back_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        days = [dt.date(1996, 7, 4), dt.date(1969, 1, 1), None]
+        back = dates.day_from_millis(dates.millis(F.col("c"), T.DateType()))
+        assert one(spark, "c date", days, back) == days
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_day_of_takes_dates_timestamps_and_millis(spark):
+    df = spark.sql(
+        "select date'1998-05-06' as a, timestamp_ntz'1998-05-06 23:59:59' as b, "
+        "894412800000L as c, timestamp'1998-05-06 01:00:00' as d"
+    )
+    row = df.select(*[dates.day_of(df, c).alias(c) for c in df.columns]).first()
+    assert set(row) == {dt.date(1998, 5, 6)}
+
+
+def test_month_first_keeps_two_digit_years_before_2050(spark):
+    values = ["06/12/94", "5/22/93", "1/1/49", "1/1/50", "02/30/94", "06/12/1894", "12209", "", None]
+    got = one(spark, "c string", values, dates.month_first(F.col("c")))
+    assert got == [
+        dt.datetime(1994, 6, 12),
+        dt.datetime(1993, 5, 22),
+        dt.datetime(2049, 1, 1),
+        dt.datetime(1950, 1, 1),
+        None,
+        dt.datetime(1894, 6, 12),
+        None,
+        None,
+        None,
+    ]
+
+
+def test_iso_duration(spark):
+    df = spark.sql("select interval '1 02:03:04.5' day to second as c")
+    assert df.select(dates.iso_duration(F.col("c"))).first()[0] == "P1DT2H3M4.500000S"
+
+
+def test_time_text(spark):
+    df = spark.sql("select timestamp_ntz'1998-03-09 14:05:07.123456' as c")
+    assert df.select(dates.time_text(F.col("c"))).first()[0] == "09 Mar 1998 14:05:07:123"
+
+
+def test_single_floats_keep_their_decimals(spark):
+    df = spark.createDataFrame([(0.15,), (None,), (14.0,)], "c float")
+    assert [r[0] for r in df.select(numbers.widen_float(F.col("c"))).collect()] == [0.15, None, 14.0]
+
+
+def test_nan_becomes_null_and_null_stays(spark):
+    assert one(spark, "c double", [float("nan"), None, 1.5], numbers.nan_to_null(F.col("c"))) == [
+        None,
+        None,
+        1.5,
+    ]
+
+
+def test_any_non_zero_bit_is_true(spark):
+    assert one(spark, "c int", [0, 1, 3, -1, None], numbers.bit(F.col("c"))) == [
+        False,
+        True,
+        True,
+        True,
+        None,
+    ]
+
+
+def test_ratios_truncate_round_half_up_and_survive_zero(spark):
+    df = spark.createDataFrame([(7, 2), (-7, 2), (1, 0), (None, 2)], "t long, n long")
+    assert [r[0] for r in df.select(numbers.truncated_ratio(F.col("t"), F.col("n"))).collect()] == [
+        3,
+        -3,
+        None,
+        None,
+    ]
+    money = df.select(numbers.half_up_ratio(F.col("t").cast(numbers.MONEY), F.col("n") * 20000))
+    assert [r[0] for r in money.collect()] == [Decimal("0.0002"), Decimal("-0.0002"), None, None]
+
+
+def test_like_patterns(spark):
+    def like(pattern, values):
+        return one(spark, "c string", values, text.like_class(F.col("c"), pattern))
+
+    assert like("99[0-9][0-9]", ["9901", "990", "99012", "99x1", "9901\n", None]) == [
+        True,
+        False,
+        False,
+        False,
+        False,
+        None,
+    ]
+    assert like("%cook%", ["mod_cook", "cook", "coo\nk", "a\ncook"]) == [True, True, False, True]
+    assert like("a_c.", ["abc.", "abcd", "ac."]) == [True, False, False]
+
+
+def test_text_helpers(spark):
+    assert one(spark, "c string", ["ALFKI  ", None], text.unpad(F.col("c"))) == ["ALFKI", None]
+    assert one(spark, "c string", ["a", None], text.null_as_text(F.col("c"), "None")) == ["a", "None"]
+    assert one(spark, "c string", ["a", None], text.null_as_text(F.col("c"), None)) == ["a", None]
