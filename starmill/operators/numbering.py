@@ -103,16 +103,24 @@ class RangeBuckets:
         )
 
     def number(self, df: DataFrame, out: str) -> DataFrame:
-        """Adds 1, 2, 3, ... in key order and keeps the bucket column and its partitioning."""
+        """Adds 1, 2, 3, ... in key order and keeps the bucket column and its partitioning.
+
+        A partition holds one bucket, sorted by the keys, so a row's place in its partition is
+        its rank in the bucket: the low bits of ``monotonically_increasing_id``. A window would
+        sort by the bucket first, which compares every pair of rows twice; here the leading key
+        comes first, and a join on the leading key and the bucket needs no further sort.
+        """
         bucketed = self.assign(df)
-        within = F.row_number().over(W.partitionBy(BUCKET).orderBy(*self.keys))
+        lead, *rest = self.keys
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         return (
             self.place(bucketed)
-            .withColumn("__within", within)
+            .sortWithinPartitions(lead, BUCKET, *rest)
+            .withColumn("__place", place)
             # at most MOST_BUCKETS rows of two numbers
             .join(F.broadcast(self.offsets(bucketed)), BUCKET, "left")
-            .withColumn(out, F.col("__before") + F.col("__within"))
-            .drop("__before", "__within")
+            .withColumn(out, F.col("__before") + F.col("__place") + F.lit(1))
+            .drop("__before", "__place")
         )
 
 

@@ -151,7 +151,7 @@ def fact_table(
     extended = F.col("unit_price") * F.col("quantity")
     shipped = F.coalesce(F.col("__shipped"), F.lit(False))
     return (
-        numbered.join(copies, [BUCKET, "order_id"], "left")
+        numbered.join(copies, ["order_id", BUCKET], "left")
         .join(products.select("product_id", "supplier_id"), "product_id", "left")
         .select(
             "fact_id",

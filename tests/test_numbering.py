@@ -110,3 +110,23 @@ def test_bucket_count_follows_the_rows(spark, monkeypatch):
     monkeypatch.setattr(numbering, "MOST_BUCKETS", 20)
     ranges = range_buckets(spark.range(5000).select(F.col("id").alias("a")), ["a"])
     assert ranges.count == 20
+
+
+def test_numbers_do_not_depend_on_what_follows(spark):
+    """Sorts, filters and joins after the numbering must not reach below it."""
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("a"), (F.col("id") % 5).alias("b"))
+    numbered = global_row_number(df, ["a", "b"], "n", 11)
+    want = {
+        r["a"]: r["n"]
+        for r in df.withColumn("n", F.row_number().over(W.orderBy("a", "b"))).collect()
+    }
+    for after in (
+        numbered.orderBy(F.desc("b"), "a"),
+        numbered.filter("b = 3"),
+        numbered.filter("n % 2 = 0").repartition(3),
+        numbered.join(df.select("a").filter("a > 100"), "a"),
+        numbered.groupBy("a").agg(F.max("n").alias("n")),
+        numbered.sort("b").limit(50),
+    ):
+        rows = after.collect()
+        assert rows and all(want[r["a"]] == r["n"] for r in rows)
