@@ -1,9 +1,10 @@
-"""Column profile of a table in one aggregate job, and the casts that follow from it."""
+"""Column profile of a table in one job, and the casts that follow from it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -47,14 +48,27 @@ DATE_FORMS = (
 )
 FIRST_YEAR, LAST_YEAR = 1678, 2261
 LONGEST_DATE_TEXT = 40
+# the forms before this one have a dash as fifth character, the others a slash somewhere
+DASHED = 3
 
 
-def form_name(c: Column) -> Column:
-    """The written form a text fits. Long texts are ruled out by their length alone."""
-    found = F.lit(None).cast("string")
-    for form in reversed(DATE_FORMS):
-        found = F.when(c.rlike(form.pattern), F.lit(form.name)).otherwise(found)
-    return F.when(F.length(c) <= LONGEST_DATE_TEXT, found)
+def form_number(c: Column) -> Column:
+    """Which written form a text fits, counted from 1. Most texts that are no dates are ruled
+    out by their length and one character, before any pattern is tried.
+    """
+
+    def first_fit(start: int, stop: int) -> Column:
+        found = F.lit(None).cast("int")
+        for i in reversed(range(start, stop)):
+            found = F.when(c.rlike(DATE_FORMS[i].pattern), F.lit(i + 1)).otherwise(found)
+        return found
+
+    return F.when(
+        F.length(c) <= LONGEST_DATE_TEXT,
+        F.when(F.substring(c, 5, 1) == "-", first_fit(0, DASHED)).when(
+            F.contains(c, F.lit("/")), first_fit(DASHED, len(DATE_FORMS))
+        ),
+    )
 
 
 def parse_form(c: Column, form: DateForm) -> Column:
@@ -62,11 +76,11 @@ def parse_form(c: Column, form: DateForm) -> Column:
     return F.when(F.year(parsed).between(FIRST_YEAR, LAST_YEAR), parsed)
 
 
-def parse_text(c: Column, name: Column) -> Column:
+def parse_text(c: Column, number: Column) -> Column:
     """A text as a timestamp, by the form it fits; NULL when it is no date."""
     parsed = F.lit(None).cast("timestamp_ntz")
-    for form in reversed(DATE_FORMS):
-        parsed = F.when(name == form.name, form.parse(c)).otherwise(parsed)
+    for i, form in reversed(list(enumerate(DATE_FORMS, 1))):
+        parsed = F.when(number == i, form.parse(c)).otherwise(parsed)
     return parsed
 
 
@@ -117,31 +131,64 @@ def _null_safe(c: Column, f: T.StructField) -> Column:
     return nan_to_null(c) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c
 
 
-def _facts(df: DataFrame) -> DataFrame:
-    """One row with every fact of every column, from one pass over the table.
+def _text_facts(df: DataFrame, positions: list[int]) -> DataFrame:
+    """Facts of the text columns: one row per column.
 
-    Texts are matched and parsed once per value, in projections below the aggregate.
+    The texts of a row become rows of (column, text), so that one short expression serves all
+    columns and compiles well, however wide the table is. A row of weight zero per column makes
+    the columns of an empty table appear.
     """
-    fields = df.schema.fields
-    columns = [F.col(f"`{f.name}`") for f in fields]
-    values, names, parsed, facts = [], [], [], [F.count(F.lit(1)).alias("rows")]
-    for i, (f, c) in enumerate(zip(fields, columns)):
-        values.append(_null_safe(c, f).alias(f"v{i}"))
-        facts.append(F.count(f"v{i}").alias(f"n{i}"))
-        if _is_text(f):
-            names.append(form_name(F.col(f"v{i}")).alias(f"f{i}"))
-            parsed.append(parse_text(F.col(f"v{i}"), F.col(f"f{i}")).alias(f"t{i}"))
-            t = F.col(f"t{i}")
-            dated = F.year(t).between(FIRST_YEAR, LAST_YEAR)
-            facts += [
-                F.count_if(dated).alias(f"d{i}"),
-                F.min(f"f{i}").alias(f"lo{i}"),
-                F.max(f"f{i}").alias(f"hi{i}"),
-                _midnight(t).alias(f"m{i}"),
-            ]
-        elif _is_moment(f):
-            facts.append(_midnight(F.col(f"v{i}").cast("timestamp_ntz")).alias(f"m{i}"))
-    return df.select(*values).select("*", *names).select("*", *parsed).agg(*facts)
+    texts = [F.col(f"`{df.columns[i]}`").cast("string") for i in positions]
+    cells = df.select(F.posexplode(F.array(*texts)).alias("at", "v")).withColumn("weight", F.lit(1))
+    seeds = df.sparkSession.range(len(positions)).select(
+        F.col("id").cast("int").alias("at"), F.lit(None).alias("v"), F.lit(0).alias("weight")
+    )
+    parsed = (
+        cells.unionByName(seeds)
+        .withColumn("form", form_number(F.col("v")))
+        .withColumn("t", parse_text(F.col("v"), F.col("form")))
+    )
+    facts = parsed.groupBy("at").agg(
+        F.sum("weight").alias("rows"),
+        F.count("v").alias("n"),
+        F.count_if(F.year("t").between(FIRST_YEAR, LAST_YEAR)).alias("dated"),
+        F.min("form").alias("first_form"),
+        F.max("form").alias("last_form"),
+        _midnight(F.col("t")).alias("midnight"),
+    )
+    names = F.array(*[F.lit(d.name) for d in DATE_FORMS])
+    one_form = F.col("first_form") == F.col("last_form")
+    fits = (F.col("n") > 0) & (F.col("dated") == F.col("n")) & one_form
+    return facts.select(
+        F.get(F.array(*map(F.lit, positions)), F.col("at")).alias("position"),
+        "rows",
+        "n",
+        F.when(fits, F.get(names, F.col("first_form") - 1)).alias("date_form"),
+        "midnight",
+    )
+
+
+def _typed_facts(df: DataFrame, positions: list[int]) -> DataFrame:
+    """The same facts of the other columns, from one aggregate over all of them."""
+    wanted, rows = [F.count(F.lit(1)).alias("rows")], []
+    for i in positions:
+        f = df.schema.fields[i]
+        c = F.col(f"`{f.name}`")
+        wanted.append(F.count(_null_safe(c, f)).alias(f"n{i}"))
+        midnight = F.lit(isinstance(f.dataType, T.DateType))
+        if _is_moment(f):
+            wanted.append(_midnight(c.cast("timestamp_ntz")).alias(f"m{i}"))
+            midnight = F.col(f"m{i}")
+        rows.append(
+            F.struct(
+                F.lit(i).alias("position"),
+                "rows",
+                F.col(f"n{i}").alias("n"),
+                F.lit(None).cast("string").alias("date_form"),
+                midnight.alias("midnight"),
+            )
+        )
+    return df.agg(*wanted).select(F.inline(F.array(*rows)))
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -149,48 +196,48 @@ def profile(df: DataFrame) -> DataFrame:
 
     A text column is date-like when it has a value and all its values parse in one and the same
     written form. A boolean column is always nullable. A date-like column is a date when every
-    value is at midnight, else a timestamp.
+    value is at midnight, else a timestamp. Every column is read once.
     """
     fields = df.schema.fields
-    if not fields:
+    texts = [i for i, f in enumerate(fields) if _is_text(f)]
+    others = [i for i, f in enumerate(fields) if not _is_text(f)]
+    parts = []
+    if texts:
+        parts.append(_text_facts(df, texts))
+    if others:
+        parts.append(_typed_facts(df, others))
+    if not parts:
         raise ValueError("a table without columns has no profile")
-    wide = _facts(df)
-    entries = []
-    for i, f in enumerate(fields):
-        n = F.col(f"n{i}")
-        form = F.lit(None).cast("string")
-        logical = F.lit(None).cast("string")
-        if _is_text(f):
-            one_form = F.col(f"lo{i}") == F.col(f"hi{i}")
-            form = F.when((n > 0) & (F.col(f"d{i}") == n) & one_form, F.col(f"lo{i}"))
-            day = F.when(F.col(f"m{i}"), F.lit("date")).otherwise(F.lit("timestamp"))
-            logical = F.when(form.isNotNull(), day)
-        elif isinstance(f.dataType, T.DateType):
-            logical = F.lit("date")
-        elif _is_moment(f):
-            logical = F.when(F.col(f"m{i}"), F.lit("date")).otherwise(F.lit("timestamp"))
-        elif isinstance(f.dataType, T.DayTimeIntervalType):
-            logical = F.lit("duration")
-        staged = F.coalesce(
-            F.when(logical == "date", F.lit("date")),
-            F.when(logical == "timestamp", F.lit("timestamp_ntz")),
-            F.lit(staged_type(f.dataType).simpleString()),
-        )
-        nulls = F.col("rows") - n
-        entries.append(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(i).alias("position"),
-                F.lit(f.dataType.simpleString()).alias("source_type"),
-                staged.alias("staged_type"),
-                F.col("rows").alias("rows"),
-                nulls.alias("nulls"),
-                (F.lit(isinstance(f.dataType, T.BooleanType)) | (nulls > 0)).alias("nullable"),
-                form.alias("date_form"),
-                logical.alias("logical_type"),
-            )
-        )
-    return wide.select(F.inline(F.array(*entries)))
+    facts = reduce(DataFrame.unionByName, parts)
+
+    def per_column(values: list) -> Column:
+        return F.get(F.array(*map(F.lit, values)), F.col("position"))
+
+    timed = per_column(
+        [_is_moment(f) or isinstance(f.dataType, T.DateType) for f in fields]
+    ) | F.col("date_form").isNotNull()
+    spans = per_column([isinstance(f.dataType, T.DayTimeIntervalType) for f in fields])
+    nulls = F.col("rows") - F.col("n")
+    logical = F.when(
+        timed, F.when(F.col("midnight"), F.lit("date")).otherwise(F.lit("timestamp"))
+    ).when(spans, F.lit("duration"))
+    staged = (
+        F.when(F.col("logical_type") == "date", F.lit("date"))
+        .when(F.col("logical_type") == "timestamp", F.lit("timestamp_ntz"))
+        .otherwise(per_column([staged_type(f.dataType).simpleString() for f in fields]))
+    )
+    always_nullable = per_column([isinstance(f.dataType, T.BooleanType) for f in fields])
+    return facts.withColumn("logical_type", logical).select(
+        per_column([f.name for f in fields]).alias("column"),
+        "position",
+        per_column([f.dataType.simpleString() for f in fields]).alias("source_type"),
+        staged.alias("staged_type"),
+        "rows",
+        nulls.alias("nulls"),
+        (always_nullable | (nulls > 0)).alias("nullable"),
+        "date_form",
+        "logical_type",
+    )
 
 
 def column_profiles(df: DataFrame) -> list[ColumnProfile]:

@@ -59,12 +59,16 @@ def _key_json(columns: Sequence[str]) -> Column:
 def row_violations(
     df: DataFrame, table: str, key: Sequence[str], rules: Sequence[RowRule]
 ) -> DataFrame:
-    """All row rules of a table in a single scan; one line per row and broken rule."""
+    """All row rules of a table in a single scan; one line per row and broken rule.
+
+    Kept rows are dropped before any line is built.
+    """
     hits = [
         F.when(r.broken, F.struct(F.lit(r.name).alias("rule"), r.detail.alias("detail")))
         for r in rules
     ]
-    found = df.select(
+    some = reduce(lambda a, b: a | b, [F.coalesce(r.broken, F.lit(False)) for r in rules])
+    found = df.filter(some).select(
         _key_json(key).alias("key"), F.explode(F.array_compact(F.array(*hits))).alias("hit")
     )
     return found.select(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.operators import quality as dq
+from starmill.operators.numbering import global_row_number
 from starmill.schemas.order_entry import ORDER_ENTRY
 from starmill.schemas.publishing import PUBLISHING
 from tests import order_fixture
@@ -133,6 +134,15 @@ def test_identity_columns_are_numbered_by_the_caller(spark):
         PUBLISHING["jobs"].fill(spark.createDataFrame([("a", 10, 20)], "job_desc string, min_lvl int, max_lvl int"))
 
 
+def test_identity_starts_at_one_in_the_stated_order(spark):
+    given = spark.createDataFrame(
+        [(20, "b", 10, 20), (10, "a", 10, 20), (30, "c", 10, 20)],
+        "place int, job_desc string, min_lvl int, max_lvl int",
+    )
+    got = PUBLISHING["jobs"].fill(global_row_number(given, ["place"], "job_id")).orderBy("job_id")
+    assert [(r["job_id"], r["job_desc"]) for r in got.collect()] == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_order_entry_rules_and_the_gate(spark):
     tables = order_fixture.tables(spark)
     got = dq.violations(tables, ORDER_ENTRY)
