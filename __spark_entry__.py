@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -169,7 +170,7 @@ def epoch_millis_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select(
         "*",
         day_from_millis(F.col("order_millis")).alias("order_day"),
-        F.to_date(timestamp_from_millis(F.col("order_millis"))).alias("order_day_by_time"),
+        F.unix_millis(timestamp_from_millis(F.col("order_millis"))).alias("millis_of_time"),
         day_from_millis(F.col("ship_millis")).alias("ship_day"),
     )
 
@@ -186,17 +187,15 @@ def month_first_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per dataset of the source folder, named by the file each row comes from."""
     source = FolderSource(spark, sf_dir)
-    counted = [
-        source.read(name)
-        .select(table_name_column(F.col("_metadata.file_path"), source.fmt).alias("table_name"))
-        .groupBy("table_name")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    names = [
+        source.read(name).select(
+            table_name_column(F.col("_metadata.file_path"), source.fmt).alias("table_name")
+        )
         for name in source.tables()
     ]
-    out = counted[0]
-    for one in counted[1:]:
-        out = out.unionByName(one)
-    return out
+    return reduce(DataFrame.unionByName, names).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
 
 
 def _database(spark: SparkSession, label: str) -> tuple[str, str]:

@@ -281,7 +281,8 @@ ORACLES = {
         WITH {_ORDERS}
         SELECT order_id, epoch_ms(CAST(order_date AS TIMESTAMP)) AS order_millis,
                epoch_ms(CAST(shipped_date AS TIMESTAMP)) AS ship_millis,
-               order_date AS order_day, order_date AS order_day_by_time, shipped_date AS ship_day
+               order_date AS order_day,
+               epoch_ms(CAST(order_date AS TIMESTAMP)) AS millis_of_time, shipped_date AS ship_day
         FROM orders_v""",
     "month_first_dates": """
         SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%y') AS written,

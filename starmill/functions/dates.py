@@ -17,10 +17,18 @@ def timestamp_from_millis(c: Column) -> Column:
 
 
 def millis(c: Column, dtype: T.DataType) -> Column:
-    """Epoch milliseconds of a date or timestamp column, as staged files hold them."""
+    """Epoch milliseconds of a date or timestamp column, as staged files hold them.
+
+    Dates and timestamps without zone count as UTC in every session zone.
+    """
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_millis(c)
+    midnight = F.unix_date(F.to_date(c)).cast("long") * F.lit(MILLIS_PER_DAY)
     if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long") * F.lit(MILLIS_PER_DAY)
-    return F.unix_millis(c.cast("timestamp"))
+        return midnight
+    minutes = F.hour(c) * F.lit(60) + F.minute(c)
+    within_minute = F.floor(F.extract(F.lit("SECOND"), c) * F.lit(1000)).cast("long")
+    return midnight + minutes * F.lit(60_000) + within_minute
 
 
 def day(c: Column, dtype: T.DataType) -> Column:
@@ -49,10 +57,11 @@ def month_first(c: Column, last_two_digit_year: int = 2049) -> Column:
     long = F.try_to_timestamp(
         F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), text), F.lit("M/d/yyyy")
     )
+    short, long = short.cast("timestamp_ntz"), long.cast("timestamp_ntz")
     moved = F.when(
         F.year(short) > last_two_digit_year, short - F.expr("interval 100 years")
     ).otherwise(short)
-    return F.coalesce(moved, long).cast("timestamp_ntz")
+    return F.coalesce(moved, long)
 
 
 def iso_duration(c: Column) -> Column:

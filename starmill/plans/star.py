@@ -61,7 +61,8 @@ def dim_employees(t: Tables, country: str = "USA", hire_date: str = "date") -> D
 
     Territories learn their region first, so the bridge is joined once. It is counted per
     employee and region before it meets the employees: the counts combine ahead of the shuffle,
-    so a busy employee costs no more than any other.
+    so a busy employee costs no more than any other. Employee rows that agree in every shown
+    column count as one employee with all their territories, as if grouped after the join.
     ``hire_date="millis"`` keeps the epoch milliseconds of a staged file.
     """
     regions = t["region"].select("region_id", "region_description")
@@ -84,18 +85,22 @@ def dim_employees(t: Tables, country: str = "USA", hire_date: str = "date") -> D
         dtype = employees.schema["hire_date"].dataType
         is_millis = dtype.typeName() == "long"
         hired = F.col("hire_date") if is_millis else millis(F.col("hire_date"), dtype)
-    people = employees.select(
-        "employee_id",
-        F.concat("first_name", F.lit(" "), "last_name").alias("employee_full_name"),
-        "title",
-        hired.alias("hire_date"),
+    person = ["employee_id", "employee_full_name", "title", "hire_date"]
+    people = (
+        employees.select(
+            "employee_id",
+            F.concat("first_name", F.lit(" "), "last_name").alias("employee_full_name"),
+            "title",
+            hired.alias("hire_date"),
+        )
+        .groupBy(*person)
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    keys = ["employee_id", "employee_full_name", "title", "hire_date", "region_description"]
-    return (
-        people.join(managed, "employee_id", "left")
-        .groupBy(*keys)
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("number_of_territories_managing"))
-        .select(*keys, F.lit(country).alias("country"), "number_of_territories_managing")
+    return people.join(managed, "employee_id", "left").select(
+        *person,
+        "region_description",
+        F.lit(country).alias("country"),
+        (F.col("copies") * F.coalesce("n", F.lit(0))).alias("number_of_territories_managing"),
     )
 
 

@@ -33,6 +33,24 @@ def test_date_to_millis_and_back_in_any_session_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_times_without_zone_to_millis_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(
+            "select * from values (timestamp_ntz'2021-03-14 02:30:15.987654'), "
+            "(timestamp_ntz'1969-12-31 23:59:59.9995'), (timestamp_ntz'1996-07-04') as t(c)"
+        )
+        got = df.select(dates.millis(F.col("c"), T.TimestampNTZType()))
+        assert got.dtypes[0][1] == "bigint"
+        got = got.collect()
+        assert [r[0] for r in got] == [1615689015987, -1, 836438400000]
+        aware = spark.sql("select timestamp'1970-01-01 00:00:01Z' as c")
+        assert aware.select(dates.millis(F.col("c"), T.TimestampType())).first()[0] == 1000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_day_of_takes_dates_timestamps_and_millis(spark):
     df = spark.sql(
         "select date'1998-05-06' as a, timestamp_ntz'1998-05-06 23:59:59' as b, "

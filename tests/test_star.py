@@ -146,6 +146,19 @@ def test_dim_employees(t):
     assert kept["hire_date"] == 1614556800000
 
 
+def test_equal_employee_rows_are_one_row_with_all_territories(t):
+    twice = t["employees"].unionByName(t["employees"].filter("employee_id = 1"))
+    got = star.dim_employees({**t, "employees": twice}).filter("employee_id = 1").collect()
+    assert {r["region_description"]: r["number_of_territories_managing"] for r in got} == {
+        "East": 2,
+        "West": 4,
+    }
+    renamed = twice.unionByName(
+        t["employees"].filter("employee_id = 1").withColumn("title", F.lit("Other"))
+    )
+    assert star.dim_employees({**t, "employees": renamed}).filter("employee_id = 1").count() == 4
+
+
 def test_a_missing_first_name_leaves_no_full_name(t):
     people = t["employees"].withColumn("first_name", F.when(F.col("employee_id") > 1, F.col("first_name")))
     got = star.dim_employees({**t, "employees": people}).filter("employee_id = 1").collect()
