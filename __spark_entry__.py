@@ -337,6 +337,12 @@ def dq_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.rule_counts(found)
 
 
+def dq_declared_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule that the declarations of three tables imply, counted."""
+    tables = {name: sample.read(spark, sf_dir, name) for name in sample.DECLARED}
+    return dq.rule_counts(dq.violations(tables, sample.DECLARED))
+
+
 _QUERIES: tuple[Query, ...] = (
     dim_suppliers,
     dim_products,
@@ -376,6 +382,7 @@ _QUERIES: tuple[Query, ...] = (
     dq_int_width,
     dq_row_rule,
     dq_rule_counts,
+    dq_declared_rules,
 )
 
 

@@ -356,6 +356,29 @@ ORACLES = {
                CAST(1 AS BIGINT) AS n_rows
         FROM staff
         WHERE (job_id = 1 AND job_lvl <> 10) OR job_lvl NOT BETWEEN min_lvl AND max_lvl""",
+    "dq_declared_rules": """
+        SELECT rule, "table", count(*) AS violations, CAST(sum(n_rows) AS BIGINT) AS n_rows
+        FROM (
+            SELECT 'check:in_credit' AS rule, 'supplier' AS "table", 1 AS n_rows
+            FROM supplier WHERE s_acctbal < 0
+            UNION ALL SELECT 'length:s_name', 'supplier', 1
+            FROM supplier WHERE length(rtrim(s_name)) > 18
+            UNION ALL SELECT 'length:p_name', 'part', 1 FROM part WHERE length(rtrim(p_name)) > 9
+            UNION ALL SELECT 'length:p_brand', 'part', 1 FROM part WHERE length(rtrim(p_brand)) > 8
+            UNION ALL SELECT 'length:p_type', 'part', 1 FROM part WHERE length(rtrim(p_type)) > 8
+            UNION ALL SELECT 'check:brand_pattern', 'part', 1
+            FROM part WHERE NOT regexp_full_match(p_brand, 'Brand#[0-9]')
+            UNION ALL SELECT 'primary_key', 'part', count(*)
+            FROM part GROUP BY p_brand, p_size HAVING count(*) > 1
+            UNION ALL SELECT 'check:some_tax', 'lineitem', 1 FROM lineitem WHERE NOT l_tax > 0.07
+            UNION ALL SELECT 'primary_key', 'lineitem', count(*)
+            FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+            UNION ALL SELECT 'foreign_key:l_partkey', 'lineitem', count(*)
+            FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part) GROUP BY l_partkey
+            UNION ALL SELECT 'foreign_key:l_suppkey', 'lineitem', count(*)
+            FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+            GROUP BY l_suppkey)
+        GROUP BY rule, "table\"""",
     "dq_rule_counts": f"""
         SELECT rule, "table", count(*) AS violations, CAST(sum(n_rows) AS BIGINT) AS n_rows
         FROM ({_PATTERN} UNION ALL {_KNOWN} UNION ALL {_LENGTH} UNION ALL {_PK})

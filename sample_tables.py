@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.functions.dates import day_of
 from starmill.functions.numbers import MONEY
+from starmill.functions.text import like_class
+from starmill.schemas.tables import Check, Table, by_name, number, small, text, tiny, to, whole
 
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -38,6 +40,45 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rules for three test tables, some of which their rows break.
+DECLARED = by_name(
+    Table(
+        "supplier",
+        (
+            small("s_suppkey", True),
+            text("s_name", 18, True),
+            small("s_nationkey", True),
+            number("s_acctbal", True),
+        ),
+        key=("s_suppkey",),
+        checks=(Check("in_credit", lambda: F.col("s_acctbal") >= 0),),
+    ),
+    Table(
+        "part",
+        (
+            whole("p_partkey", True),
+            text("p_name", 9, True),
+            text("p_brand", 8),
+            text("p_type", 8),
+            tiny("p_size", True),
+            number("p_retailprice", True),
+        ),
+        key=("p_brand", "p_size"),
+        checks=(Check("brand_pattern", lambda: like_class(F.col("p_brand"), "Brand#[0-9]")),),
+    ),
+    Table(
+        "lineitem",
+        (whole("l_orderkey", True), whole("l_partkey", True), tiny("l_linenumber", True)),
+        key=("l_orderkey", "l_linenumber"),
+        references=(
+            to("part", "l_partkey", "p_partkey"),
+            to("supplier", "l_suppkey", "s_suppkey"),
+        ),
+        checks=(Check("some_tax", lambda: F.col("l_tax") > 0.07),),
+    ),
+)
+
+
 class Views(dict):
     """Tables by name, each built when it is first asked for."""
 

@@ -67,7 +67,8 @@ class RangeBuckets:
         one, many = T.ArrayType(fields), T.ArrayType(T.ArrayType(fields))
         tops = F.from_json(F.lit(self.tops), one)
         segments = F.from_json(F.lit(self.segments), many)
-        df = df.withColumn(_KEY, _key_struct(key))
+        typed = [c.cast(t) for c, t in zip(key, self.key_types)]
+        df = df.withColumn(_KEY, _key_struct(typed))
         df = _search(df, tops, self.cuts // SEGMENT, _HIGH, strict)
         df = df.withColumn(_SEGMENT, F.get(segments, F.col(_HIGH)))
         df = _search(df, F.col(_SEGMENT), min(self.cuts, SEGMENT), _LOW, strict)
@@ -153,8 +154,13 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None
             )
         ).alias("c")
     )
-    # an empty sample picks NULL only
-    picked = picked.select(F.filter("c", lambda x: x.isNotNull()).alias("c"))
+    # JSON drops what it cannot hold, such as microseconds, so the order is made after one trip;
+    # a second trip changes nothing. An empty sample picks NULL only.
+    cut = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
+    kept = F.filter("c", lambda x: x.isNotNull())
+    picked = picked.select(
+        F.sort_array(F.array_distinct(F.from_json(F.to_json(kept), T.ArrayType(cut)))).alias("c")
+    )
     length = F.size("c")
     row = picked.select(
         length.alias("n"),

@@ -56,6 +56,26 @@ def test_nulls_come_first_and_text_dates_and_floats_work(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_keys_that_json_rounds_still_order_the_cuts(spark):
+    df = spark.range(4000).select(
+        F.timestamp_micros(F.col("id") * 37 % 901).cast("timestamp_ntz").alias("t"),
+        F.timestamp_micros(F.col("id") * 7 % 13).alias("u"),
+        (F.col("id") * 31 % 4001).alias("k"),
+        F.expr("cast(decode(unhex(lpad(hex(id % 256), 2, '0')), 'ISO-8859-1') as string)").alias("s"),
+    )
+    for keys in (["t", "u", "k"], ["u", "k"], ["s", "t", "k"]):
+        got = global_row_number(df, keys, "n", 23).select("k", "n").collect()
+        want = df.withColumn("n", F.row_number().over(W.orderBy(*keys))).select("k", "n").collect()
+        assert sorted(got) == sorted(want)
+
+
+def test_narrower_keys_than_the_cuts(spark):
+    wide = spark.range(3000).select(F.col("id").alias("a"))
+    ranges = range_buckets(wide, ["a"], 10)
+    narrow = wide.select(F.col("a").cast("int").alias("a"))
+    assert ranges.assign(narrow).select(BUCKET, "a").collect() == ranges.assign(wide).select(BUCKET, "a").collect()
+
+
 def test_empty_and_single_row(spark):
     check(spark, [], "a long", ["a"], None)
     check(spark, [], "a long", ["a"], 5)
