@@ -183,6 +183,7 @@ def global_row_number(
     """Adds ``row_number() over (order by keys)``; the keys must order the rows totally.
 
     ``df`` should be a table or a file scan: it is read once for the count, once for the
-    sample and once for the bucket sizes, each time only the keys.
+    sample and once for the bucket sizes, each time only the keys. By default a bucket holds a
+    million rows; rows with long texts want more ``buckets``.
     """
     return range_buckets(df, keys, buckets).number(df, out).drop(BUCKET)

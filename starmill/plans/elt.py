@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Protocol
@@ -13,11 +13,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.operators.profile import column_profiles, normalise
+from starmill.operators.quality import require_clean, violations
 from starmill.plans import star
+from starmill.schemas.tables import Table
 from starmill.session import scratch_dir
 from starmill.sinks.staging import stage
 from starmill.sinks.warehouse import load_table, replace_table
-from starmill.sources.folders import list_staged, read_staged
+from starmill.sources.catalog import list_tables
+from starmill.sources.folders import list_staged, read_staged, remove_folder
 
 log = logging.getLogger(__name__)
 
@@ -34,7 +37,10 @@ class Source(Protocol):
 
 @dataclass(frozen=True)
 class Run:
-    """Settings of one run. ``tables_at_once`` Spark jobs are submitted side by side."""
+    """Settings of one run. ``tables_at_once`` Spark jobs are submitted side by side.
+
+    ``rules`` are the declared tables whose rules the raw tables must keep.
+    """
 
     staging_root: str
     raw_db: str
@@ -44,6 +50,7 @@ class Run:
     dates: str = "date"
     as_of: dt.date | str | None = None
     tables_at_once: int = 4
+    rules: Mapping[str, Table] | None = None
 
 
 def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str], n: int) -> None:
@@ -74,7 +81,11 @@ def extract(spark: SparkSession, source: Source, run: Run) -> list[str]:
         )
         log.info("staged %s", path)
 
-    _each(spark, one, names, run.tables_at_once)
+    try:
+        _each(spark, one, names, run.tables_at_once)
+    finally:
+        if landing:
+            remove_folder(spark, landing)
     return names
 
 
@@ -101,20 +112,31 @@ class RawTables(dict):
         return self.spark.table(f"`{self.db}`.`{name}`")
 
 
+def check(spark: SparkSession, run: Run) -> None:
+    """Raises when a loaded table breaks a declared rule."""
+    if run.rules:
+        loaded = [n for n in list_tables(spark, run.raw_db) if n in run.rules]
+        t = RawTables(spark, run.raw_db)
+        require_clean(violations({n: t[n] for n in loaded}, run.rules))
+
+
 def transform(spark: SparkSession, run: Run) -> list[str]:
-    """Builds the models in order. One day is fixed up front for the calendar and the fact."""
+    """Builds the models. One day is fixed up front for the calendar and the fact."""
     t = RawTables(spark, run.raw_db)
     as_of = run.as_of or spark.sql("select current_date() as d").first()["d"]
-    for name, model in star.MODELS.items():
+
+    def one(name: str) -> None:
+        model = star.MODELS[name]
         df = model(t, as_of=as_of) if name in ("dim_date", "fact_table") else model(t)
         replace_table(df, run.star_db, name)
         log.info("built %s.%s", run.star_db, name)
+
+    _each(spark, one, star.MODELS, run.tables_at_once)
     return list(star.MODELS)
 
 
 def daily(spark: SparkSession, source: Source, run: Run) -> dict[str, list[str]]:
-    return {
-        "extracted": extract(spark, source, run),
-        "loaded": load(spark, run),
-        "built": transform(spark, run),
-    }
+    extracted = extract(spark, source, run)
+    loaded = load(spark, run)
+    check(spark, run)
+    return {"extracted": extracted, "loaded": loaded, "built": transform(spark, run)}

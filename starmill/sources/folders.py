@@ -28,14 +28,22 @@ def dataset_path(root: str, table: str, fmt: str) -> str:
     return f"{root.rstrip('/')}/{table}.{fmt}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)
+
+
 def list_staged(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
     """Names of the datasets below ``root``; raises when there are none.
 
     Entries of another format are skipped with a log line.
     """
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, folder = _file_system(spark, root)
     if not fs.exists(folder):
         raise NothingStaged(f"{root} does not exist")
     found, skipped = [], []

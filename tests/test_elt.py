@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from starmill.operators.quality import BrokenRules
 from starmill.plans import elt, star
 from starmill.schemas.order_entry import ORDER_ENTRY
 from starmill.session import scratch_dir
@@ -157,6 +158,39 @@ def test_unstable_sources_are_read_once(spark, tmp_path):
     assert got["d"] == dt.date(2020, 1, 1)
 
 
+def test_landed_copies_are_removed(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    monkeypatch.setattr(elt, "scratch_dir", lambda *_: str(landing))
+
+    class Unstable:
+        stable = False
+
+        def tables(self):
+            return ["t"]
+
+        def read(self, table):
+            return spark.range(3)
+
+    elt.extract(spark, Unstable(), elt.Run(str(tmp_path / "s"), "raw", "dw"))
+    assert not landing.exists()
+    assert list_staged(spark, str(tmp_path / "s")) == ["t"]
+
+
+def test_broken_rules_stop_the_run_before_the_models(spark, db, tmp_path):
+    source = source_db(spark, db)
+    raw, dw = f"{db}_raw", f"{db}_dw"
+    for name in (raw, dw):
+        create_database(spark, name, str(tmp_path / name))
+    run = elt.Run(str(tmp_path / "s"), raw, dw, as_of=AS_OF, rules=ORDER_ENTRY)
+    with pytest.raises(BrokenRules, match="999"):
+        elt.daily(spark, source, run)
+    assert list_tables(spark, dw) == []
+    details = spark.table(f"{db}.order_details").filter("order_id <> 999")
+    replace_table(details, db, "order_details")
+    elt.daily(spark, source, run)
+    assert list_tables(spark, dw) == sorted(star.MODELS)
+
+
 def test_a_failing_table_stops_the_run(spark, tmp_path):
     class Broken:
         stable = True
