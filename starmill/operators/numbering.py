@@ -147,11 +147,9 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None
     picked = sample.agg(
         F.sort_array(F.collect_list(_key_struct([F.col(k) for k in keys]))).alias("s")
     ).select(
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.lit(buckets - 1)),
-                lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(buckets)).cast("int")),
-            )
+        F.transform(
+            F.sequence(F.lit(1), F.lit(buckets - 1)),
+            lambda i: F.get("s", F.floor(i.cast("long") * F.size("s") / F.lit(buckets)).cast("int")),
         ).alias("c")
     )
     # JSON drops what it cannot hold, such as microseconds, so the order is made after one trip;
@@ -159,7 +157,9 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None
     cut = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
     kept = F.filter("c", lambda x: x.isNotNull())
     picked = picked.select(
-        F.sort_array(F.array_distinct(F.from_json(F.to_json(kept), T.ArrayType(cut)))).alias("c")
+        F.sort_array(F.from_json(F.to_json(kept), T.ArrayType(cut))).alias("c")
+    ).select(
+        F.filter("c", lambda x, i: (i == 0) | (x != F.get("c", i - F.lit(1)))).alias("c")
     )
     length = F.size("c")
     row = picked.select(

@@ -150,3 +150,17 @@ def test_numbers_do_not_depend_on_what_follows(spark):
     ):
         rows = after.collect()
         assert rows and all(want[r["a"]] == r["n"] for r in rows)
+
+
+def test_the_largest_number_of_buckets(spark):
+    df = spark.range(600_000).select((F.col("id") * 7919 % 600_011).alias("a"))
+    ranges = range_buckets(df, ["a"], numbering.MOST_BUCKETS)
+    assert ranges.count == numbering.MOST_BUCKETS
+    bucketed = ranges.assign(df)
+    assert ranges.offsets(bucketed).agg(F.max("__before")).first()[0] < 600_000
+    spans = bucketed.groupBy(BUCKET).agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count("a").alias("n"))
+    before = F.lag("hi").over(W.orderBy(BUCKET))
+    row = spans.select("n", (F.col("lo") <= before).alias("overlap")).agg(
+        F.sum("n"), F.max("n"), F.count_if("overlap")
+    ).first()
+    assert row[0] == 600_000 and row[1] < 200 and row[2] == 0
