@@ -187,15 +187,12 @@ def month_first_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per dataset of the source folder, named by the file each row comes from."""
     source = FolderSource(spark, sf_dir)
-    names = [
-        source.read(name).select(
-            table_name_column(F.col("_metadata.file_path"), source.fmt).alias("table_name")
-        )
-        for name in source.tables()
-    ]
-    return reduce(DataFrame.unionByName, names).groupBy("table_name").agg(
+    paths = [source.read(n).select(F.col("_metadata.file_path")) for n in source.tables()]
+    files = reduce(DataFrame.unionByName, paths).groupBy("file_path").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
+    name = table_name_column(F.col("file_path"), source.fmt)
+    return files.groupBy(name.alias("table_name")).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def _database(spark: SparkSession, label: str) -> tuple[str, str]:

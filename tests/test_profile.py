@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from starmill.operators.profile import column_profiles, normalise, profile
@@ -119,6 +120,17 @@ def test_normalise_dates_nulls_and_floats(spark):
     ]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_texts_with_a_zone_become_utc_times(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([("1996-07-04T10:00:00+02:00",), ("1996-07-04 10:00Z",)], "t string")
+        got = normalise(df, column_profiles(df)).select(F.col("t").cast("string")).collect()
+        assert [r[0] for r in got] == ["1996-07-04 08:00:00", "1996-07-04 10:00:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_normalise_other_types(spark):
     df = spark.sql(
         "select interval '1 02:03:04' day to second as i, array(1, 2) as a, "
