@@ -22,6 +22,13 @@ class DateForm:
     parse: Callable[[Column], Column]
 
 
+def _zoned(c: Column) -> Column:
+    """A time with a zone as the UTC time. Spark wants seconds ahead of a zone."""
+    with_seconds = F.regexp_replace(c, r"^(.{16})([Z+-])", "$1:00$2")
+    local = F.to_utc_timestamp(with_seconds.try_cast("timestamp"), F.current_timezone())
+    return local.cast("timestamp_ntz")
+
+
 # The written forms that count as dates, of which a text fits at most one, and the
 # years a nanosecond clock can hold, outside of which a text column stays text. Plain numbers are
 # no dates.
@@ -35,9 +42,7 @@ DATE_FORMS = (
     DateForm(
         "iso_zone",
         r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$",
-        lambda c: F.to_utc_timestamp(c.try_cast("timestamp"), F.current_timezone()).cast(
-            "timestamp_ntz"
-        ),
+        _zoned,
     ),
     DateForm("month_first", r"^\d{1,2}/\d{1,2}/(\d{2}|\d{4})$", month_first),
     DateForm(
