@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.operators.quality import BrokenRules
-from starmill.plans import elt, star
+from starmill.plans import refresh, star
 from starmill.schemas.order_entry import ORDER_ENTRY
 from starmill.session import scratch_dir
 from starmill.sinks.staging import stage
@@ -126,9 +126,9 @@ def test_daily_run_twice(spark, db, tmp_path, dates):
     raw, dw = f"{db}_raw", f"{db}_dw"
     for name in (raw, dw):
         create_database(spark, name, str(tmp_path / name))
-    run = elt.Run(str(tmp_path / "staging"), raw, dw, dates=dates, as_of=AS_OF, null_text="None")
+    run = refresh.Run(str(tmp_path / "staging"), raw, dw, dates=dates, as_of=AS_OF, null_text="None")
     for _ in range(2):
-        done = elt.daily(spark, source, run)
+        done = refresh.daily(spark, source, run)
     assert done["extracted"] == done["loaded"] == sorted(ORDER_ENTRY)
     assert list_tables(spark, dw) == sorted(star.MODELS)
     t = order_fixture.tables(spark)
@@ -152,7 +152,7 @@ def test_unstable_sources_are_read_once(spark, tmp_path):
             return spark.sql("select rand() as x, '2020-01-01' as d")
 
     source = Once()
-    elt.extract(spark, source, elt.Run(str(tmp_path / "s"), "raw", "dw"))
+    refresh.extract(spark, source, refresh.Run(str(tmp_path / "s"), "raw", "dw"))
     assert source.reads == 1
     got = read_staged(spark, str(tmp_path / "s"), "t").first()
     assert got["d"] == dt.date(2020, 1, 1)
@@ -160,7 +160,7 @@ def test_unstable_sources_are_read_once(spark, tmp_path):
 
 def test_landed_copies_are_removed(spark, tmp_path, monkeypatch):
     landing = tmp_path / "landing"
-    monkeypatch.setattr(elt, "scratch_dir", lambda *_: str(landing))
+    monkeypatch.setattr(refresh, "scratch_dir", lambda *_: str(landing))
 
     class Unstable:
         stable = False
@@ -171,7 +171,7 @@ def test_landed_copies_are_removed(spark, tmp_path, monkeypatch):
         def read(self, table):
             return spark.range(3)
 
-    elt.extract(spark, Unstable(), elt.Run(str(tmp_path / "s"), "raw", "dw"))
+    refresh.extract(spark, Unstable(), refresh.Run(str(tmp_path / "s"), "raw", "dw"))
     assert not landing.exists()
     assert list_staged(spark, str(tmp_path / "s")) == ["t"]
 
@@ -181,13 +181,13 @@ def test_broken_rules_stop_the_run_before_the_models(spark, db, tmp_path):
     raw, dw = f"{db}_raw", f"{db}_dw"
     for name in (raw, dw):
         create_database(spark, name, str(tmp_path / name))
-    run = elt.Run(str(tmp_path / "s"), raw, dw, as_of=AS_OF, rules=ORDER_ENTRY)
+    run = refresh.Run(str(tmp_path / "s"), raw, dw, as_of=AS_OF, rules=ORDER_ENTRY)
     with pytest.raises(BrokenRules, match="999"):
-        elt.daily(spark, source, run)
+        refresh.daily(spark, source, run)
     assert list_tables(spark, dw) == []
     details = spark.table(f"{db}.order_details").filter("order_id <> 999")
     replace_table(details, db, "order_details")
-    elt.daily(spark, source, run)
+    refresh.daily(spark, source, run)
     assert list_tables(spark, dw) == sorted(star.MODELS)
 
 
@@ -202,7 +202,7 @@ def test_a_failing_table_stops_the_run(spark, tmp_path):
             raise RuntimeError("gone")
 
     with pytest.raises(RuntimeError, match="gone"):
-        elt.extract(spark, Broken(), elt.Run(str(tmp_path / "s"), "raw", "dw"))
+        refresh.extract(spark, Broken(), refresh.Run(str(tmp_path / "s"), "raw", "dw"))
 
 
 def test_jdbc_statements_and_options(spark):
