@@ -383,11 +383,26 @@ _QUERIES: tuple[Query, ...] = (
 )
 
 
+def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the optional subpackage and its pipeline, as far as they can be imported."""
+    try:
+        from starmill.llm import queries as text
+
+        import corpus_pipeline
+    except ImportError:
+        return {}, {}
+    found, sql = text.queries(), dict(text.ORACLES)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    return {q.__name__: q for q in _QUERIES} | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from sample_sql import ORACLES
 
-    return dict(ORACLES)
+    return dict(ORACLES) | _text_queries()[1]
