@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text): whole rows beside what is needed, so that no other column's name can clash."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -129,3 +134,31 @@ def long_list(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()), pa.array(values.view(np.int64), pa.int64())
     )
+
+
+class Vocabulary(dict):
+    """Numbers distinct words of a Python worker in order of appearance; ``words`` has those of the numbers.
+
+    An owner keeps what it knows of each word in tables by number. ``trim`` forgets all words once there are
+    more than ``limit``, so memory is bounded; words that come again are worked out again.
+    """
+
+    def __init__(self, limit: int = 400_000):
+        super().__init__()
+        self.limit = limit
+        self.words: list = []
+
+    def __missing__(self, word) -> int:
+        self[word] = place = len(self.words)
+        self.words.append(word)
+        return place
+
+    def numbers(self, words: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def trim(self) -> bool:
+        if len(self) <= self.limit:
+            return False
+        self.clear()
+        self.words = []
+        return True

@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import ngram_join, radix_dedup, token_counts
+from starmill.llm import bpe, ngram_join, quality_rules, radix_dedup, source_mixing, token_counts
 from starmill.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,29 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_ngram_jaccard_join, op2_token_counts, op3_exact_dedup)
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior, rate and copies of every document for the default target weights."""
+    return source_mixing.domain_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    return bpe.encode(table(spark, sf_dir, "documents"), WORDS, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts, score and verdict of every document."""
+    return quality_rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = (
+    op1_ngram_jaccard_join,
+    op2_token_counts,
+    op3_exact_dedup,
+    op4_mix_sources,
+    op5_bpe,
+    op10_quality_rules,
+)
 
 ORACLES = {
     "op1_ngram_jaccard_join": r"""

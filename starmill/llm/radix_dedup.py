@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starmill.llm.common import WHITESPACE, save, text_or_empty
+from starmill.llm.common import WHITESPACE, packed, save, text_or_empty
 
 FIRST_RUN, GROWTH = 64, 8
 
@@ -102,10 +102,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stay = _marked(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("row_id").alias("_row"))
-    rows = docs.withColumn("_hash", row_hash())
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_row") == F.col("_hash"))
+    stay = _marked(docs).filter("kept").select(F.col("doc_id").alias("stays"), "row_id")
+    rows = packed(docs).withColumn("row_hash", row_hash())
+    same = F.col("stays").eqNullSafe(F.col("doc_id")) & (F.col("row_id") == F.col("row_hash"))
     # Rows that also repeat the kept row's id and text differ in other columns at most: the first stays.
-    others = [F.col(name).cast("string") for name in docs.columns if name not in ("doc_id", "text")]
-    one = Window.partitionBy("doc_id", "_hash").orderBy(*(others or [F.lit(0)]))
-    return rows.join(stay, same, "left_semi").withColumn("_place", F.row_number().over(one)).filter("_place = 1").select(docs.columns)
+    others = [F.col("row")[name].cast("string") for name in docs.columns if name not in ("doc_id", "text")]
+    one = Window.partitionBy("doc_id", "row_hash").orderBy(*others, "doc_id")
+    kept = rows.join(stay, same, "left_semi").withColumn("place", F.row_number().over(one)).filter("place = 1")
+    return kept.select("row.*")
