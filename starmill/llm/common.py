@@ -162,3 +162,47 @@ class Vocabulary(dict):
         self.clear()
         self.words = []
         return True
+
+
+def keys_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Rows of one key after the other, of batches in order of their keys."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        columns = [batch.column(x).to_numpy(zero_copy_only=False) for x in keys]
+        turns = np.zeros(batch.num_rows, bool)
+        for x in columns:
+            turns[1:] |= x[1:] != x[:-1]
+        cuts = [0, *np.flatnonzero(turns).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            own = tuple(x[a].item() for x in columns)
+            if own != key and held:
+                yield key, pa.Table.from_batches(held)
+                held = []
+            key = own
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
+def components(links: DataFrame, label: str) -> DataFrame:
+    """(node, root): the least node of each connected group of (node, other) links.
+
+    Nodes take the least label of their neighbours, then that label's own, until nothing changes.
+    """
+    turned = links.select(F.col("other").alias("node"), F.col("node").alias("other"))
+    both = save(links.unionByName(turned).distinct(), f"{label}-edges")
+    labels = both.groupBy("node").agg(F.min("other").alias("least"))
+    labels = save(labels.select("node", F.least("least", "node").alias("root")), f"{label}-labels")
+    while True:
+        near = both.join(labels.withColumnRenamed("node", "other"), "other")
+        hooked = labels.join(near.groupBy("node").agg(F.min("root").alias("near")), "node")
+        hooked = hooked.select("node", "root", F.least("root", "near").alias("new"))
+        jump = labels.select(F.col("node").alias("new"), F.col("root").alias("further"))
+        changed = (F.col("further") != F.col("root")).alias("changed")
+        moved = save(hooked.join(jump, "new").select("node", F.col("further").alias("root"), changed), f"{label}-labels")
+        labels = moved.select("node", "root")
+        if moved.filter("changed").isEmpty():
+            return labels

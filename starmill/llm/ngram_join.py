@@ -3,14 +3,19 @@
 Each text is the set of its hashed five-word shingles. A run splits the sets recursively: in a node, a set x
 goes to the child of each of its tokens y whose hash under the node's path is below 1 / (t |x|), t being the
 threshold, about 1 / t children. Two sets of similarity t or more share at least one child on average, so
-they meet again with a known probability at every level. Small buckets are compared by brute force with
-exact similarities, large ones are split once more, up to ``levels`` times; what is still large then is a
-dense group, compared in blocks. Runs repeat with other hashes until the chance of a pair to meet
-in none is below 1 - ``recall``: fewer for sets that only ever met few others, more for those that were
-in a large bucket and had to be split again. Nothing is capped: a bucket of any size is compared completely.
+they meet again with a known probability at every level. Small buckets are compared by brute force, large
+ones are split once more, up to ``levels`` times; what is still large then is a dense group, compared in
+blocks. Runs repeat with other hashes until the chance of a pair to meet in none is below 1 - ``recall``:
+fewer for sets that only ever met few others, more for those that were in a large bucket and had to be
+split again. Nothing is capped: a bucket of any size is compared completely.
+
+Beside its tokens a set has a sketch: its least token in each of 128 bins, a byte each. Splitting goes on the
+tokens at the first level and on the sketch's further down. Brute force compares sketches first, with so
+much slack that a pair at the threshold is missed once in 100,000 times; only sets with a plausible
+partner have their whole token sets brought together, and those are compared exactly.
 
 Equal sets are joined first, as one class. Buckets of one class, and buckets that repeat the members of
-another, are dropped before any tokens move. A pair that meets in several buckets is counted in the least.
+another, are dropped. A pair that meets in several buckets is counted in the least.
 
 Defined results: null text is empty; a text without words has no links; a text of one to four words
 is one shingle of all its words; equal sets link; rows with a null doc_id take part, and a class whose rows
@@ -30,6 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmill.llm.common import (
     WordHashes,
+    components,
+    keys_of,
     long_list,
     mixed,
     pieces,
@@ -42,7 +49,10 @@ from starmill.llm.common import (
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 LEVELS = 3
 SMALL = 256
-BLOCK = 512
+BLOCK, BLOCK_TOKENS = 2048, 8 << 20
+BINS = 128
+# Standard deviations of a sketch's similarity that a pair may fall short.
+SLACK = 4.3
 MEMBER_SCHEMA = "set_id binary, bucket long"
 
 CHUNK = 4 << 20
@@ -97,8 +107,21 @@ def _roots(tokens: np.ndarray, begins: np.ndarray, threshold: float, runs: range
     return np.concatenate(paths)[order], np.searchsorted(row[order], np.arange(sets + 1))
 
 
+def _sketches(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A row of BINS bytes a set: of the least token in each bin, 0 if there is none."""
+    sets = len(begins) - 1
+    hashes = mixed(tokens, 21)
+    place = np.repeat(np.arange(sets) * BINS, np.diff(begins)) + (hashes >> np.uint64(57)).astype(np.int64)
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    least = np.full(sets * BINS, none)
+    np.minimum.at(least, place, hashes << np.uint64(7))
+    values = (mixed(least, 23) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    values[least == none] = 0
+    return values.reshape(sets, BINS)
+
+
 def first_level(n: int, threshold: float, runs: range):
-    """(doc_id, row_hash, set_id, n_tokens, paths) of each text: its buckets of the first level."""
+    """(doc_id, row_hash, set_id, n_tokens, sketch, paths) of each text: its buckets of the first level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -113,9 +136,10 @@ def first_level(n: int, threshold: float, runs: range):
                         batch.column("row_hash").slice(begin, end - begin),
                         pa.array(digests, pa.binary()),
                         pa.array(np.diff(begins), pa.int64()),
+                        pa.array([x.tobytes() for x in _sketches(tokens, begins)], pa.binary()),
                         long_list(*_roots(tokens, begins, threshold, runs)),
                     ],
-                    ["doc_id", "row_hash", "set_id", "n_tokens", "paths"],
+                    ["doc_id", "row_hash", "set_id", "n_tokens", "sketch", "paths"],
                 )
 
     return run
@@ -142,14 +166,19 @@ def keep_sets(n: int):
     return run
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Kept sets again: rows of at most about CHUNK bytes, their tokens, and where each set's begin."""
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows with a sketch, the sketches' tokens (a bin with its byte is one), and where each row's begin."""
     for batch in batches:
-        raw = batch.column("tokens").cast(pa.binary()).to_pylist()
-        for begin, end in pieces(map(len, raw), CHUNK):
-            tokens = np.frombuffer(b"".join(raw[begin:end]), np.uint64)
-            sizes = [0, *(len(x) // 8 for x in raw[begin:end])]
-            yield batch.slice(begin, end - begin), tokens, np.cumsum(sizes)
+        if not batch.num_rows:
+            continue
+        sketches = _matrix(batch.column("sketch").cast(pa.binary()).to_pylist())
+        rows, bins = np.nonzero(sketches)
+        tokens = mixed((bins * 256 + sketches[rows, bins]).astype(np.uint64), 27)
+        yield batch, tokens, np.searchsorted(rows, np.arange(len(sketches) + 1))
+
+
+def _matrix(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), BINS)
 
 
 def _members(rows: pa.RecordBatch, paths: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
@@ -160,58 +189,90 @@ def _members(rows: pa.RecordBatch, paths: np.ndarray, ends: np.ndarray) -> pa.Re
 
 
 def more_runs(threshold: float, runs: range):
-    """(set_id, bucket): first-level buckets of kept sets in further runs."""
+    """(set_id, bucket): first-level buckets of sketches in further runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, tokens, begins in _kept(batches):
+        for rows, tokens, begins in _sketched(batches):
             yield _members(rows, *_roots(tokens, begins, threshold, runs))
 
     return run
 
 
 def next_level(threshold: float):
-    """(set_id, bucket): the children of (bucket, set_id, tokens) rows."""
+    """(set_id, bucket): the children of (bucket, set_id, sketch) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, tokens, begins in _kept(batches):
+        for rows, tokens, begins in _sketched(batches):
             paths = rows.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)
             yield _members(rows, *_chosen(tokens, begins, paths, threshold))
 
     return run
 
 
+def _close(sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each set has a partner whose sketch and size allow for the threshold."""
+    there = sketches != 0
+    counts = there.sum(1)
+    found = np.zeros(len(sizes), bool)
+    step = max(1, (8 << 20) // (len(sizes) * BINS))
+    for a in range(0, len(sizes), step):
+        some = slice(a, a + step)
+        same = ((sketches[some, None, :] == sketches[None]) & there[some, None, :]).sum(2)
+        both = there[some].astype(np.float32) @ there.T.astype(np.float32)
+        either = counts[some, None] + counts[None] - both
+        spread = np.sqrt(threshold * (1 - threshold) * np.maximum(either, 1))
+        near = same >= threshold * either - SLACK * spread
+        small, large = np.minimum(sizes[some, None], sizes[None]), np.maximum(sizes[some, None], sizes[None])
+        near &= small >= threshold * large - 1e-6
+        near[np.arange(near.shape[0]), np.arange(a, a + near.shape[0])] = False
+        found[some] |= near.any(1)
+    return found
+
+
+def plausible(threshold: float):
+    """(bucket, left, right, block, set_id) of the sets that have a plausible partner in their block."""
+    names = ["bucket", "left", "right", "block", "set_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in keys_of(batches, ["bucket", "left", "right"]):
+            sketches = _matrix(rows.column("sketch").cast(pa.binary()).to_pylist())
+            near = _close(sketches, rows.column("n_tokens").to_numpy(), threshold)
+            if near.any():
+                yield from rows.select(names).filter(pa.array(near)).combine_chunks().to_batches()
+
+    return run
+
+
 class _Block:
     """Sets that meet in one bucket, or in a pair of a large bucket's blocks."""
 
-    def __init__(self, bucket: int, left: int, right: int):
-        self.key = (bucket, left, right)
-        self.ids: list[bytes] = []
-        self.tokens: list[np.ndarray] = []
-        self.buckets: list[list[int]] = []
-        self.copies: list[int] = []
-        self.blocks: list[int] = []
+    def __init__(self, key: tuple, rows: pa.Table):
+        self.key = key
+        self.ids = rows.column("set_id").cast(pa.binary()).to_pylist()
+        self.tokens = [np.frombuffer(x, np.uint64) for x in rows.column("tokens").cast(pa.binary()).to_pylist()]
+        self.buckets = rows.column("buckets").to_pylist()
+        self.copies = rows.column("copies").to_pylist()
+        self.blocks = rows.column("block").to_pylist()
 
     def similar(self, threshold: float) -> Iterator[tuple[int, int]]:
         """Places of pairs of at least the threshold, compared exactly, of which this bucket is the least."""
         sizes = np.array([len(x) for x in self.tokens])
-        every = np.concatenate(self.tokens)
-        values, place, counts = np.unique(every, return_inverse=True, return_counts=True)
+        _, place, counts = np.unique(np.concatenate(self.tokens), return_inverse=True, return_counts=True)
         shared = counts >= 2
-        column = np.cumsum(shared) - 1
         keep = shared[place]
         rows = np.repeat(np.arange(len(sizes)), sizes)[keep]
-        columns = column[place[keep]]
-        common = np.zeros((len(sizes), len(sizes)), np.float32)
+        columns = (np.cumsum(shared) - 1)[place[keep]]
         order = np.argsort(columns, kind="stable")
         rows, columns = rows[order], columns[order]
+        common = np.zeros((len(sizes), len(sizes)), np.float32)
         width = 2048
         for low in range(0, int(shared.sum()), width):
             a, b = np.searchsorted(columns, [low, low + width])
-            part = np.zeros((len(sizes), width), np.float32)
+            part = np.zeros((len(sizes), columns[b - 1] - low + 1), np.float32)
             part[rows[a:b], columns[a:b] - low] = 1
             common += part @ part.T
         either = sizes[:, None] + sizes[None, :] - common
-        # A hair of slack for the division; equal to the threshold counts.
+        # Equal to the threshold counts, so a hair of slack for the product.
         found = np.argwhere(np.triu(common >= threshold * either - 1e-6, 1))
         bucket, left, right = self.key
         for a, b in found.tolist():
@@ -245,41 +306,24 @@ class _Block:
 
 
 def compare(threshold: float, pairs: bool):
-    """Brute force within each block of rows, which come in order of their block."""
+    """(set_id, other_id, texts, docs): exact comparison within each block of rows, in order of their blocks."""
     names = ["set_id", "other_id", "texts", "docs"]
     kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        block = None
-        for batch in batches:
-            columns = [batch.column(x).to_pylist() for x in ("bucket", "left", "right", "block", "set_id", "tokens", "buckets", "copies")]
-            for bucket, left, right, own, set_id, tokens, buckets, copies in zip(*columns, strict=True):
-                if block is None or block.key != (bucket, left, right):
-                    if block:
-                        yield from block.results(threshold, pairs)
-                    block = _Block(bucket, left, right)
-                block.ids.append(bytes(set_id))
-                block.tokens.append(np.frombuffer(tokens, np.uint64))
-                block.buckets.append(buckets)
-                block.copies.append(copies)
-                block.blocks.append(own)
-        if block:
-            yield from block.results(threshold, pairs)
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*held, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        for row in rows(batches):
-            held.append(row)
-            if len(held) >= 20_000:
-                yield _batch(held)
-                held = []
+        for key, rows in keys_of(batches, ["bucket", "left", "right"]):
+            for found in _Block(key, rows).results(threshold, pairs):
+                held.append(found)
+                if len(held) >= 20_000:
+                    yield batch(held)
+                    held = []
         if held:
-            yield _batch(held)
-
-    def _batch(held: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(zip(*held, strict=True), kinds, strict=True)], names
-        )
+            yield batch(held)
 
     return run
 
@@ -300,7 +344,7 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
         return first
     done = first.filter(F.col("members") <= small)
     again = sets.join(large.select("set_id").distinct(), "set_id", "left_semi")
-    further = _meeting(again.mapInArrow(more_runs(threshold, runs), MEMBER_SCHEMA))
+    further = _meeting(save(again.mapInArrow(more_runs(threshold, runs), MEMBER_SCHEMA), "ngram-level"))
     done = done.unionByName(further.filter(F.col("members") <= small))
     large = large.unionByName(further.filter(F.col("members") > small))
     for level in range(2, levels + 1):
@@ -314,39 +358,25 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
     return done
 
 
-def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Members with the pairs of blocks they take part in; a bucket of up to ``block`` sets is one block."""
-    blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
-    split = members.withColumn("blocks", blocks).withColumn("block", own)
-    against = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (
-        split.withColumn("against", against)
-        .withColumn("left", F.least("block", "against"))
-        .withColumn("right", F.greatest("block", "against"))
-        .drop("against", "blocks", "members")
-    )
-
+def _blocks(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Members with the pairs of blocks they take part in; most buckets are one block.
 
-def _classes(edges: DataFrame) -> DataFrame:
-    """(set_id, root): the least set of each connected group, by least neighbours and pointer jumps."""
-    both = save(
-        edges.unionByName(edges.select(F.col("other_id").alias("set_id"), F.col("set_id").alias("other_id"))).distinct(),
-        "ngram-edges",
-    )
-    labels = save(both.groupBy("set_id").agg(F.least(F.min("other_id"), F.col("set_id")).alias("root")), "ngram-labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("set_id", "other_id"), "other_id")
-        least = near.groupBy("set_id").agg(F.min("root").alias("near"))
-        hooked = labels.join(least, "set_id").select("set_id", "root", F.least("root", "near").alias("new"))
-        jump = labels.select(F.col("set_id").alias("new"), F.col("root").alias("further"))
-        moved = save(
-            hooked.join(jump, "new").select("set_id", F.col("further").alias("root"), (F.col("further") != F.col("root")).alias("changed")),
-            "ngram-labels",
-        )
-        labels = moved.select("set_id", "root")
-        if moved.filter("changed").isEmpty():
-            return labels
+    A block has about ``block`` sets, fewer if they are so long that BLOCK_TOKENS would be passed.
+    """
+    lengths = sets.select("set_id", "n_tokens", "sketch")
+    known = members.join(lengths, "set_id")
+    large = members.filter(F.col("members") > 8).join(lengths, "set_id").groupBy("bucket").agg(F.sum("n_tokens").alias("all_tokens"))
+    known = known.join(large, "bucket", "left")
+    by_sets, by_tokens = F.col("members") / block, F.coalesce("all_tokens", F.lit(0)) / BLOCK_TOKENS
+    blocks = F.ceil(F.greatest(by_sets, by_tokens)).cast("int")
+    own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
+    split = known.withColumn("blocks", blocks).withColumn("block", own)
+    # Most buckets are one block: only the others' rows are repeated.
+    one = split.filter("blocks = 1").withColumns({"left": F.lit(0), "right": F.lit(0)})
+    more = split.filter("blocks > 1").withColumn("against", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    more = more.withColumns({"left": F.least("block", "against"), "right": F.greatest("block", "against")})
+    columns = ["bucket", "left", "right", "block", "set_id", "n_tokens", "sketch"]
+    return one.select(columns).unionByName(more.select(columns))
 
 
 class NgramJoin:
@@ -365,34 +395,38 @@ class NgramJoin:
     ):
         rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row_hash"))
         kind = docs.schema["doc_id"].dataType.simpleString()
-        schema = f"doc_id {kind}, row_hash long, set_id binary, n_tokens long, paths array<long>"
+        schema = f"doc_id {kind}, row_hash long, set_id binary, n_tokens long, sketch binary, paths array<long>"
         few, all_runs = runs_needed(recall, 1), runs_needed(recall, levels)
         paths = save(rows.mapInArrow(first_level(n, threshold, range(few)), schema), "ngram-paths")
         self.membership = paths.select("doc_id", "set_id", "n_tokens")
-        # Rows of one set have the same paths: one row speaks for all.
+        # Rows of one set have the same tokens: one row speaks for all.
         one = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_hash")).alias("one")
+        same_for_all = [F.any_value(x).alias(x) for x in ("n_tokens", "sketch", "paths")]
         classes = paths.filter("n_tokens > 0").groupBy("set_id")
-        self.sets = save(classes.agg(F.count(F.lit(1)).alias("copies"), one, F.any_value("paths").alias("paths")), "ngram-sets")
-        first = _meeting(self.sets.select("set_id", F.explode(F.array_distinct("paths")).alias("bucket")))
+        sets = self.sets = save(classes.agg(F.count(F.lit(1)).alias("copies"), one, *same_for_all), "ngram-sets")
 
-        takes_part = self.sets.join(first.select("set_id").distinct(), "set_id", "left_semi")
-        wanted = takes_part.select(F.col("one.doc_id").alias("one_id"), F.col("one.row_hash").alias("one_hash"))
-        same = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("row_hash") == F.col("one_hash"))
-        texts = rows.join(wanted, same, "left_semi")
-        found = texts.mapInArrow(keep_sets(n), "set_id binary, tokens binary")
-        # Only rows that repeat a doc_id with its text give a set twice.
-        sets = save(found.dropDuplicates(["set_id"]), "ngram-tokens")
-
-        members = _compared(sets, first, threshold, range(few, all_runs), levels, small)
+        first = _meeting(sets.select("set_id", F.explode(F.array_distinct("paths")).alias("bucket")))
+        members = _compared(sets.select("set_id", "sketch"), first, threshold, range(few, all_runs), levels, small)
         kept = members.groupBy("members", "xor_a", "xor_b").agg(F.min("bucket").alias("bucket"))
         members = members.select("bucket", "set_id", "members").join(kept.select("bucket"), "bucket", "left_semi")
-        members = save(members, "ngram-compared")
-        buckets = members.groupBy("set_id").agg(F.collect_list("bucket").alias("buckets"))
-        own = sets.join(buckets, "set_id").join(self.sets.select("set_id", "copies"), "set_id")
         keys = ["bucket", "left", "right"]
-        blocks = _blocks(members, block).join(own, "set_id").repartition(*keys).sortWithinPartitions(*keys)
+        blocks = _blocks(save(members, "ngram-compared"), sets, block)
+        near = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+            plausible(threshold), "bucket long, left int, right int, block int, set_id binary"
+        )
+        near = save(near, "ngram-plausible")
+
+        takes_part = sets.join(near.select("set_id").distinct(), "set_id", "left_semi")
+        wanted = takes_part.select(F.col("one.doc_id").alias("one_id"), F.col("one.row_hash").alias("one_hash"))
+        same = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("row_hash") == F.col("one_hash"))
+        found = rows.join(wanted, same, "left_semi").mapInArrow(keep_sets(n), "set_id binary, tokens binary")
+        # Only rows that repeat a doc_id with its text give a set twice.
+        tokens = save(found.dropDuplicates(["set_id"]), "ngram-tokens")
+        buckets = near.groupBy("set_id").agg(F.collect_set("bucket").alias("buckets"))
+        own = tokens.join(buckets, "set_id").join(sets.select("set_id", "copies"), "set_id")
+        exact = near.join(own, "set_id").repartition(*keys).sortWithinPartitions(*keys)
         out = "set_id binary, other_id binary, texts long, docs long"
-        self.found = save(blocks.mapInArrow(compare(threshold, pairs), out), "ngram-links")
+        self.found = save(exact.mapInArrow(compare(threshold, pairs), out), "ngram-links")
 
     def pairs(self) -> DataFrame:
         """(set_id, other_id) of linked classes; all of them if the join was made with ``pairs=True``."""
@@ -407,7 +441,8 @@ class NgramJoin:
         counts = self.found.filter("other_id is null").groupBy("set_id").agg(
             F.sum("texts").alias("texts"), F.sum("docs").alias("docs")
         )
-        roots = _classes(self.pairs())
+        links = self.pairs().withColumnsRenamed({"set_id": "node", "other_id": "other"})
+        roots = components(links, "ngram").withColumnRenamed("node", "set_id")
         sets = (
             self.sets.select("set_id", "copies", F.col("one.doc_id").alias("one_id"))
             .join(counts, "set_id", "left")
