@@ -25,9 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmill.llm.common import Vocabulary, pieces, ranges
-
-CHUNK = 4 << 20
+from starmill.llm.common import Vocabulary, ranges, text_pieces
 
 # Onigmo's \s; str.split() also splits by these four information separators.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -198,9 +196,8 @@ def encode_texts(file: str, outputs: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds(Tokenizer(file))
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for begin, end in pieces(map(len, texts), CHUNK):
-                words = [_words(x) for x in texts[begin:end]]
+            for rows, texts in text_pieces(batch):
+                words = [_words(x.decode()) for x in texts]
                 starts = np.cumsum([0, *map(len, words)])
                 numbers = known.numbers([y for x in words for y in x])
                 first, sizes = known.begins[numbers], known.begins[numbers + 1] - known.begins[numbers]
@@ -218,7 +215,7 @@ def encode_texts(file: str, outputs: list[str]):
                     decoded = [b" ".join(map(known.decoded.__getitem__, x)) for x in own]
                     found["decoded"] = pa.array(decoded, pa.binary()).cast(pa.string()) if "decoded" in outputs else None
                     found["decoded_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded])
-                columns = [batch.column("doc_id").slice(begin, end - begin), *(found[x] for x in outputs)]
+                columns = [rows.column("doc_id"), *(found[x] for x in outputs)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *outputs])
 
     return run

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,6 +46,14 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def text_pieces(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows with their texts, about ``most`` bytes at a time: a batch of long texts is never unpacked whole."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+    for begin, end in pieces(sizes, most):
+        rows = batch.slice(begin, end - begin)
+        yield rows, text_bytes(rows.column("text"))
+
+
 def pieces(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose sizes sum to ``most`` or little more, one row at least."""
     begin = total = end = 0
@@ -60,7 +69,7 @@ def pieces(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
 class WordHashes(dict):
     """64-bit hash of a word, remembered for up to ``limit`` words of a Python worker."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 
@@ -143,7 +152,7 @@ class Vocabulary(dict):
     more than ``limit``, so memory is bounded; words that come again are worked out again.
     """
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
         self.words: list = []

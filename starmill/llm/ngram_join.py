@@ -39,11 +39,10 @@ from starmill.llm.common import (
     keys_of,
     long_list,
     mixed,
-    pieces,
     save,
     shingles,
     split_words,
-    text_bytes,
+    text_pieces,
 )
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
@@ -55,8 +54,6 @@ BINS = 128
 SLACK = 4.3
 MEMBER_SCHEMA = "set_id binary, bucket long"
 
-CHUNK = 4 << 20
-
 
 def runs_needed(recall: float, levels: int) -> int:
     """Runs until a pair at the threshold met with probability ``recall``.
@@ -126,14 +123,13 @@ def first_level(n: int, threshold: float, runs: range):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            texts = text_bytes(batch.column("text"))
-            for begin, end in pieces(map(len, texts), CHUNK):
-                tokens, begins = _token_sets(texts[begin:end], hashes, n)
+            for rows, texts in text_pieces(batch):
+                tokens, begins = _token_sets(texts, hashes, n)
                 digests = [_digest(tokens[b:e]) for b, e in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(begin, end - begin),
-                        batch.column("row_hash").slice(begin, end - begin),
+                        rows.column("doc_id"),
+                        rows.column("row_hash"),
                         pa.array(digests, pa.binary()),
                         pa.array(np.diff(begins), pa.int64()),
                         pa.array([x.tobytes() for x in _sketches(tokens, begins)], pa.binary()),
@@ -151,9 +147,8 @@ def keep_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            texts = text_bytes(batch.column("text"))
-            for begin, end in pieces(map(len, texts), CHUNK):
-                tokens, begins = _token_sets(texts[begin:end], hashes, n)
+            for _, texts in text_pieces(batch):
+                tokens, begins = _token_sets(texts, hashes, n)
                 own = [tokens[b:e] for b, e in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [

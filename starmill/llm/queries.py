@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import bpe, ngram_join, quality_rules, radix_dedup, source_mixing, token_counts
+from starmill.llm import bpe, ngram_join, quality_rules, radix_dedup, source_mixing, substring_dedup, token_counts
 from starmill.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -38,6 +38,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), WORDS, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of at least 50 words of every document that other documents repeat, nearly or exactly."""
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain counts, score and verdict of every document."""
     return quality_rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -49,6 +54,7 @@ QUERIES = (
     op3_exact_dedup,
     op4_mix_sources,
     op5_bpe,
+    op8_substring_dedup,
     op10_quality_rules,
 )
 

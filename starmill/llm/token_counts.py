@@ -19,7 +19,7 @@ from importlib.metadata import version
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starmill.llm.common import pieces, text_or_empty
+from starmill.llm.common import text_or_empty, text_pieces
 from starmill.session import scratch_dir
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
@@ -34,23 +34,18 @@ def tokenizer_digest(model: str) -> str:
     return found.hexdigest()
 
 
-def encoder(model: str, chunk: int = 1 << 20):
-    """Counts tokens of (content_digest, text) batches; texts are handed over ``chunk`` bytes at a time."""
+def encoder(model: str):
+    """Counts the tokens of (content_digest, text) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
         library = sentencepiece.SentencePieceProcessor(model_file=model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            counts: list[int] = []
-            for begin, end in pieces(map(len, texts), chunk):
-                found = library.encode(texts[begin:end], num_threads=1)
-                counts += map(len, found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("content_digest").cast(pa.binary()), pa.array(counts, pa.int64())],
-                ["content_digest", "n_tokens"],
-            )
+            for rows, texts in text_pieces(batch):
+                found = library.encode([x.decode() for x in texts], num_threads=1)
+                columns = [rows.column("content_digest"), pa.array(map(len, found), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["content_digest", "n_tokens"])
 
     return run
 
