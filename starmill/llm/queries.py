@@ -3,9 +3,19 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from starmill.llm import bpe, ngram_join, quality_rules, radix_dedup, source_mixing, substring_dedup, token_counts
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from starmill.llm import (
+    bpe,
+    ngram_join,
+    preference_chat,
+    quality_rules,
+    radix_dedup,
+    secret_scan,
+    source_mixing,
+    substring_dedup,
+    token_counts,
+)
 from starmill.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -38,11 +48,24 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), WORDS, ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op6_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its last answer swapped: prompt and masked completions, turn by turn."""
+    pairs = preference_chat.swapped_answers(table(spark, sf_dir, "conversations"))
+    return preference_chat.preference_segments(*pairs)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of at least 50 words of every document that other documents repeat, nearly or exactly."""
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document, its value as a digest, with the forest's verdict."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    digest = F.sha2("value", 256).alias("value_sha256")
+    return found.select("doc_id", "place", digest, F.length("value").alias("length"), "probability", "is_secret")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain counts, score and verdict of every document."""
     return quality_rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -54,11 +77,58 @@ QUERIES = (
     op3_exact_dedup,
     op4_mix_sources,
     op5_bpe,
+    op6_preference_chat,
     op8_substring_dedup,
+    op9_secret_scan,
     op10_quality_rules,
 )
 
 ORACLES = {
+    "op6_preference_chat": r"""
+        WITH plain AS (
+            SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
+                   replace(coalesce(text, ''), '<|', '< |') AS text
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        turns AS (
+            SELECT conv_id AS id, role, text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS place
+            FROM plain
+        ),
+        answers AS (
+            SELECT id, place, text FROM turns WHERE role = 'assistant'
+            QUALIFY place = max(place) OVER (PARTITION BY id)
+        ),
+        rejected AS (
+            SELECT t.id, t.role, t.place, CASE WHEN t.place = a.place THEN b.text ELSE t.text END AS text
+            FROM turns t LEFT JOIN answers a ON a.id = t.id LEFT JOIN answers b ON b.id = xor(t.id, 1)
+            WHERE a.place IS NULL OR t.place <> a.place OR b.text IS NOT NULL
+        ),
+        prefix AS (
+            SELECT t.id, min(t.place) FILTER (WHERE r.id IS NULL) AS first
+            FROM turns t LEFT JOIN rejected r ON r.id = t.id AND r.place = t.place AND r.role = t.role AND r.text = t.text
+            GROUP BY t.id
+        ),
+        parts AS (
+            SELECT t.*, CASE WHEN first IS NULL OR place < first THEN 'prompt' ELSE 'chosen' END AS part
+            FROM turns t JOIN prefix USING (id)
+            UNION ALL BY NAME
+            SELECT r.*, 'rejected' AS part FROM rejected r JOIN prefix USING (id) WHERE place >= first
+        ),
+        rendered AS (
+            SELECT *, '<|' || role || '|>' || chr(10) AS head, part <> 'prompt' AND role = 'assistant' AS in_loss
+            FROM parts
+        ),
+        segments AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment FROM rendered),
+        placed AS (
+            SELECT *, CAST(sum(length(segment)) OVER (PARTITION BY id, part ORDER BY place) AS BIGINT) AS segment_end
+            FROM segments
+        )
+        SELECT id AS pair_id, part, CAST(place AS INTEGER) AS place, role, segment, in_loss,
+               segment_end - length(segment) AS segment_begin, segment_end,
+               CASE WHEN in_loss THEN segment_end - length(segment) + length(head) END AS loss_begin
+        FROM placed
+    """,
     "op1_ngram_jaccard_join": r"""
         WITH RECURSIVE
         words AS (
