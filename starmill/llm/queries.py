@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.llm import (
     bpe,
+    license_scan,
     ngram_join,
     preference_chat,
     quality_rules,
@@ -54,6 +55,11 @@ def op6_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_chat.preference_segments(*pairs)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence paragraph of every document, with its family."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of at least 50 words of every document that other documents repeat, nearly or exactly."""
     return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
@@ -78,6 +84,7 @@ QUERIES = (
     op4_mix_sources,
     op5_bpe,
     op6_preference_chat,
+    op7_license_scan,
     op8_substring_dedup,
     op9_secret_scan,
     op10_quality_rules,
