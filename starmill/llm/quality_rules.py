@@ -1,7 +1,8 @@
 """Quality rules: plain counts, and a hashed n-gram log-likelihood ratio.
 
-Two multinomials over hashed n-grams, one of a trusted target and one of the raw corpus, are counted
-over all documents. A document's score is the mean of log p_target / p_raw over its n-grams, so length does
+Two multinomials over hashed n-grams are fitted: the raw corpus's on all documents, the trusted target's on at
+most ``MOST_TRUSTED`` labelled documents, those of the smallest hash of their id, so that only bounded ids
+are sent around and no text is shuffled. A document's score is the mean of log p_target / p_raw over its n-grams, so length does
 not count. Documents below a fixed threshold are rejected; nothing is drawn at random.
 
 n-grams are single marks and pairs of neighbours, a mark being a word's letters or its adjoining signs:
@@ -23,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from starmill.llm.common import Vocabulary, mixed, ngram_hashes, pieces, ranges
+from starmill.llm.common import Vocabulary, mixed, ngram_hashes, ranges, save, text_pieces
 
 BITS = 18
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -32,9 +33,10 @@ ADDED = 5.0
 
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r "
-CHUNK = 4 << 20
 
-COUNT_SCHEMA = "bucket int, n long"
+MOST_TRUSTED = 50_000
+
+COUNT_SCHEMA = "bucket int, raw long, target long"
 BASE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -43,7 +45,7 @@ class _Marks:
 
     _SIGNS = re.compile(r"[^\w]+$")
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 300_000):
         self.known = Vocabulary(limit)
         self.stems = np.empty(0, np.uint64)
         self.signs = np.empty(0, np.uint64)
@@ -93,18 +95,19 @@ def _chunk(texts: list[bytes], marks: _Marks):
 
 
 def count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, n) over all texts of a task."""
-    marks, total = _Marks(), np.zeros(1 << BITS, np.int64)
+    """(bucket, raw, target) over all texts of a task, and over those that are trusted."""
+    marks, totals = _Marks(), np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
-        texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
-        for begin, end in pieces(map(len, texts), CHUNK):
-            _, _, (single, _), (double, _) = _chunk(texts[begin:end], marks)
-            total += np.bincount(single, minlength=1 << BITS)
-            total += np.bincount(double, minlength=1 << BITS)
-    there = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(there.astype(np.int32)), pa.array(total[there])], ["bucket", "n"]
-    )
+        for rows, texts in text_pieces(batch):
+            trusted = rows.column("trusted").to_numpy(zero_copy_only=False)
+            _, _, *grams = _chunk(texts, marks)
+            for values, begins in grams:
+                totals[0] += np.bincount(values, minlength=1 << BITS)
+                own = np.repeat(trusted, np.diff(begins))
+                totals[1] += np.bincount(values[own], minlength=1 << BITS)
+    there = np.flatnonzero(totals[0])
+    columns = [there.astype(np.int32), totals[0][there], totals[1][there]]
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "raw", "target"])
 
 
 def _repeated(words: np.ndarray) -> int:
@@ -134,8 +137,8 @@ class _Judge:
     def __init__(self, ratios: np.ndarray, threshold: float):
         self.ratios, self.threshold, self.marks = ratios, threshold, _Marks()
 
-    def columns(self, texts: list[str]) -> dict[str, pa.Array]:
-        raw = [x.encode() for x in texts]
+    def columns(self, raw: list[bytes]) -> dict[str, pa.Array]:
+        texts = [x.decode() for x in raw]
         words, starts, (single, ones), (double, twos) = _chunk(raw, self.marks)
         log = _sums(self.ratios[single], ones) + _sums(self.ratios[double], twos)
         scores = log / np.maximum(np.diff(ones) + np.diff(twos), 1)
@@ -161,10 +164,8 @@ def judge(ratios: np.ndarray, threshold: float, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _Judge(ratios, threshold)
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            for begin, end in pieces(map(len, texts), CHUNK):
-                columns = found.columns(texts[begin:end])
-                rows = batch.slice(begin, end - begin)
+            for rows, texts in text_pieces(batch):
+                columns = found.columns(texts)
                 if keep:
                     yield rows.filter(columns["kept"])
                 else:
@@ -174,23 +175,19 @@ def judge(ratios: np.ndarray, threshold: float, keep: bool):
     return run
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """Documents that are labelled good and clean, and never otherwise."""
+def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
+    """At most ``most`` documents that are labelled good and clean, and never otherwise."""
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     votes = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good"))
-    return votes.filter("good").select("doc_id")
+    return votes.filter("good").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """log p_target / p_raw by bucket, smoothed. 2^BITS numbers reach the driver, whatever the corpus."""
-    raw = docs.select("text").mapInArrow(count_ngrams, COUNT_SCHEMA)
-    target = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi").select("text")
-    target = target.mapInArrow(count_ngrams, COUNT_SCHEMA)
-    none = F.lit(0).cast("long")
-    both = raw.select("bucket", F.col("n").alias("raw"), none.alias("target")).unionByName(
-        target.select("bucket", none.alias("raw"), F.col("n").alias("target"))
-    )
-    found = both.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
+    ids = save(trusted.select(F.col("doc_id").alias("trusted_id")), "trusted")
+    flagged = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
+    counted = flagged.select("text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(count_ngrams, COUNT_SCHEMA)
+    found = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     counts = np.zeros((2, 1 << BITS))
     counts[:, found["bucket"]] = found[["target", "raw"]].to_numpy().T
     if not counts[0].sum():
