@@ -8,26 +8,28 @@ which makes the plain step right unless rates stop at 0. A step is one aggregati
 table of posteriors; only sums by domain reach the driver, and the rates follow from the steps' few numbers.
 
 Training takes at most ``MOST_LABELLED`` labelled documents, those of the smallest hash of their id; the fit and
-everything else cover all documents. A document's tokens are its words: runs of letters and digits.
+everything else cover all documents. A document's tokens are its words with a letter or digit.
 
 Defined results: null text is empty, with no tokens; labels with nulls, or several that disagree on a document,
-are left out of the training; without labelled documents there is no posterior and every rate is 1; with
+are left out of the training; without labelled documents the posterior is empty and every rate is 1; with
 one labelled domain every document belongs to it; a domain without mass cannot reach its target, the
 others do; a null doc_id is scored like others; repeated rows are mixed alike; empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import PipelineModel
+import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmill.llm.common import packed, save, text_or_empty
+from starmill.llm.common import Vocabulary, packed, save, text_pieces
 
 DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
@@ -37,10 +39,80 @@ MOST_STEPS, NEAR = 40, 1e-6
 # Of the L1 norm: few words tell domains apart.
 PENALTY = 0.002
 
-NOT_WORDS = r"[^\p{L}\p{N}]+"
-SYMBOLS = "#*$%&|<>"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SHAPES = ["symbols", "capitals", "lines_again", "word_length", "log_words"]
+SYMBOLS = b"#*$%&|<>"
+CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SHAPES = 5
+
+
+class _Describer:
+    """Tokens, hashed words (each once) and shapes of texts."""
+
+    _OTHER = re.compile(r"[\W_]+")
+
+    def __init__(self) -> None:
+        self.words = Vocabulary()
+        self.buckets = np.empty(0, np.int64)
+
+    def _bucket(self, word: bytes) -> int:
+        plain = self._OTHER.sub("", word.decode("utf-8", "replace").lower())
+        return xxhash.xxh3_64_intdigest(plain) % FEATURES if plain else -1
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of each text, pairs (text, bucket) in order, and shapes by text."""
+        if self.words.trim():
+            self.buckets = np.empty(0, np.int64)
+        words = [x.split() for x in texts]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        numbers = self.words.numbers([y for x in words for y in x])
+        fresh = self.words.words[len(self.buckets) :]
+        self.buckets = np.concatenate([self.buckets, np.fromiter(map(self._bucket, fresh), np.int64, len(fresh))])
+        bucket, text = self.buckets[numbers], np.repeat(np.arange(len(texts)), counts)
+        there = bucket >= 0
+        tokens = np.bincount(text[there], minlength=len(texts))
+        text, bucket = np.divmod(np.unique(text[there] * FEATURES + bucket[there]), FEATURES)
+        sizes = np.array([max(len(x), 1) for x in texts])
+        lines = [x.split(b"\n") for x in texts]
+        shapes = [
+            10 * np.array([len(x) - len(x.translate(None, SYMBOLS)) for x in texts]) / sizes,
+            10 * np.array([len(x) - len(x.translate(None, CAPITALS)) for x in texts]) / sizes,
+            10 * np.array([1 - len(set(x)) / len(x) for x in lines]),
+            sizes / np.maximum(counts, 1) / 10,
+            np.log1p(counts) / 10,
+        ]
+        return tokens, text, bucket, np.stack(shapes, 1).reshape(len(texts), SHAPES)
+
+
+def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(domain, buckets, shapes) of labelled texts."""
+    known = _Describer()
+    for batch in batches:
+        for rows, texts in text_pieces(batch):
+            _, text, bucket, shapes = known.of(texts)
+            ends = np.searchsorted(text, np.arange(len(texts) + 1))
+            buckets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bucket, pa.int32()))
+            columns = [rows.column("domain"), buckets, pa.array(shapes.tolist())]
+            yield pa.RecordBatch.from_arrays(columns, ["domain", "buckets", "shapes"])
+
+
+def posteriors(weights: np.ndarray, intercepts: np.ndarray):
+    """(doc_id, row_hash, tokens, posterior) of each text; ``weights`` has a row a domain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, words, rest = _Describer(), weights[:, :FEATURES].T.copy(), weights[:, FEATURES:].T
+        for batch in batches:
+            for rows, texts in text_pieces(batch):
+                tokens, text, bucket, shapes = known.of(texts)
+                sums = np.concatenate([np.zeros((1, len(intercepts))), np.cumsum(words[bucket], 0)])
+                ends = np.searchsorted(text, np.arange(len(texts) + 1))
+                margins = sums[ends[1:]] - sums[ends[:-1]] + shapes @ rest + intercepts
+                odds = np.exp(margins - margins.max(1, keepdims=True))
+                columns = [pa.array(tokens, pa.int64()), pa.array((odds / odds.sum(1, keepdims=True)).tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), rows.column("row_hash"), *columns],
+                    ["doc_id", "row_hash", "tokens", "posterior"],
+                )
+
+    return run
 
 
 def domain() -> Column:
@@ -49,28 +121,6 @@ def domain() -> Column:
     return F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, good)
 
 
-def _without(characters: str) -> Column:
-    return F.length("text") - F.length(F.translate("text", characters, ""))
-
-
-def _described(docs: DataFrame) -> DataFrame:
-    """Words and a few shapes of each text."""
-    texts = docs.withColumn("text", text_or_empty())
-    words = F.filter(F.split(F.lower("text"), NOT_WORDS), lambda x: x != "")
-    lines = F.split("text", "\n")
-    length = F.greatest(F.length("text"), F.lit(1))
-    return texts.withColumn("words", words).withColumns(
-        {
-            "tokens": F.size("words").cast("long"),
-            "symbols": 10.0 * _without(SYMBOLS) / length,
-            "capitals": 10.0 * _without(CAPITALS) / length,
-            "lines_again": 10.0 * (1 - F.size(F.array_distinct(lines)) / F.size(lines)),
-            "word_length": F.length("text") / F.greatest(F.size("words"), F.lit(1)) / 10.0,
-            "log_words": F.log1p(F.size("words")) / 10.0,
-        }
-    )
-
-
 def labelled_sample(labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
     """(doc_id, domain) of at most ``most`` documents whose labels agree."""
     named = labels.select("doc_id", domain().alias("domain")).filter("doc_id is not null and domain is not null")
@@ -85,29 +135,34 @@ class DomainClassifier:
     def __init__(self, docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED):
         known = save(labelled_sample(labels, most), "mix-labels")
         # At most ``most`` ids, whatever the corpus, so this side may be broadcast.
-        texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-        sample = save(_vectors(_described(texts)).select("features", "domain"), "mix-sample")
+        texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("domain", "text")
+        described = texts.mapInArrow(describe, "domain string, buckets array<int>, shapes array<double>")
+        sample = save(described, "mix-sample")
         found = {r[0] for r in sample.select("domain").distinct().collect()}
         self.domains = [x for x in DOMAINS if x in found]
-        self.model = None
+        size = FEATURES + SHAPES
+        self.weights, self.intercepts = np.zeros((len(self.domains), size)), np.zeros(len(self.domains))
         if len(self.domains) > 1:
+
+            @F.udf(VectorUDT(), useArrow=False)
+            def vector(buckets, shapes):
+                places = [*buckets, *range(FEATURES, size)]
+                return SparseVector(size, places, [1.0] * len(buckets) + list(shapes))
+
             place = F.array_position(F.array(*map(F.lit, self.domains)), F.col("domain")) - 1
             learner = LogisticRegression(family="multinomial", maxIter=60, regParam=PENALTY, elasticNetParam=1.0)
-            self.model = learner.fit(sample.withColumn("label", place.cast("double")))
+            model = learner.fit(sample.select(vector("buckets", "shapes").alias("features"), place.cast("double").alias("label")))
+            self.weights, self.intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
 
     def posteriors(self, docs: DataFrame) -> DataFrame:
-        """Adds ``tokens`` and ``posterior``, an array in the order of ``domains``."""
-        described = _described(docs)
-        if self.model is None:
-            known = F.array(*[F.lit(1.0) for _ in self.domains]) if self.domains else F.lit(None).cast("array<double>")
-            return described.withColumn("posterior", known)
-        scored = PipelineModel([self.model]).transform(_vectors(described))
-        return scored.withColumn("posterior", vector_to_array("probability"))
-
-
-def _vectors(described: DataFrame) -> DataFrame:
-    hashed = HashingTF(inputCol="words", outputCol="hashed", numFeatures=FEATURES, binary=True).transform(described)
-    return VectorAssembler(inputCols=["hashed", *SHAPES], outputCol="features").transform(hashed)
+        """(doc_id, row_hash, tokens, posterior): an array in the order of ``domains``, empty without domains."""
+        rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row_hash"))
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        weights, intercepts = (self.weights, self.intercepts) if self.domains else (np.zeros((1, FEATURES + SHAPES)), np.zeros(1))
+        scored = rows.mapInArrow(
+            posteriors(weights, intercepts), f"doc_id {kind}, row_hash long, tokens long, posterior array<double>"
+        )
+        return scored if self.domains else scored.withColumn("posterior", F.array().cast("array<double>"))
 
 
 @dataclass
@@ -176,8 +231,7 @@ def mixed_rates(
     is the rate on average and the same whenever it is worked out.
     """
     classifier = DomainClassifier(docs, labels)
-    scored = classifier.posteriors(docs.select("doc_id", "text", F.xxhash64("text").alias("row_hash")))
-    slim = save(scored.select("doc_id", "row_hash", "tokens", "posterior"), "mix-posteriors")
+    slim = save(classifier.posteriors(docs), "mix-posteriors")
     fit = fit_rates(slim, classifier.domains, weights, total)
     copies = F.floor(F.col("rate") + _uniform("doc_id", "row_hash")).cast("int")
     return slim.withColumn("rate", fit.rate()).withColumn("copies", copies), fit
