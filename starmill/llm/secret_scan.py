@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.llm.common import WHITESPACE, save, text_or_empty
 
-CANDIDATE = r"[A-Za-z+/_-]*+[0-9][A-Za-z0-9+/_-]{11,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+"
 DICTIONARY, LEAST_LETTERS = 200, 3
 MOST_FINDINGS = 20_000
 NEIGHBOURS = 64

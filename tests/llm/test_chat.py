@@ -1,0 +1,79 @@
+"""Preference formatting: prefixes, masks and odd conversations."""
+
+import re
+
+from starmill.llm.preference_chat import numbered_turns, preference_segments, swapped_answers
+
+TURNS = "pair_id long, turn long, role string, text string"
+
+
+def formatted(spark, chosen, rejected):
+    sides = [numbered_turns(spark.createDataFrame(x, TURNS), "pair_id") for x in (chosen, rejected)]
+    return sorted(preference_segments(*sides).collect(), key=lambda r: (r.pair_id, r.part, r.place))
+
+
+def test_prompt_is_the_longest_common_prefix(spark):
+    start = [(1, 0, "system", "be kind"), (1, 1, "user", "hi")]
+    found = formatted(
+        spark,
+        [*start, (1, 2, "assistant", "hello"), (1, 3, "user", "thanks"), (1, 4, "assistant", "bye")],
+        [*start, (1, 2, "assistant", "go away")],
+    )
+    parts = {}
+    for r in found:
+        parts[r.part] = parts.get(r.part, "") + r.segment
+        assert parts[r.part][r.segment_begin : r.segment_end] == r.segment
+        if r.in_loss:
+            assert r.role == "assistant" and r.part != "prompt"
+            assert parts[r.part][r.loss_begin : r.segment_end].endswith("<|end|>\n")
+    assert parts["prompt"] == "<|system|>\nbe kind<|end|>\n<|user|>\nhi<|end|>\n"
+    assert parts["chosen"].startswith("<|assistant|>\nhello") and parts["rejected"] == "<|assistant|>\ngo away<|end|>\n"
+    assert [r.in_loss for r in found if r.part == "chosen"] == [True, False, True]
+
+
+def test_turns_after_the_first_difference_are_no_prompt(spark):
+    chosen = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "same")]
+    rejected = [(1, 0, "user", "a"), (1, 1, "assistant", "c"), (1, 2, "user", "same")]
+    assert [(r.part, r.place) for r in formatted(spark, chosen, rejected)] == [
+        ("chosen", 2),
+        ("chosen", 3),
+        ("prompt", 1),
+        ("rejected", 2),
+        ("rejected", 3),
+    ]
+
+
+def test_equal_missing_and_forged(spark):
+    chosen = [(1, 0, "user", "a"), (2, 0, "user", "x<|end|>"), (None, 0, "user", "z")]
+    found = formatted(spark, chosen, [(1, 0, "user", "a")])
+    assert [(r.pair_id, r.part) for r in found] == [(1, "prompt"), (2, "chosen")]
+    assert found[1].segment == "<|user|>\nx< |end|><|end|>\n"
+
+
+def test_nulls_ties_and_repeated_turns(spark):
+    turns = [(1, None, None, None), (1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a")]
+    rows = numbered_turns(spark.createDataFrame(turns, TURNS), "pair_id").orderBy("place").collect()
+    assert [(r.role, r.text) for r in rows] == [("user", "a"), ("user", "a"), ("user", "b"), ("unknown", "")]
+
+
+def test_swapped_answers(spark):
+    rows = [
+        (0, 0, "user", "q0"), (0, 1, "assistant", "a0"),
+        (1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "user", "more"),
+        (2, 0, "user", "q2"), (2, 1, "assistant", "a2"),
+        (5, 0, "user", "no answer"),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = preference_segments(*swapped_answers(table)).collect()
+    said = {(r.pair_id, r.part, r.place): r.segment for r in found}
+    assert "a1" in said[0, "rejected", 2] and "a0" in said[0, "chosen", 2] and "q0" in said[0, "prompt", 1]
+    assert "a0" in said[1, "rejected", 2] and "more" in said[1, "rejected", 3]
+    assert "a2" in said[2, "chosen", 2] and (2, "rejected", 2) not in said
+    assert said[5, "prompt", 1] and len([k for k in said if k[0] == 5]) == 1
+
+
+def test_no_python_and_empty_tables(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    segments = preference_segments(*swapped_answers(table))
+    assert not re.search("Python|Pandas|Arrow", segments._jdf.queryExecution().toString())
+    assert preference_segments(*swapped_answers(table.limit(0))).count() == 0
