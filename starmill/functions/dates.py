@@ -51,19 +51,19 @@ def month_first(c: Column, last_two_digit_year: int = 2049) -> Column:
     Spark reads ``yy`` as 2000-2099, so later years move back by a century.
     """
     text = F.trim(c)
-    short = F.try_to_timestamp(
-        F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), text), F.lit("M/d/yy")
-    )
-    long = F.try_to_timestamp(
-        F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), text), F.lit("M/d/yyyy")
-    )
-    short, long = short.cast("timestamp_ntz"), long.cast("timestamp_ntz")
+    short = day_text(F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), text), "M/d/yy")
+    long = day_text(F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), text), "M/d/yyyy")
     moved = F.when(
         F.year(short) > last_two_digit_year, short - F.expr("interval 100 years")
     ).otherwise(short)
     return F.coalesce(moved, long)
 
 
+def day_text(c: Column, pattern: str) -> Column:
+    """A text day as a timestamp without zone, NULL when it is none. No session zone plays a part."""
+    return F.try_to_date(c, pattern).cast("timestamp_ntz")
+
+
 def iso_duration(c: Column) -> Column:
     """A day-time interval as ISO 8601 text, for example ``P1DT2H3M4.500000S``.
 

@@ -23,7 +23,8 @@ def like_to_regex(pattern: str) -> str:
 
 
 def like_class(c: Column, pattern: str) -> Column:
-    return c.rlike(like_to_regex(pattern))
+    """LIKE with character classes. A pattern without any is a plain LIKE, which Spark can push down."""
+    return c.rlike(like_to_regex(pattern)) if "[" in pattern else c.like(pattern)
 
 
 def unpad(c: Column) -> Column:

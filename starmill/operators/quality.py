@@ -10,11 +10,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmill.schemas.tables import Table
 
 COLUMNS = ("rule", "table", "key", "detail", "n_rows")
+SCHEMA = "rule string, table string, key string, detail string, n_rows long"
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,8 @@ def row_violations(
 
     Kept rows are dropped before any line is built.
     """
+    if not rules:
+        return df.sparkSession.createDataFrame([], SCHEMA)
     hits = [
         F.when(r.broken, F.struct(F.lit(r.name).alias("rule"), r.detail.alias("detail")))
         for r in rules
@@ -78,8 +81,11 @@ def row_violations(
 
 def key_violations(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     """Duplicate keys and keys with a NULL part. Counts combine before the shuffle."""
+    return _broken_keys(df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")), table, key)
+
+
+def _broken_keys(counted: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.filter((F.col("n_rows") > 1) | has_null).select(
         F.lit("primary_key").alias("rule"),
         F.lit(table).alias("table"),
@@ -102,8 +108,20 @@ def reference_violations(
     The child shrinks to its distinct keys before the join, so a key that owns a large part of
     the rows is one row by then.
     """
+    counted = child.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    return _missing_parents(counted, table, columns, parent, parent_table, parent_columns)
+
+
+def _missing_parents(
+    counted: DataFrame,
+    table: str,
+    columns: Sequence[str],
+    parent: DataFrame,
+    parent_table: str,
+    parent_columns: Sequence[str],
+) -> DataFrame:
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    keys = child.filter(complete).groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    keys = counted.filter(complete)
     known = parent.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(parent_columns)])
     same = reduce(
         lambda a, b: a & b, [F.col(c) == F.col(f"__p{i}") for i, c in enumerate(columns)]
@@ -164,24 +182,64 @@ def row_rules(table: Table) -> list[RowRule]:
     return rules
 
 
+def _key_counts(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """How often each value of each key occurs, all keys from one scan and one shuffle.
+
+    ``at`` is the key's place in ``keys``; its values are in its own struct column k0, k1, ..., the other
+    structs are null.
+    """
+    every = [
+        F.struct(
+            F.lit(i).alias("at"),
+            *[
+                (F.struct(*key) if i == j else F.lit(None)).cast(df.select(F.struct(*key)).schema[0].dataType).alias(f"k{j}")
+                for j, key in enumerate(keys)
+            ],
+        )
+        for i in range(len(keys))
+    ]
+    names = ["at", *[f"k{j}" for j in range(len(keys))]]
+    rows = df.select(F.explode(F.array(*every)).alias("key")).select("key.*")
+    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def table_violations(
+    df: DataFrame, declared: Table, tables: Mapping[str, DataFrame]
+) -> list[DataFrame]:
+    """Row rules of a table in one scan; its primary and foreign keys counted together in another."""
+    name = declared.name
+    key = declared.key or tuple(df.columns)
+    parts = [row_violations(df, name, key, row_rules(declared))]
+    references = [r for r in declared.references if r.table in tables]
+    keys = [*([declared.key] if declared.key else []), *[r.columns for r in references]]
+    if len(keys) < 2:
+        parts += [key_violations(df, name, declared.key)] if declared.key else []
+        parts += [
+            reference_violations(df, name, r.columns, tables[r.table], r.table, r.parent_columns) for r in references
+        ]
+        return parts
+    counts = _key_counts(df, keys)
+
+    def counted(at: int) -> DataFrame:
+        return counts.filter(F.col("at") == at).select(f"k{at}.*", "n_rows")
+
+    if declared.key:
+        parts.append(_broken_keys(counted(0), name, declared.key))
+    for at, r in enumerate(references, len(keys) - len(references)):
+        parts.append(_missing_parents(counted(at), name, r.columns, tables[r.table], r.table, r.parent_columns))
+    return parts
+
+
 def violations(tables: Mapping[str, DataFrame], schema: Mapping[str, Table]) -> DataFrame:
-    """Every rule of every declared table that is present."""
+    """Every rule of every declared table that is present; tables without a declaration have no rules."""
     parts = []
     for name, df in tables.items():
-        declared = schema[name]
-        key = declared.key or tuple(df.columns)
-        parts.append(row_violations(df, name, key, row_rules(declared)))
-        if declared.key:
-            parts.append(key_violations(df, name, declared.key))
-        for ref in declared.references:
-            if ref.table in tables:
-                parts.append(
-                    reference_violations(
-                        df, name, ref.columns, tables[ref.table], ref.table, ref.parent_columns
-                    )
-                )
-    if "employee" in tables and "jobs" in tables:
+        if name in schema:
+            parts += table_violations(df, schema[name], tables)
+    if {"employee", "jobs"} <= tables.keys() and {"employee", "jobs"} <= schema.keys():
         parts.append(level_violations(tables["employee"], tables["jobs"]))
+    if not parts:
+        return SparkSession.active().createDataFrame([], SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -54,10 +54,15 @@ class Run:
 
 
 def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str], n: int) -> None:
-    """Runs ``work`` for every name; the first failure is raised."""
+    """Runs ``work`` for every name. The first failure is raised, and what had not begun is not run."""
     with ThreadPoolExecutor(n) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(work), name) for name in names]:
-            done.result()
+        begun = [pool.submit(inheritable_thread_target(spark)(work), name) for name in names]
+        try:
+            for done in as_completed(begun):
+                done.result()
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
 
 
 def extract(spark: SparkSession, source: Source, run: Run) -> list[str]:

@@ -59,9 +59,9 @@ def dim_products(t: Tables) -> DataFrame:
 def dim_employees(t: Tables, country: str = "USA", hire_date: str = "date") -> DataFrame:
     """One row per employee and region, with the number of territories there.
 
-    Territories learn their region first, so the bridge is joined once. It is counted per
-    employee and region before it meets the employees: the counts combine ahead of the shuffle,
-    so a busy employee costs no more than any other. Employee rows that agree in every shown
+    Territories learn their region first, so the bridge is joined once. It is counted per employee and
+    territory before that join and per employee and region before it meets the employees: the counts
+    combine ahead of each shuffle, so a busy employee or territory costs no more than any other. Employee rows that agree in every shown
     column count as one employee with all their territories, as if grouped after the join.
     ``hire_date="millis"`` keeps the epoch milliseconds of a staged file.
     """
@@ -72,12 +72,16 @@ def dim_employees(t: Tables, country: str = "USA", hire_date: str = "date") -> D
         .join(regions, "region_id", "left")
         .select("territory_id", "region_description")
     )
-    managed = (
+    # Counted before the join too: a territory with very many rows in the bridge is few by then.
+    bridge = (
         t["employee_territories"]
-        .select("employee_id", "territory_id")
-        .join(home, "territory_id", "left")
+        .groupBy("employee_id", "territory_id")
+        .agg(F.count("territory_id").alias("times"))
+    )
+    managed = (
+        bridge.join(home, "territory_id", "left")
         .groupBy("employee_id", "region_description")
-        .agg(F.count("territory_id").alias("n"))
+        .agg(F.sum("times").alias("n"))
     )
     employees = t["employees"]
     hired = day_of(employees, "hire_date")
@@ -108,6 +112,14 @@ def dim_date(t: Tables, as_of: dt.date | str | None = None) -> DataFrame:
     return calendar(t["orders"], "order_date", as_of)
 
 
+def unique_rows(df: DataFrame, key: str, table: str) -> DataFrame:
+    """``df``, whose job fails if a value of ``key`` is there twice; nulls may be."""
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col(key).isNotNull())
+    message = F.concat(F.lit(f"{table}.{key} is repeated: "), F.min(F.col(key).cast("string")))
+    checked = repeated.agg(F.when(F.count(F.lit(1)) > 0, F.raise_error(message)).otherwise(F.lit(True)).alias("ok"))
+    return df.filter(F.coalesce(checked.scalar().cast("boolean"), F.lit(True)))
+
+
 def fact_table(
     t: Tables,
     as_of: dt.date | str | None = None,
@@ -122,7 +134,8 @@ def fact_table(
     order that starts with ``order_id``. That one shuffle serves the surrogate key and the join
     with the orders, which go to the same partitions. A large order spans several
     partitions, and its order row is copied to each of them. ``order_id`` must be unique in
-    orders and ``product_id`` in products.
+    orders and ``product_id`` in products; a repeated one stops the build, since its lines would
+    get one surrogate key several times.
 
     Date ids are computed on the orders, before the join. With ``dates``, a calendar table, they
     come from joins with that table instead of from its day arithmetic.
@@ -131,6 +144,8 @@ def fact_table(
         raise ValueError("line_key must start with order_id")
     lines, products = t["order_details"], t["products"]
     orders = t["orders"].select("order_id", "customer_id", "employee_id", *ROLES)
+    orders = unique_rows(orders, "order_id", "orders")
+    products = unique_rows(products.select("product_id", "supplier_id"), "product_id", "products")
     if dates is None:
         orders = date_ids(orders, ROLES, "order_date", as_of)
     else:
@@ -157,7 +172,7 @@ def fact_table(
     shipped = F.coalesce(F.col("__shipped"), F.lit(False))
     return (
         numbered.join(copies, ["order_id", BUCKET], "left")
-        .join(products.select("product_id", "supplier_id"), "product_id", "left")
+        .join(products, "product_id", "left")
         .select(
             "fact_id",
             "order_id",

@@ -8,7 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.schemas.tables import Table
-from starmill.sources.folders import list_staged, read_staged
+from starmill.sources.catalog import NEW, OLD
+from starmill.sources.folders import list_staged, read_staged, remove_folder
 
 
 def create_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -17,23 +18,60 @@ def create_database(spark: SparkSession, db: str, location: str | None = None) -
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
 
 
+def _renamed(spark: SparkSession, db: str, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE `{db}`.`{old}` RENAME TO `{db}`.`{new}`")
+
+
+def clear_leftovers(spark: SparkSession, db: str, table: str) -> None:
+    """Undoes a swap that a lost driver left half done: the old table comes back, unfinished new ones go.
+
+    One writer at a time may replace a table.
+    """
+    names = [t.name for t in spark.catalog.listTables(db)]
+    for name in names:
+        if name.startswith(f"{table}{OLD}") and not spark.catalog.tableExists(f"`{db}`.`{table}`"):
+            _renamed(spark, db, name, table)
+        elif name.startswith((f"{table}{OLD}", f"{table}{NEW}")):
+            spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
+
+
 def replace_table(df: DataFrame, db: str, table: str, fmt: str = "parquet") -> None:
     """Replaces rows and schema of a table. ``df`` may read the table it replaces.
 
-    The new rows are complete before the old table is renamed away, so a failed job leaves the
-    old table as it was.
+    The new rows are complete before the old table is renamed away. If the write or a rename fails, the
+    old table is there as before and nothing else is left.
     """
     spark = df.sparkSession
+    clear_leftovers(spark, db, table)
     tag = uuid.uuid4().hex[:12]
-    fresh, old = f"`{db}`.`{table}__new_{tag}`", f"`{db}`.`{table}__old_{tag}`"
-    target = f"`{db}`.`{table}`"
-    df.write.format(fmt).saveAsTable(fresh)
-    if spark.catalog.tableExists(target):
-        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
-        spark.sql(f"DROP TABLE {old}")
-    else:
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
+    fresh, old = f"{table}{NEW}{tag}", f"{table}{OLD}{tag}"
+    moved = False
+    try:
+        df.write.format(fmt).saveAsTable(f"`{db}`.`{fresh}`")
+        if spark.catalog.tableExists(f"`{db}`.`{table}`"):
+            _renamed(spark, db, table, old)
+            moved = True
+        _renamed(spark, db, fresh, table)
+    except BaseException:
+        if moved:
+            _renamed(spark, db, old, table)
+        _discard(spark, db, fresh)
+        raise
+    if moved:
+        spark.sql(f"DROP TABLE `{db}`.`{old}`")
+
+
+def _discard(spark: SparkSession, db: str, table: str) -> None:
+    """Drops a table, and the folder that a failed write left in its place."""
+    spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{table}`")
+    where = spark.sql(f"DESCRIBE DATABASE `{db}`").filter("info_name = 'Location'").first()
+    if where:
+        remove_folder(spark, f"{where['info_value'].rstrip('/')}/{table.lower()}")
+
+
+def drop_database(spark: SparkSession, db: str) -> None:
+    """Drops a database with its tables."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
 
 
 def load_table(spark: SparkSession, root: str, table: str, db: str, fmt: str = "parquet") -> None:

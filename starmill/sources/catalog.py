@@ -8,12 +8,17 @@ from typing import ClassVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+# What marks the tables that stand in while a table is replaced.
+NEW, OLD = "__new_", "__old_"
+
+
 def list_tables(spark: SparkSession, db: str) -> list[str]:
-    """Base tables of one database: no views, no temporary views."""
+    """Base tables of one database: no views, no temporary views, no tables of an unfinished swap."""
     return sorted(
         t.name
         for t in spark.catalog.listTables(db)
         if not t.isTemporary and t.tableType not in ("VIEW", "TEMPORARY")
+        and NEW not in t.name and OLD not in t.name
     )
 
 

@@ -5,6 +5,7 @@ from starmill.operators import quality as dq
 from starmill.operators.numbering import global_row_number
 from starmill.schemas.order_entry import ORDER_ENTRY
 from starmill.schemas.publishing import PUBLISHING
+from starmill.schemas.tables import Reference, Table, text, whole
 from tests import order_fixture
 
 
@@ -151,3 +152,30 @@ def test_order_entry_rules_and_the_gate(spark):
         dq.require_clean(got)
     clean = {**tables, "order_details": tables["order_details"].filter("order_id <> 999")}
     dq.require_clean(dq.violations(clean, ORDER_ENTRY))
+
+
+def test_tables_without_rules_or_declaration_have_no_violations(spark):
+    plain = {"plain": Table("plain", (text("a"),))}
+    found = dq.violations({"plain": spark.createDataFrame([("x",)], "a string"), "other": spark.range(2)}, plain)
+    assert found.count() == 0
+    assert dq.violations({"other": spark.range(2)}, plain).columns == list(dq.COLUMNS)
+
+
+def test_all_keys_of_a_table_come_from_one_scan(spark, tmp_path):
+    declared = Table(
+        "c",
+        (whole("id"), whole("p"), whole("q")),
+        key=("id",),
+        references=(Reference(("p",), "parent", ("id",)), Reference(("q",), "parent", ("id",))),
+    )
+    rows = [(1, 1, 2), (1, 9, None), (2, 9, 8), (None, 1, 1)]
+    spark.createDataFrame(rows, "id int, p int, q int").write.parquet(str(tmp_path / "c"))
+    child, parent = spark.read.parquet(str(tmp_path / "c")), spark.createDataFrame([(1,), (2,)], "id int")
+    parts = dq.table_violations(child, declared, {"c": child, "parent": parent})
+    found = {(r.rule, r.key, r.n_rows) for part in parts[1:] for r in part.collect()}
+    assert found == {
+        ("primary_key", '{"id":1}', 2),
+        ("primary_key", '{"id":null}', 1),
+        ("foreign_key:p", '{"p":9}', 2),
+        ("foreign_key:q", '{"q":8}', 1),
+    }

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from starmill.operators.quality import BrokenRules
 from starmill.plans import refresh, star
 from starmill.schemas.order_entry import ORDER_ENTRY
 from starmill.session import scratch_dir
+from starmill.sinks import warehouse
 from starmill.sinks.staging import stage
 from starmill.sinks.warehouse import (
     create_database,
@@ -220,3 +222,58 @@ def test_jdbc_statements_and_options(spark):
         "numPartitions": "64",
     }
     assert not source.stable
+
+
+@pytest.mark.parametrize("rename", [1, 2])
+def test_a_failed_rename_leaves_the_old_table(spark, db, monkeypatch, rename):
+    replace_table(spark.range(5), db, "t")
+    plain, calls = warehouse._renamed, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == rename:
+            raise RuntimeError("no rename")
+        plain(*args)
+
+    monkeypatch.setattr(warehouse, "_renamed", failing)
+    with pytest.raises(RuntimeError):
+        replace_table(spark.range(9), db, "t")
+    monkeypatch.undo()
+    assert spark.table(f"{db}.t").count() == 5
+    assert [t.name for t in spark.catalog.listTables(db) if not t.isTemporary] == ["t"]
+
+
+def test_a_swap_that_a_lost_driver_left_is_undone(spark, db):
+    spark.range(5).write.saveAsTable(f"{db}.t__old_1")
+    spark.range(9).write.saveAsTable(f"{db}.t__new_1")
+    assert list_tables(spark, db) == []
+    warehouse.clear_leftovers(spark, db, "t")
+    assert list_tables(spark, db) == ["t"] and spark.table(f"{db}.t").count() == 5
+
+
+def test_a_failed_write_leaves_no_folder(spark, db):
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception):
+        replace_table(broken, db, "u")
+    replace_table(spark.range(3), db, "u")
+    assert list_tables(spark, db) == ["u"]
+
+
+def test_a_dropped_database_is_gone(spark, db):
+    replace_table(spark.range(5), db, "t")
+    warehouse.drop_database(spark, db)
+    assert not spark.catalog.databaseExists(db)
+
+
+def test_queued_work_is_not_run_after_a_failure(spark):
+    ran = []
+
+    def work(name):
+        ran.append(name)
+        if name == "a":
+            raise RuntimeError("no")
+        time.sleep(0.3)
+
+    with pytest.raises(RuntimeError):
+        refresh._each(spark, work, "abcdefgh", 1)
+    assert len(ran) < 8

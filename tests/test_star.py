@@ -87,15 +87,16 @@ def test_fact_moves_lines_once_and_orders_once(spark, t, tmp_path):
     try:
         out = io.StringIO()
         with contextlib.redirect_stdout(out):
-            star.fact_table(files, as_of=AS_OF, buckets=8).explain()
+            star.fact_table(files, as_of=AS_OF, buckets=8).explain("formatted")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    text = out.getvalue()
-    assert text.count("Exchange shufflepartitionidpassthrough") == 2
+    # the checks for repeated keys stand among the subqueries
+    text = out.getvalue().split("===== Subqueries")[0]
+    assert text.count("Arguments: shufflepartitionidpassthrough") == 2
     # the products, twice for their join, and the bucket sizes
-    assert text.count("Exchange hashpartitioning(product_id") == 2
-    assert text.count("Exchange hashpartitioning(__bucket") == 1
-    assert "Exchange hashpartitioning(order_id" not in text
+    assert text.count("Arguments: hashpartitioning(product_id") == 2
+    assert text.count("Arguments: hashpartitioning(__bucket") == 1
+    assert "Arguments: hashpartitioning(order_id" not in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
@@ -170,3 +171,10 @@ def test_dim_date(t):
     assert [tuple(r) for r in got] == [
         (i + 1, fixture.FIRST + dt.timedelta(i)) for i in range((AS_OF - fixture.FIRST).days + 1)
     ]
+
+
+@pytest.mark.parametrize("table", ["orders", "products"])
+def test_a_repeated_key_stops_the_fact(spark, t, table):
+    twice = {**t, table: t[table].unionByName(t[table].limit(1))}
+    with pytest.raises(Exception, match="is repeated"):
+        star.fact_table(twice, as_of=AS_OF).collect()
