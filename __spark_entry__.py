@@ -24,11 +24,13 @@ from starmill.functions.text import like_class  # noqa: E402
 from starmill.operators import quality as dq  # noqa: E402
 from starmill.operators.numbering import global_row_number  # noqa: E402
 from starmill.operators.profile import column_profiles, normalise, profile  # noqa: E402
-from starmill.plans import reports, star  # noqa: E402
+from starmill.plans import refresh, reports, star  # noqa: E402
+from starmill.schemas.order_entry import ORDER_ENTRY  # noqa: E402
 from starmill.schemas.publishing import PUBLISHING  # noqa: E402
 from starmill.session import scratch_dir  # noqa: E402
 from starmill.sinks.staging import stage  # noqa: E402
-from starmill.sinks.warehouse import create_database, load_table, replace_table  # noqa: E402
+from starmill.sinks.warehouse import create_database, drop_database, load_table, replace_table  # noqa: E402
+from starmill.sources.catalog import CatalogSource, list_tables  # noqa: E402
 from starmill.sources.folders import FolderSource, table_name_column  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,9 +197,15 @@ def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy(name.alias("table_name")).agg(F.sum("n_rows").alias("n_rows"))
 
 
+# The scratch database that each query made last. A result reads it until the query is asked for again.
+_MADE: dict[str, str] = {}
+
+
 def _database(spark: SparkSession, label: str) -> tuple[str, str]:
+    if label in _MADE:
+        drop_database(spark, _MADE[label])
     root = scratch_dir(spark, label)
-    db = root.rsplit("/", 1)[-1].replace("-", "_")
+    db = _MADE[label] = root.rsplit("/", 1)[-1].replace("-", "_")
     create_database(spark, db, f"{root}/warehouse")
     return root, db
 
@@ -222,6 +230,41 @@ def replace_own_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.dim_customers")
 
 
+def _daily(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, str]:
+    """Two daily runs over a source database that also holds an empty table and a view."""
+    root, source = _database(spark, f"{label}_source")
+    tables = sample.order_entry(spark, sf_dir)
+    for name in tables.builders:
+        replace_table(tables[name], source, name)
+    replace_table(ORDER_ENTRY["customer_demographics"].empty(spark), source, "customer_demographics")
+    spark.sql(f"CREATE VIEW `{source}`.shipped_orders AS SELECT * FROM `{source}`.orders WHERE shipped_date IS NOT NULL")
+    raw, star_db = _database(spark, f"{label}_raw")[1], _database(spark, f"{label}_star")[1]
+    run = refresh.Run(f"{root}/staging", raw, star_db, as_of=sample.AS_OF, line_key=sample.LINE_KEY)
+    for _ in range(2):
+        refresh.daily(spark, CatalogSource(spark, source), run)
+    return raw, star_db
+
+
+def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact that the second of two daily runs leaves: extract, load, check, transform."""
+    _, db = _daily(spark, sf_dir, "daily_fact")
+    built, plain = spark.table(f"`{db}`.fact_table"), fact_table(spark, sf_dir)
+    return built.select(*[F.col(f.name).cast(f.dataType) for f in plain.schema])
+
+
+def daily_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every raw and star table after two daily runs: the view is not extracted, the empty table is."""
+    found = dict(zip(("raw", "star"), _daily(spark, sf_dir, "daily_tables"), strict=True))
+    counts = [
+        spark.table(f"`{db}`.`{name}`").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows"
+        )
+        for layer, db in found.items()
+        for name in list_tables(spark, db)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def default_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers inserted as authors with a column list: the rest takes defaults or NULL."""
     customers = sample.read(spark, sf_dir, "customer").select(
@@ -366,6 +409,8 @@ _QUERIES: tuple[Query, ...] = (
     table_inventory,
     load_truncate,
     replace_own_table,
+    daily_fact,
+    daily_tables,
     default_fill,
     dq_not_null,
     dq_pk,

@@ -384,3 +384,29 @@ ORACLES = {
         FROM ({_PATTERN} UNION ALL {_KNOWN} UNION ALL {_LENGTH} UNION ALL {_PK})
         GROUP BY rule, "table\"""",
 }
+
+
+def _counts(layer: str, table: str, rows: str) -> str:
+    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS n_rows FROM {rows}"
+
+
+_RAW = {
+    "categories": "nation",
+    "customers": "customer",
+    "employee_territories": "lineitem",
+    "employees": "part",
+    "order_details": "lineitem",
+    "orders": "orders",
+    "products": "part",
+    "region": "nation",
+    "suppliers": "supplier",
+    "territories": "supplier",
+    "customer_demographics": "(SELECT 1 WHERE false)",
+}
+_STAR = ("dim_customers", "dim_date", "dim_employees", "dim_products", "dim_suppliers", "fact_table")
+
+ORACLES["daily_fact"] = ORACLES["fact_table"]
+ORACLES["daily_tables"] = " UNION ALL ".join(
+    [_counts("raw", name, rows) for name, rows in _RAW.items()]
+    + [_counts("star", name, f"({ORACLES[name]})") for name in _STAR]
+)

@@ -39,7 +39,8 @@ class Source(Protocol):
 class Run:
     """Settings of one run. ``tables_at_once`` Spark jobs are submitted side by side.
 
-    ``rules`` are the declared tables whose rules the raw tables must keep.
+    ``rules`` are the declared tables whose rules the raw tables must keep. ``line_key`` orders the
+    order lines totally.
     """
 
     staging_root: str
@@ -51,6 +52,7 @@ class Run:
     as_of: dt.date | str | None = None
     tables_at_once: int = 4
     rules: Mapping[str, Table] | None = None
+    line_key: tuple[str, ...] = ("order_id", "product_id")
 
 
 def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str], n: int) -> None:
@@ -132,7 +134,8 @@ def transform(spark: SparkSession, run: Run) -> list[str]:
 
     def one(name: str) -> None:
         model = star.MODELS[name]
-        df = model(t, as_of=as_of) if name in ("dim_date", "fact_table") else model(t)
+        settings = {"dim_date": {"as_of": as_of}, "fact_table": {"as_of": as_of, "line_key": run.line_key}}
+        df = model(t, **settings.get(name, {}))
         replace_table(df, run.star_db, name)
         log.info("built %s.%s", run.star_db, name)
 

@@ -14,10 +14,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """But for some of the text queries, which no SQL expresses; their own tests hold them to other versions."""
+    from sample_sql import ORACLES
 
+    assert {q.__name__ for q in entry._QUERIES} == set(ORACLES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) is None
 
