@@ -1,7 +1,7 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier trained on the labelled table gives each document a posterior over domains. The unknowns are one
-rate a document, at least 0: how often it is to be read. Projected-gradient least squares fits them, from
+rate a document, at least 0: how often it is to be read, and at most ``MOST_RATE``: texts read more often than that teach nothing new. Projected-gradient least squares fits them, from
 1 each, so that the expected tokens of each domain, summed over documents as rate x tokens x
 posterior, match the targets. The squares are weighed by the inverse of sum(tokens x posterior x posterior'),
 which makes the plain step right unless rates stop at 0. A step is one aggregation over the slim
@@ -12,8 +12,9 @@ everything else cover all documents. A document's tokens are its words with a le
 
 Defined results: null text is empty, with no tokens; labels with nulls, or several that disagree on a document,
 are left out of the training; without labelled documents the posterior is empty and every rate is 1; with
-one labelled domain every document belongs to it; a domain without mass cannot reach its target, the
-others do; a null doc_id is scored like others; repeated rows are mixed alike; empty tables give empty results.
+one labelled domain every document belongs to it; a domain whose target is more than
+``MOST_RAISE`` times its tokens is raised that far, and one with less than ``LEAST_SHARE`` of all tokens is left as it
+is, and the others share what they leave; a null doc_id is scored like others; repeated rows are mixed alike; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 MOST_LABELLED = 20_000
 FEATURES = 1 << 14
+MOST_RATE, MOST_RAISE, LEAST_SHARE = 4.0, 2.0, 0.01
+HALVINGS = 6
 MOST_STEPS, NEAR = 40, 1e-6
 # Of the L1 norm: few words tell domains apart.
 PENALTY = 0.002
@@ -175,14 +178,28 @@ class Fit:
     targets: list[float]
 
     def rate(self, posterior: str = "posterior") -> Column:
-        """A document's rate: each step lowers it by posterior x step, to 0 at least."""
+        """A document's rate: each step lowers it by posterior x step, within its bounds."""
         rate = F.lit(1.0)
         for step in self.steps:
             lower = sum((F.col(posterior)[k] * x for k, x in enumerate(step)), F.lit(0.0))
-            rate = F.greatest(F.lit(0.0), rate - lower)
+            rate = F.least(F.lit(MOST_RATE), F.greatest(F.lit(0.0), rate - lower))
         return rate
 
 
+def reachable(targets: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Targets of which none is more than MOST_RAISE times what there is; the others share what is left over."""
+    found, open_ = targets.astype(float), np.ones(len(targets), bool)
+    for _ in targets:
+        beyond = open_ & (found > MOST_RAISE * there)
+        if not beyond.any():
+            break
+        left = (found - MOST_RAISE * there)[beyond].sum()
+        found[beyond], open_[beyond] = MOST_RAISE * there[beyond], False
+        if found[open_].sum() > 0:
+            found[open_] *= 1 + left / found[open_].sum()
+    return found
+
+
 def fit_rates(
     slim: DataFrame, domains: list[str], weights: dict[str, float] | None = None, total: float | None = None
 ) -> Fit:
@@ -195,10 +212,10 @@ def fit_rates(
     p = [F.col("posterior")[k] for k in range(size)]
 
     def sums() -> tuple[np.ndarray, np.ndarray]:
-        """Expected tokens by domain at the rates so far, and their cross sums where rates are above 0."""
+        """Expected tokens by domain at the rates so far, and their cross sums where rates can move."""
         rated = slim.withColumn("rate", fit.rate())
         expected = [F.sum(F.col("tokens") * F.col("rate") * x) for x in p]
-        moves = F.when(F.col("rate") > 0, F.col("tokens")).otherwise(0)
+        moves = F.when((F.col("rate") > 0) & (F.col("rate") < MOST_RATE), F.col("tokens")).otherwise(0)
         found = rated.agg(*expected, *[F.sum(moves * x * y) for x in p for y in p]).first()
         values = np.array([x or 0.0 for x in found])
         return values[:size], values[size:].reshape(size, size)
@@ -208,11 +225,28 @@ def fit_rates(
     fit.reached = fit.targets = there.tolist()
     if not share.sum() or not there.sum():
         return fit
-    targets = share / share.sum() * (there.sum() if total is None else total)
+    # What the classifier hardly ever sees is noise to it: such a domain is left as it is.
+    seen = there >= LEAST_SHARE * there.sum()
+    share = np.where(seen, share, 0)
+    if not share.sum():
+        return fit
+    targets = reachable(share / share.sum() * (there.sum() if total is None else total), there)
+    targets = np.where(seen, targets, there)
     fit.targets = targets.tolist()
-    while len(fit.steps) < MOST_STEPS and np.abs(there - targets).max() > NEAR * targets.sum():
-        fit.steps.append((np.linalg.pinv(gram) @ (there - targets)).tolist())
-        there, gram = sums()
+    while len(fit.steps) < MOST_STEPS and np.abs(there - targets)[seen].max() > NEAR * targets.sum():
+        before, step = np.abs(there - targets)[seen].sum(), np.zeros(size)
+        step[seen] = np.linalg.pinv(gram[np.ix_(seen, seen)], rcond=1e-9) @ (there - targets)[seen]
+        for _ in range(HALVINGS):
+            fit.steps.append(step.tolist())
+            found = sums()
+            if np.abs(found[0] - targets)[seen].sum() < before * (1 - 1e-3):
+                break
+            # No nearer: bounds cut the step short, so half of it is tried. If no part helps, the rates stay.
+            fit.steps.pop()
+            step = step / 2
+        else:
+            break
+        there, gram = found
         fit.reached = there.tolist()
     return fit
 

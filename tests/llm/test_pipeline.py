@@ -62,7 +62,7 @@ def test_pipeline_rows_by_hand(spark, small, labels):
     for r in rates.collect():
         rate = 1.0
         for step in fit.steps:
-            rate = max(0.0, rate - float(np.dot(r.posterior, step)))
+            rate = min(max(0.0, rate - float(np.dot(r.posterior, step))), source_mixing.MOST_RATE)
         assert r.rate == pytest.approx(rate)
         copies[r.doc_id] = r.copies
     # 5
