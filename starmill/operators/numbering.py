@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from starmill.session import scratch_dir
+from starmill.sources.folders import remove_folder
+
 ROWS_PER_BUCKET = 1_000_000
-SMALLEST_BUCKET = 20_000
-MOST_BUCKETS = 32_768
 SAMPLE_PER_BUCKET = 16
 SEGMENT = 256
 
@@ -50,8 +51,9 @@ class RangeBuckets:
 
     keys: tuple[str, ...]
     key_types: tuple[T.DataType, ...]
-    segments: str  # JSON: sorted cuts in segments of SEGMENT, each cut an object k0, k1, ...
-    tops: str  # JSON: the last cut of every full segment
+    # One row: ``segments``, the sorted cuts SEGMENT at a time, and ``tops``, the last cut of each full
+    # segment, both as JSON with a cut as an object k0, k1, ... Plans hold a subquery on it, not the cuts.
+    table: DataFrame | None
     cuts: int
 
     @property
@@ -65,8 +67,8 @@ class RangeBuckets:
             [T.StructField(f"k{i}", t) for i, t in enumerate(self.key_types[: len(key)])]
         )
         one, many = T.ArrayType(fields), T.ArrayType(T.ArrayType(fields))
-        tops = F.from_json(F.lit(self.tops), one)
-        segments = F.from_json(F.lit(self.segments), many)
+        tops = self.table.select(F.from_json("tops", one)).scalar()
+        segments = self.table.select(F.from_json("segments", many)).scalar()
         typed = [c.cast(t) for c, t in zip(key, self.key_types)]
         df = df.withColumn(_KEY, _key_struct(typed))
         df = _search(df, tops, self.cuts // SEGMENT, _HIGH, strict)
@@ -118,7 +120,7 @@ class RangeBuckets:
             self.place(bucketed)
             .sortWithinPartitions(lead, BUCKET, *rest)
             .withColumn("__place", place)
-            # at most MOST_BUCKETS rows of two numbers
+            # a row of two numbers a bucket, that is for a million rows of the table
             .join(F.broadcast(self.offsets(bucketed)), BUCKET, "left")
             .withColumn(out, F.col("__before") + F.col("__place") + F.lit(1))
             .drop("__before", "__place")
@@ -128,7 +130,7 @@ class RangeBuckets:
 def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> RangeBuckets:
     """Takes cut points from a sample of bounded size; they only decide how even buckets are.
 
-    Reads the keys twice: a row count, then the sample.
+    Reads the keys twice: a row count, which the files' own counts can answer, then the sample.
     """
     keys = tuple(keys)
     types = tuple(df.schema[k].dataType for k in keys)
@@ -136,28 +138,43 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None
     rows = keyed.count()
     if buckets is None:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        buckets = max(
-            math.ceil(rows / ROWS_PER_BUCKET), min(cores, math.ceil(rows / SMALLEST_BUCKET))
-        )
-    buckets = max(1, min(buckets, MOST_BUCKETS))
-    if buckets == 1:
-        return RangeBuckets(keys, types, "[]", "[]", 0)
+        buckets = max(math.ceil(rows / ROWS_PER_BUCKET), min(cores, rows))
+    if buckets <= 1:
+        return RangeBuckets(keys, types, None, 0)
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
     sample = keyed.sample(False, share, 42) if share < 1.0 else keyed
-    picked = sample.agg(
-        F.sort_array(F.collect_list(_key_struct([F.col(k) for k in keys]))).alias("s")
-    ).select(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(buckets - 1)),
-            lambda i: F.get("s", F.floor(i.cast("long") * F.size("s") / F.lit(buckets)).cast("int")),
-        ).alias("c")
+    sorted_sample = scratch_dir(df.sparkSession, "numbering")
+    try:
+        return RangeBuckets(keys, types, *_cuts(sample, keys, types, buckets, sorted_sample))
+    finally:
+        remove_folder(df.sparkSession, sorted_sample)
+
+
+def _cuts(
+    sample: DataFrame, keys: tuple[str, ...], types: tuple[T.DataType, ...], buckets: int, folder: str
+) -> tuple[DataFrame, int]:
+    """The cuts and how many they are. The sample is sorted by many tasks; only the cuts meet in one."""
+    spark = sample.sparkSession
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    key = _key_struct([F.col(k) for k in keys])
+    sample.orderBy(*keys).select(key.alias("cut"), F.spark_partition_id().alias("part"), place.alias("place")).write.parquet(folder)
+    placed = spark.read.parquet(folder)
+    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    # a row for each task of the sort
+    offsets = sizes.select(
+        "part",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+        F.sum("n").over(W.partitionBy()).alias("all"),
     )
+    at = placed.join(F.broadcast(offsets), "part").withColumn("at", F.col("before") + F.col("place"))
+    bucket = [F.floor((F.col("at") - back) * buckets / F.col("all")) for back in (0, 1)]
+    picked = at.filter((F.col("at") > 0) & (bucket[0] > bucket[1])).agg(F.collect_list("cut").alias("c"))
     # JSON drops what it cannot hold, such as microseconds, so the order is made after one trip;
-    # a second trip changes nothing. An empty sample picks NULL only.
+    # a second trip changes nothing.
     cut = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
-    kept = F.filter("c", lambda x: x.isNotNull())
     picked = picked.select(
-        F.sort_array(F.from_json(F.to_json(kept), T.ArrayType(cut))).alias("c")
+        F.sort_array(F.from_json(F.to_json("c"), T.ArrayType(cut))).alias("c")
     ).select(
         F.filter("c", lambda x, i: (i == 0) | (x != F.get("c", i - F.lit(1)))).alias("c")
     )
@@ -174,7 +191,8 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None
             F.filter("c", lambda x, i: (i + F.lit(1)) % F.lit(SEGMENT) == F.lit(0))
         ).alias("tops"),
     ).first()
-    return RangeBuckets(keys, types, row["segments"], row["tops"], row["n"])
+    table = spark.createDataFrame([(row["segments"], row["tops"])], "segments string, tops string")
+    return table, row["n"]
 
 
 def global_row_number(
@@ -183,7 +201,7 @@ def global_row_number(
     """Adds ``row_number() over (order by keys)``; the keys must order the rows totally.
 
     ``df`` should be a table or a file scan: it is read once for the count, once for the
-    sample and once for the bucket sizes, each time only the keys. By default a bucket holds a
+    sample (which is sorted in the scratch folder) and once for the bucket sizes, each time only the keys. By default a bucket holds a
     million rows; rows with long texts want more ``buckets``.
     """
     return range_buckets(df, keys, buckets).number(df, out).drop(BUCKET)

@@ -127,9 +127,12 @@ def test_bucket_count_follows_the_rows(spark, monkeypatch):
     monkeypatch.setattr(numbering, "ROWS_PER_BUCKET", 100)
     ranges = range_buckets(spark.range(5000).select(F.col("id").alias("a")), ["a"])
     assert ranges.count == 50
-    monkeypatch.setattr(numbering, "MOST_BUCKETS", 20)
-    ranges = range_buckets(spark.range(5000).select(F.col("id").alias("a")), ["a"])
-    assert ranges.count == 20
+
+
+def test_small_tables_use_several_buckets_too(spark):
+    assert range_buckets(spark.range(100).select(F.col("id").alias("a")), ["a"]).count > 1
+    check(spark, [(1,), (2,), (3,)], "a int", ["a"], None)
+    check(spark, [], "a int", ["a"], None)
 
 
 def test_numbers_do_not_depend_on_what_follows(spark):
@@ -152,10 +155,13 @@ def test_numbers_do_not_depend_on_what_follows(spark):
         assert rows and all(want[r["a"]] == r["n"] for r in rows)
 
 
-def test_the_largest_number_of_buckets(spark):
+def test_no_ceiling_on_buckets_and_no_cuts_in_the_plan(spark):
     df = spark.range(600_000).select((F.col("id") * 7919 % 600_011).alias("a"))
-    ranges = range_buckets(df, ["a"], numbering.MOST_BUCKETS)
-    assert ranges.count == numbering.MOST_BUCKETS
+    ranges = range_buckets(df, ["a"], 40_000)
+    assert 32_768 < ranges.count <= 40_000
+    assert len(plan(ranges.assign(df))) < 20_000
+    ranges = range_buckets(df, ["a"], 5_000)
+    assert ranges.count == 5_000
     bucketed = ranges.assign(df)
     assert ranges.offsets(bucketed).agg(F.max("__before")).first()[0] < 600_000
     spans = bucketed.groupBy(BUCKET).agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count("a").alias("n"))
@@ -163,4 +169,4 @@ def test_the_largest_number_of_buckets(spark):
     row = spans.select("n", (F.col("lo") <= before).alias("overlap")).agg(
         F.sum("n"), F.max("n"), F.count_if("overlap")
     ).first()
-    assert row[0] == 600_000 and row[1] < 200 and row[2] == 0
+    assert row[0] == 600_000 and row[1] < 1200 and row[2] == 0
