@@ -135,6 +135,17 @@ def profile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(_events_as_text(spark, sf_dir))
 
 
+def profile_written_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days in further written forms, and with blanks among them."""
+    ts = F.col("ts")
+    forms = {"day_name": "d-MMM-yyyy", "month_name": "MMMM d, yyyy", "short_iso": "yyyy-M-d", "slashed": "yyyy/M/d"}
+    written = [F.date_format(ts, form).alias(name) for name, form in forms.items()]
+    blank = F.when(F.col("event_id") % 5 == 0, F.lit(" ")).otherwise(F.date_format(ts, "yyyy-MM-dd"))
+    return profile(
+        sample.read(spark, sf_dir, "events").select(*written, blank.alias("with_blanks"), F.lit("").alias("only_blanks"))
+    )
+
+
 def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(sample.read(spark, sf_dir, "orders"))
 
@@ -399,6 +410,7 @@ _QUERIES: tuple[Query, ...] = (
     reptq2,
     reptq3,
     profile_events,
+    profile_written_dates,
     profile_orders,
     profile_documents,
     normalise_events,

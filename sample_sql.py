@@ -410,3 +410,25 @@ ORACLES["daily_tables"] = " UNION ALL ".join(
     [_counts("raw", name, rows) for name, rows in _RAW.items()]
     + [_counts("star", name, f"({ORACLES[name]})") for name in _STAR]
 )
+
+
+def _day(name: str, form: str) -> tuple[str, ...]:
+    return (name, "string", "'date'", f"'{form}'", "'date'")
+
+
+ORACLES["profile_written_dates"] = _profile(
+    "written",
+    [
+        _day("day_name", "day_month_name"),
+        _day("month_name", "month_name_first"),
+        _day("short_iso", "iso_day"),
+        _day("slashed", "slashed"),
+        _day("with_blanks", "iso_day"),
+        _plain("only_blanks", "string", "string"),
+    ],
+    """WITH written AS (
+        SELECT strftime(ts, '%-d-%b-%Y') AS day_name, strftime(ts, '%B %-d, %Y') AS month_name,
+               strftime(ts, '%Y-%-m-%-d') AS short_iso, strftime(ts, '%Y/%-m/%-d') AS slashed,
+               CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS with_blanks, '' AS only_blanks
+        FROM events) """,
+)

@@ -8,16 +8,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from starmill.functions.dates import iso_duration, millis, month_first
+from starmill.functions.dates import day_text, iso_duration, millis, month_first
 from starmill.functions.numbers import nan_to_null, widen_float
 from starmill.functions.text import null_as_text
 
 
 @dataclass(frozen=True)
 class DateForm:
-    """One way to write a date as text. ``parse`` gives NULL for what is no such date."""
+    """One way to write a date as text. ``parse`` gives NULL for what is no such date.
+
+    ``mark`` is in every text of the form: texts without it are ruled out before the pattern is tried.
+    """
 
     name: str
+    mark: str
     pattern: str
     parse: Callable[[Column], Column]
 
@@ -29,56 +33,58 @@ def _zoned(c: Column) -> Column:
     return local.cast("timestamp_ntz")
 
 
+def _named(c: Column) -> Column:
+    """A text day with a month name, long or short, whatever its case."""
+    text = F.initcap(F.translate(c, "-", " "))
+    forms = ("d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy")
+    return F.coalesce(*[day_text(text, form) for form in forms])
+
+
 # The written forms that count as dates, of which a text fits at most one, and the
-# years a nanosecond clock can hold, outside of which a text column stays text. Plain numbers are
-# no dates.
+# years a nanosecond clock can hold, outside of which a text column stays text by default. Plain
+# numbers are no dates.
 DATE_FORMS = (
-    DateForm("iso_day", r"^\d{4}-\d{2}-\d{2}$", lambda c: c.try_cast("timestamp_ntz")),
+    DateForm("iso_day", "-", r"^\d{4}-\d{1,2}-\d{1,2}$", lambda c: day_text(c, "yyyy-M-d")),
     DateForm(
         "iso_time",
+        "-",
         r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$",
         lambda c: c.try_cast("timestamp_ntz"),
     ),
     DateForm(
         "iso_zone",
+        "-",
         r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$",
         _zoned,
     ),
-    DateForm("month_first", r"^\d{1,2}/\d{1,2}/(\d{2}|\d{4})$", month_first),
-    DateForm(
-        "slashed",
-        r"^\d{4}/\d{1,2}/\d{1,2}$",
-        lambda c: F.try_to_timestamp(c, F.lit("yyyy/M/d")).cast("timestamp_ntz"),
-    ),
+    DateForm("month_first", "/", r"^\d{1,2}/\d{1,2}/(\d{2}|\d{4})$", month_first),
+    DateForm("slashed", "/", r"^\d{4}/\d{1,2}/\d{1,2}$", lambda c: day_text(c, "yyyy/M/d")),
+    DateForm("day_month_name", "-", r"^\d{1,2}-[A-Za-z]{3,9}-\d{4}$", _named),
+    DateForm("month_name_first", ",", r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", _named),
 )
-FIRST_YEAR, LAST_YEAR = 1678, 2261
-LONGEST_DATE_TEXT = 40
-# the forms before this one have a dash as fifth character, the others a slash somewhere
-DASHED = 3
+YEARS = (1678, 2261)
 
 
-def form_number(c: Column) -> Column:
-    """Which written form a text fits, counted from 1. Most texts that are no dates are ruled
-    out by their length and one character, before any pattern is tried.
-    """
+def is_blank(c: Column) -> Column:
+    """A text without a visible character: a missing value among dates."""
+    return F.trim(c) == ""
 
-    def first_fit(start: int, stop: int) -> Column:
-        found = F.lit(None).cast("int")
-        for i in reversed(range(start, stop)):
-            found = F.when(c.rlike(DATE_FORMS[i].pattern), F.lit(i + 1)).otherwise(found)
-        return found
-
-    return F.when(
-        F.length(c) <= LONGEST_DATE_TEXT,
-        F.when(F.substring(c, 5, 1) == "-", first_fit(0, DASHED)).when(
-            F.contains(c, F.lit("/")), first_fit(DASHED, len(DATE_FORMS))
-        ),
-    )
 
-
-def parse_form(c: Column, form: DateForm) -> Column:
+def form_number(c: Column) -> Column:
+    """Which written form a text fits, counted from 1. Texts without a form's mark skip its pattern."""
+    found = F.lit(None).cast("int")
+    for mark in reversed(dict.fromkeys(form.mark for form in DATE_FORMS)):
+        fits = F.lit(None).cast("int")
+        for i, form in reversed(list(enumerate(DATE_FORMS, 1))):
+            if form.mark == mark:
+                fits = F.when(c.rlike(form.pattern), F.lit(i)).otherwise(fits)
+        found = F.coalesce(F.when(F.contains(c, F.lit(mark)), fits), found)
+    return found
+
+
+def parse_form(c: Column, form: DateForm, years: tuple[int, int] = YEARS) -> Column:
     parsed = form.parse(c)
-    return F.when(F.year(parsed).between(FIRST_YEAR, LAST_YEAR), parsed)
+    return F.when(F.year(parsed).between(*years), parsed)
 
 
 def parse_text(c: Column, number: Column) -> Column:
@@ -136,7 +142,7 @@ def _null_safe(c: Column, f: T.StructField) -> Column:
     return nan_to_null(c) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c
 
 
-def _text_facts(df: DataFrame, positions: list[int]) -> DataFrame:
+def _text_facts(df: DataFrame, positions: list[int], years: tuple[int, int]) -> DataFrame:
     """Facts of the text columns: one row per column.
 
     The texts of a row become rows of (column, text), so that one short expression serves all
@@ -156,18 +162,20 @@ def _text_facts(df: DataFrame, positions: list[int]) -> DataFrame:
     facts = parsed.groupBy("at").agg(
         F.sum("weight").alias("rows"),
         F.count("v").alias("n"),
-        F.count_if(F.year("t").between(FIRST_YEAR, LAST_YEAR)).alias("dated"),
+        F.count_if(is_blank(F.col("v"))).alias("blank"),
+        F.count_if(F.year("t").between(*years)).alias("dated"),
         F.min("form").alias("first_form"),
         F.max("form").alias("last_form"),
         _midnight(F.col("t")).alias("midnight"),
     )
     names = F.array(*[F.lit(d.name) for d in DATE_FORMS])
     one_form = F.col("first_form") == F.col("last_form")
-    fits = (F.col("n") > 0) & (F.col("dated") == F.col("n")) & one_form
+    written = F.col("n") - F.col("blank")
+    fits = (written > 0) & (F.col("dated") == written) & one_form
     return facts.select(
         F.get(F.array(*map(F.lit, positions)), F.col("at")).alias("position"),
         "rows",
-        "n",
+        F.when(fits, written).otherwise(F.col("n")).alias("n"),
         F.when(fits, F.get(names, F.col("first_form") - 1)).alias("date_form"),
         "midnight",
     )
@@ -196,11 +204,11 @@ def _typed_facts(df: DataFrame, positions: list[int]) -> DataFrame:
     return df.agg(*wanted).select(F.inline(F.array(*rows)))
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, years: tuple[int, int] = YEARS) -> DataFrame:
     """One row per column: types, null count, date-likeness.
 
     A text column is date-like when it has a value and all its values parse in one and the same
-    written form. A boolean column is always nullable. A date-like column is a date when every
+    written form, within ``years``; blank texts then count as missing. Typed dates may be of any year. A boolean column is always nullable. A date-like column is a date when every
     value is at midnight, else a timestamp. Every column is read once.
     """
     fields = df.schema.fields
@@ -208,7 +216,7 @@ def profile(df: DataFrame) -> DataFrame:
     others = [i for i, f in enumerate(fields) if not _is_text(f)]
     parts = []
     if texts:
-        parts.append(_text_facts(df, texts))
+        parts.append(_text_facts(df, texts, years))
     if others:
         parts.append(_typed_facts(df, others))
     if not parts:
@@ -245,9 +253,9 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def column_profiles(df: DataFrame) -> list[ColumnProfile]:
+def column_profiles(df: DataFrame, years: tuple[int, int] = YEARS) -> list[ColumnProfile]:
     """The profile on the driver: one record per column of the table."""
-    return [ColumnProfile(**row.asDict()) for row in profile(df).orderBy("position").collect()]
+    return [ColumnProfile(**row.asDict()) for row in profile(df, years).orderBy("position").collect()]
 
 
 def normalise(
@@ -255,6 +263,7 @@ def normalise(
     profiles: list[ColumnProfile],
     null_text: str | None = None,
     dates: str = "date",
+    years: tuple[int, int] = YEARS,
 ) -> DataFrame:
     """Casts every column to its staged type in one projection.
 
@@ -271,7 +280,7 @@ def normalise(
         c = F.col(f"`{f.name}`")
         if p.logical_type in ("date", "timestamp"):
             if p.date_form:
-                c = parse_form(c, forms[p.date_form])
+                c = parse_form(c, forms[p.date_form], years)
             elif isinstance(f.dataType, T.TimestampType):
                 c = c.cast("timestamp_ntz")
             c = c.cast("date") if p.logical_type == "date" else c

@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from starmill.operators import profile as profile_module
 from starmill.operators.profile import column_profiles, normalise, profile
 
 
@@ -140,3 +141,28 @@ def test_normalise_other_types(spark):
     assert tuple(row) == ("P1DT2H3M4.000000S", "[1, 2]", dt.datetime(2020, 1, 1, 10), True)
     millis = normalise(df, column_profiles(df), dates="millis").first()
     assert millis["ts"] == 1577872800000
+
+
+def test_month_names_blanks_and_years(spark):
+    df = spark.createDataFrame(
+        [("04-Jul-1996", "July 4, 1996", "1996-7-4", "9999-12-31"), ("5-AUG-1996", "aug 5, 1996", " ", "1996-01-01")],
+        "a string, b string, c string, d string",
+    )
+    found = {p.column: p for p in profile_module.column_profiles(df)}
+    assert [found[x].date_form for x in "abcd"] == ["day_month_name", "month_name_first", "iso_day", None]
+    assert found["c"].nulls == 1 and found["c"].nullable
+    rows = profile_module.normalise(df, list(found.values())).collect()
+    assert [str(r.a) for r in rows] == ["1996-07-04", "1996-08-05"] == [str(r.b) for r in rows]
+    assert rows[1].c is None
+    late = profile_module.column_profiles(df, years=(1, 9999))
+    assert late[3].date_form == "iso_day"
+
+
+def test_no_session_zone_in_days(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([("11/4/2018", "2018/11/4")], "a string, b string")
+        assert {p.logical_type for p in profile_module.column_profiles(df)} == {"date"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
