@@ -27,7 +27,7 @@ from starmill.schemas.tables import (
 
 AUTHOR_ID = "[0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9][0-9][0-9]"
 ZIP_CODE = "[0-9][0-9][0-9][0-9][0-9]"
-LISTED_PUBLISHERS = ("0736", "0877", "1389", "1622", "1756")
+LISTED_PUBLISHERS = ("1389", "0736", "0877", "1622", "1756")
 OTHER_PUBLISHER = "99[0-9][0-9]"
 EMPLOYEE_ID = (
     "[A-Z][A-Z][A-Z][1-9][0-9][0-9][0-9][0-9][FM]",
