@@ -15,6 +15,7 @@ import sample_tables as sample  # noqa: E402
 from starmill.functions.dates import (  # noqa: E402
     day_from_millis,
     day_of,
+    iso_duration,
     millis,
     month_first,
     time_text,
@@ -114,6 +115,26 @@ def reptq3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.reptq3(tables, "910", "950.5", "ECONOMY", always="%PROMO%")
 
 
+def reptq1_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the first report with their places: it is sorted by its label."""
+    report = reports.reptq1(sample.publishing(spark, sf_dir)).coalesce(1)
+    return report.select("pub_id", (F.monotonically_increasing_id() + 1).alias("place"))
+
+
+def calendar_to_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A calendar without a last day ends today: its days less those that there should be."""
+    tables = sample.order_entry(spark, sf_dir)
+    first = tables["orders"].agg(F.min("order_date").alias("first"))
+    found = star.dim_date(tables).agg(F.min("date").alias("low"), F.max("date").alias("high"), F.count("date").alias("n"))
+    wanted = F.date_diff(F.current_date(), F.col("low")) + 1
+    return found.select(
+        "low",
+        (F.col("low") == first.scalar()).alias("begins_with_orders"),
+        F.date_diff(F.current_date(), F.col("high")).alias("days_short"),
+        (F.col("n") - wanted).alias("days_too_many"),
+    )
+
+
 # -- profile and casts ---------------------------------------------------------------------
 
 
@@ -146,6 +167,20 @@ def profile_written_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A boolean is nullable even where none is missing."""
+    customers = sample.read(spark, sf_dir, "customer")
+    return profile(customers.select((F.col("c_acctbal") > 0).alias("in_credit"), "c_custkey"))
+
+
+def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of time, a day longer for each line of an order, as ISO text."""
+    since = F.make_dt_interval(F.lit(1), F.lit(2), F.lit(3), F.lit(4.5)) + F.make_dt_interval(F.col("l_linenumber"))
+    return sample.read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", iso_duration(since).alias("lasted")
+    )
+
+
 def profile_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(sample.read(spark, sf_dir, "orders"))
 
@@ -409,8 +444,12 @@ _QUERIES: tuple[Query, ...] = (
     reptq1,
     reptq2,
     reptq3,
+    reptq1_places,
+    calendar_to_today,
     profile_events,
     profile_written_dates,
+    profile_flags,
+    durations,
     profile_orders,
     profile_documents,
     normalise_events,

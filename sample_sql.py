@@ -432,3 +432,18 @@ ORACLES["profile_written_dates"] = _profile(
                CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS with_blanks, '' AS only_blanks
         FROM events) """,
 )
+
+ORACLES["reptq1_places"] = f"""
+    SELECT pub_id, row_number() OVER (ORDER BY pub_id) AS place FROM ({ORACLES["reptq1"]})"""
+ORACLES["calendar_to_today"] = """
+    SELECT CAST(min(o_orderdate) AS DATE) AS low, true AS begins_with_orders, 0 AS days_short,
+           CAST(0 AS BIGINT) AS days_too_many
+    FROM orders"""
+ORACLES["profile_flags"] = """
+    SELECT 'in_credit' AS "column", 0 AS position, 'boolean' AS source_type, 'boolean' AS staged_type,
+           count(*) AS "rows", count(*) - count(c_acctbal) AS nulls, true AS nullable,
+           CAST(NULL AS VARCHAR) AS date_form, CAST(NULL AS VARCHAR) AS logical_type FROM customer
+    UNION ALL
+    SELECT 'c_custkey', 1, 'bigint', 'bigint', count(*), 0, false, NULL, NULL FROM customer"""
+ORACLES["durations"] = """
+    SELECT l_orderkey, l_linenumber, 'P' || (1 + l_linenumber) || 'DT2H3M4.500000S' AS lasted FROM lineitem"""
