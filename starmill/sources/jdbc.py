@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-log = logging.getLogger(__name__)
-
 
 @dataclass(frozen=True)
 class Split:
     """How to cut one table: by value range of a number, date or timestamp column, or by
-    predicates that cover every row once. Predicates suit a column whose values cluster.
+    predicates that cover every row once. Predicates suit a column whose values cluster. Without either,
+    one task reads the table: say so for small tables only.
     """
 
     column: str | None = None
@@ -24,13 +22,18 @@ class Split:
 
 
 def base_tables_query(schema: str) -> str:
-    quoted = schema.replace("'", "''")
+    literal = schema.replace("'", "''")
     return (
         "select table_name from information_schema.tables "
-        f"where table_schema = '{quoted}' and table_type = 'BASE TABLE'"
+        f"where table_schema = '{literal}' and table_type = 'BASE TABLE'"
     )
 
 
+def quoted(name: str) -> str:
+    """An identifier as standard SQL quotes it, so that mixed case and reserved words work."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 def all_tables_query() -> str:
     return "select * from information_schema.tables"
 
@@ -55,30 +58,39 @@ class JdbcSource:
     def describe_tables(self) -> DataFrame:
         return self.query(all_tables_query())
 
+    def name(self, table: str) -> str:
+        return f"{quoted(self.schema)}.{quoted(table)}"
+
+    def bounds_query(self, table: str, split: Split) -> str:
+        column = quoted(split.column)
+        return f"select min({column}) as low, max({column}) as high from {self.name(table)}"
+
     def range_options(self, table: str, split: Split, low, high) -> dict[str, str]:
         return {
-            "dbtable": f"{self.schema}.{table}",
-            "partitionColumn": split.column,
+            "dbtable": self.name(table),
+            "partitionColumn": quoted(split.column),
             "lowerBound": str(low),
             "upperBound": str(high),
             "numPartitions": str(split.partitions),
         }
 
+    def split(self, table: str) -> Split:
+        """How a table is cut; without a declaration it is not read at all, rather than by a single task."""
+        if table not in self.splits:
+            raise ValueError(f"{self.name(table)} has no split: declare one, or Split() to read it in one task")
+        return self.splits[table]
+
     def read(self, table: str) -> DataFrame:
-        split = self.splits.get(table)
-        name = f"{self.schema}.{table}"
+        split, name = self.split(table), self.name(table)
         reader = self.spark.read.format("jdbc").options(**self.options)
-        if split is None:
-            log.warning("%s has no split: one task reads it", name)
-            return reader.option("dbtable", name).load()
         if split.predicates:
             properties = {k: v for k, v in self.options.items() if k != "url"}
             return self.spark.read.jdbc(
                 self.options["url"], name, predicates=list(split.predicates), properties=properties
             )
-        low, high = self.query(
-            f"select min({split.column}) as low, max({split.column}) as high from {name}"
-        ).first()
+        if split.column is None:
+            return reader.option("dbtable", name).load()
+        low, high = self.query(self.bounds_query(table, split)).first()
         if low is None:
             return reader.option("dbtable", name).load()
         return reader.options(**self.range_options(table, split, low, high)).load()

@@ -215,13 +215,17 @@ def test_jdbc_statements_and_options(spark):
     )
     source = JdbcSource(spark, {"url": "jdbc:x"}, splits={"orders": Split("order_id", 64)})
     assert source.range_options("orders", source.splits["orders"], 1, 900) == {
-        "dbtable": "public.orders",
-        "partitionColumn": "order_id",
+        "dbtable": '"public"."orders"',
+        "partitionColumn": '"order_id"',
         "lowerBound": "1",
         "upperBound": "900",
         "numPartitions": "64",
     }
     assert not source.stable
+    odd = JdbcSource(spark, {"url": "jdbc:x"}, "My", splits={'a"b': Split("Order")})
+    assert odd.bounds_query('a"b', odd.split('a"b')) == 'select min("Order") as low, max("Order") as high from "My"."a""b"'
+    with pytest.raises(ValueError, match="no split"):
+        source.read("customers")
 
 
 @pytest.mark.parametrize("rename", [1, 2])
