@@ -24,7 +24,7 @@ from starmill.functions.dates import (  # noqa: E402
 from starmill.functions.text import like_class  # noqa: E402
 from starmill.operators import quality as dq  # noqa: E402
 from starmill.operators.numbering import global_row_number  # noqa: E402
-from starmill.operators.profile import column_profiles, normalise, profile  # noqa: E402
+from starmill.operators.profile import column_profiles, normalise, profile, staged_schema  # noqa: E402
 from starmill.plans import refresh, reports, star  # noqa: E402
 from starmill.schemas.order_entry import ORDER_ENTRY  # noqa: E402
 from starmill.schemas.publishing import PUBLISHING  # noqa: E402
@@ -267,6 +267,16 @@ def load_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.orders")
 
 
+def loaded_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the staged record schema said of each column, read back from the loaded table."""
+    root, db = _database(spark, "loaded_schema")
+    events = _events_as_text(spark, sf_dir)
+    stage(normalise(events, column_profiles(events), dates="millis"), f"{root}/staging", "events")
+    load_table(spark, f"{root}/staging", "events", db)
+    rows = staged_schema(spark.table(f"{db}.events"), "events")
+    return spark.createDataFrame(rows, "table string, column string, nullable boolean, logical_type string")
+
+
 def replace_own_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Builds a dimension as a table, then replaces the table by a selection of itself."""
     _, db = _database(spark, "replace_own_table")
@@ -459,6 +469,7 @@ _QUERIES: tuple[Query, ...] = (
     month_first_dates,
     table_inventory,
     load_truncate,
+    loaded_schema,
     replace_own_table,
     daily_fact,
     daily_tables,

@@ -447,3 +447,6 @@ ORACLES["profile_flags"] = """
     SELECT 'c_custkey', 1, 'bigint', 'bigint', count(*), 0, false, NULL, NULL FROM customer"""
 ORACLES["durations"] = """
     SELECT l_orderkey, l_linenumber, 'P' || (1 + l_linenumber) || 'DT2H3M4.500000S' AS lasted FROM lineitem"""
+
+ORACLES["loaded_schema"] = f"""
+    SELECT 'events' AS "table", "column", nullable, logical_type FROM ({ORACLES["profile_events"]})"""

@@ -268,7 +268,8 @@ def normalise(
     """Casts every column to its staged type in one projection.
 
     ``null_text="None"`` writes that word for a missing text. ``dates="millis"`` stages dates
-    and timestamps as epoch milliseconds.
+    and timestamps as epoch milliseconds. Whether a column had nulls, and its logical type, go along
+    as metadata of its field, which Parquet files and tables keep (``staged_schema``).
     """
     if dates not in ("date", "millis"):
         raise ValueError(f"dates must be 'date' or 'millis', not {dates!r}")
@@ -298,5 +299,13 @@ def normalise(
             c = c.cast(staged) if staged != f.dataType else c
             if isinstance(staged, T.StringType):
                 c = null_as_text(c, null_text)
-        out.append(c.alias(f.name))
+        out.append(c.alias(f.name, metadata={"nullable": p.nullable, "logical_type": p.logical_type or ""}))
     return df.select(*out)
+
+
+def staged_schema(df: DataFrame, table: str) -> list[tuple[str, str, bool, str | None]]:
+    """(table, column, nullable, logical type) that ``normalise`` recorded with the columns of a staged or
+    loaded table; a column without a record may be null and has no logical type."""
+    return [
+        (table, f.name, f.metadata.get("nullable", True), f.metadata.get("logical_type") or None) for f in df.schema
+    ]
