@@ -21,6 +21,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
@@ -235,7 +236,7 @@ def decode(ids: Column, file: str) -> Column:
     """The text of an array of ids; null stays null."""
 
     @F.pandas_udf("string")
-    def run(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = Tokenizer(file)
         for batch in batches:
             yield batch.map(lambda x: None if x is None else tokenizer.decode(x.tolist()))
