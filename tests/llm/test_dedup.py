@@ -197,6 +197,24 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark):
     assert {c for x in (16, 17) for _, _, c in found[x]} == {16}
 
 
+def planted(chance, n):
+    """Rows of ``n`` passages of 50 words, each exact in two texts and with an edited word in the middle in a third."""
+    rows = []
+    for i in range(n):
+        passage = words(chance, 50)
+        edited = [*passage[:24], "changed", *passage[25:]]
+        for k, w in enumerate((passage, passage, edited)):
+            rows.append((10 * i + k, " ".join(words(chance, 30) + w + words(chance, 20))))
+    return rows
+
+
+def test_edited_copies_of_passages_with_exact_copies_are_met(spark):
+    found = spans(spark.createDataFrame(planted(random.Random(8), 100), "doc_id long, text string"))
+    classes = {x: {c for _, _, c in v} for x, v in found.items()}
+    assert all(classes[10 * i + 1] == {10 * i} for i in range(100))
+    assert sum(classes.get(10 * i + 2) == {10 * i} for i in range(100)) >= 95
+
+
 def test_every_exact_repeat_of_the_table_is_covered(small):
     rows = [(r.doc_id, (r.text or "").split()) for r in small.collect()]
     seen = defaultdict(set)
