@@ -215,6 +215,23 @@ def test_edited_copies_of_passages_with_exact_copies_are_met(spark):
     assert sum(classes.get(10 * i + 2) == {10 * i} for i in range(100)) >= 95
 
 
+def test_hashes_follow_from_recall():
+    assert substring_dedup.hashes_needed(0.9999, 0.8) == 6
+    assert substring_dedup.hashes_needed(0.99, 0.8) == 3
+    assert substring_dedup.hashes_needed(0.9999, 0.5) > 6
+
+
+def test_recall_of_near_copies_against_brute_force(spark):
+    rows = planted(random.Random(12), 600)
+    shingled = [{*zip(*[w[k:] for k in range(5)], strict=False)} for w in (t.split()[30:80] for _, t in rows)]
+    near = [i for i in range(600) if 0.8 <= len(shingled[3 * i] & shingled[3 * i + 2]) / len(shingled[3 * i] | shingled[3 * i + 2]) < 0.81]
+    assert len(near) == 600
+    found = spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    met = sum(any(a <= 30 and b >= 80 and c == 10 * i for a, b, c in found.get(10 * i + 2, [])) for i in near)
+    # 0.06 misses are to be expected.
+    assert met >= 599
+
+
 def test_every_exact_repeat_of_the_table_is_covered(small):
     rows = [(r.doc_id, (r.text or "").split()) for r in small.collect()]
     seen = defaultdict(set)
