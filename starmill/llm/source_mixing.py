@@ -1,10 +1,11 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier trained on the labelled table gives each document a posterior over domains. The unknowns are one
-rate a document, at least 0: how often it is to be read, and at most ``MOST_RATE``: texts read more often than that teach nothing new. Projected-gradient least squares fits them, from
+rate a document, at least 0: how often it is to be read. Projected-gradient least squares fits them, from
 1 each, so that the expected tokens of each domain, summed over documents as rate x tokens x
 posterior, match the targets. The squares are weighed by the inverse of sum(tokens x posterior x posterior'),
-which makes the plain step right unless rates stop at 0. A step is one aggregation over the slim
+which makes the plain step right unless rates stop at 0. Rates have no upper bound unless ``most_rate`` sets one;
+then the total is lowered as far as the targets' ratios need it. A step is one aggregation over the slim
 table of posteriors; only sums by domain reach the driver, and the rates follow from the steps' few numbers.
 
 Training takes at most ``MOST_LABELLED`` labelled documents, those of the smallest hash of their id; the fit and
@@ -12,13 +13,14 @@ everything else cover all documents. A document's tokens are its words with a le
 
 Defined results: null text is empty, with no tokens; labels with nulls, or several that disagree on a document,
 are left out of the training; without labelled documents the posterior is empty and every rate is 1; with
-one labelled domain every document belongs to it; a domain whose target is more than
-``MOST_RAISE`` times its tokens is raised that far, and one with less than ``LEAST_SHARE`` of all tokens is left as it
-is, and the others share what they leave; a null doc_id is scored like others; repeated rows are mixed alike; empty tables give empty results.
+one labelled domain every document belongs to it; a domain without mass cannot reach its target, the
+others do; targets that no rates reach are met as nearly as the steps lead; a null doc_id is scored like others; repeated rows are mixed alike; empty
+tables give empty results.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,9 +38,11 @@ DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 MOST_LABELLED = 20_000
 FEATURES = 1 << 14
-MOST_RATE, MOST_RAISE, LEAST_SHARE = 4.0, 2.0, 0.01
-HALVINGS = 6
+MOST_RATE = math.inf
 MOST_STEPS, NEAR = 40, 1e-6
+# For a bounded rate's total.
+HALVINGS, BOUNDED_NEAR = 10, 1e-4
+SMALLEST_PART, DIVERGED = 5, 10
 # Of the L1 norm: few words tell domains apart.
 PENALTY = 0.002
 
@@ -176,78 +180,118 @@ class Fit:
     steps: list[list[float]]
     reached: list[float]
     targets: list[float]
+    most_rate: float = MOST_RATE
 
     def rate(self, posterior: str = "posterior") -> Column:
-        """A document's rate: each step lowers it by posterior x step, within its bounds."""
+        """A document's rate: each step lowers it by posterior x step, to 0 at least and ``most_rate`` at most."""
         rate = F.lit(1.0)
         for step in self.steps:
             lower = sum((F.col(posterior)[k] * x for k, x in enumerate(step)), F.lit(0.0))
-            rate = F.least(F.lit(MOST_RATE), F.greatest(F.lit(0.0), rate - lower))
+            rate = F.least(F.lit(self.most_rate), F.greatest(F.lit(0.0), rate - lower))
         return rate
 
 
-def reachable(targets: np.ndarray, there: np.ndarray) -> np.ndarray:
-    """Targets of which none is more than MOST_RAISE times what there is; the others share what is left over."""
-    found, open_ = targets.astype(float), np.ones(len(targets), bool)
-    for _ in targets:
-        beyond = open_ & (found > MOST_RAISE * there)
-        if not beyond.any():
-            break
-        left = (found - MOST_RAISE * there)[beyond].sum()
-        found[beyond], open_[beyond] = MOST_RAISE * there[beyond], False
-        if found[open_].sum() > 0:
-            found[open_] *= 1 + left / found[open_].sum()
-    return found
-
-
 def fit_rates(
-    slim: DataFrame, domains: list[str], weights: dict[str, float] | None = None, total: float | None = None
+    slim: DataFrame,
+    domains: list[str],
+    weights: dict[str, float] | None = None,
+    total: float | None = None,
+    most_rate: float = MOST_RATE,
 ) -> Fit:
-    """Rates for (tokens, posterior) rows; ``total`` tokens are to be expected, by default as many as there are."""
+    """Rates for (tokens, posterior) rows; ``total`` tokens are to be expected, by default as many as there are.
+
+    With ``most_rate``, the most of that total for which rates reach the targets' ratios, to one part in 2^HALVINGS.
+    """
     weights = weights or WEIGHTS
-    fit = Fit(domains, [], [], [])
     if not domains:
-        return fit
+        return Fit(domains, [], [], [], most_rate)
     size = len(domains)
     p = [F.col("posterior")[k] for k in range(size)]
+    there = np.array([x or 0.0 for x in slim.agg(*[F.sum(F.col("tokens") * x) for x in p]).first()])
+    share = np.array([weights.get(x, 0.0) for x in domains])
+    if not share.sum() or not there.sum():
+        return Fit(domains, [], there.tolist(), there.tolist(), most_rate)
+    targets = share / share.sum() * (there.sum() if total is None else total)
+    fit = _fitted(slim, domains, targets, most_rate)
+    if math.isinf(most_rate) or _is_near(fit, there):
+        return fit
+    low, high, reached = 0.0, 1.0, None
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        tried = _fitted(slim, domains, targets * middle, most_rate)
+        if _is_near(tried, there):
+            low, reached = middle, tried
+        else:
+            high = middle
+    return reached or fit
+
+
+def _is_near(fit: Fit, there: np.ndarray) -> bool:
+    """Whether each domain that has any mass reaches its target."""
+    off = np.abs(np.array(fit.reached) - fit.targets)[there > 0]
+    return not len(off) or off.max() <= BOUNDED_NEAR * sum(fit.targets)
+
+
+def rated_sums(size: int, steps: list[list[float]], most_rate: float):
+    """A task's expected tokens by domain at the rates after ``steps``, and their cross sums where rates can move."""
+    moves = [np.array(x) for x in steps]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(size + size * size)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens = batch.column("tokens").to_numpy(zero_copy_only=False).astype(float)
+            p = batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            rate = np.ones(len(tokens))
+            for step in moves:
+                rate = np.minimum(most_rate, np.maximum(0.0, rate - p @ step))
+            free = tokens * ((rate > 0) & (rate < most_rate))
+            found += np.concatenate([(tokens * rate) @ p, ((p * free[:, None]).T @ p).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([found.tolist()])], ["sums"])
+
+    return run
+
+
+def _fitted(slim: DataFrame, domains: list[str], targets: np.ndarray, most_rate: float) -> Fit:
+    """Rates whose totals are nearest to the targets."""
+    fit, size = Fit(domains, [], [], targets.tolist(), most_rate), len(domains)
 
     def sums() -> tuple[np.ndarray, np.ndarray]:
-        """Expected tokens by domain at the rates so far, and their cross sums where rates can move."""
-        rated = slim.withColumn("rate", fit.rate())
-        expected = [F.sum(F.col("tokens") * F.col("rate") * x) for x in p]
-        moves = F.when((F.col("rate") > 0) & (F.col("rate") < MOST_RATE), F.col("tokens")).otherwise(0)
-        found = rated.agg(*expected, *[F.sum(moves * x * y) for x in p for y in p]).first()
-        values = np.array([x or 0.0 for x in found])
+        parts = slim.select("tokens", "posterior").mapInArrow(rated_sums(size, fit.steps, most_rate), "sums array<double>")
+        values = np.array([x or 0.0 for x in parts.agg(*[F.sum(F.col("sums")[k]) for k in range(size + size * size)]).first()])
         return values[:size], values[size:].reshape(size, size)
 
+    def off() -> float:
+        return float(np.abs(there - targets)[mass].max())
+
     there, gram = sums()
-    share = np.array([weights.get(x, 0.0) for x in domains])
-    fit.reached = fit.targets = there.tolist()
-    if not share.sum() or not there.sum():
-        return fit
-    # What the classifier hardly ever sees is noise to it: such a domain is left as it is.
-    seen = there >= LEAST_SHARE * there.sum()
-    share = np.where(seen, share, 0)
-    if not share.sum():
-        return fit
-    targets = reachable(share / share.sum() * (there.sum() if total is None else total), there)
-    targets = np.where(seen, targets, there)
-    fit.targets = targets.tolist()
-    while len(fit.steps) < MOST_STEPS and np.abs(there - targets)[seen].max() > NEAR * targets.sum():
-        before, step = np.abs(there - targets)[seen].sum(), np.zeros(size)
-        step[seen] = np.linalg.pinv(gram[np.ix_(seen, seen)], rcond=1e-9) @ (there - targets)[seen]
-        for _ in range(HALVINGS):
-            fit.steps.append(step.tolist())
-            found = sums()
-            if np.abs(found[0] - targets)[seen].sum() < before * (1 - 1e-3):
+    # A domain without mass stays at 0 whatever the rates.
+    mass = there > 0
+    nearest = (off(), 0, there, gram)
+    while len(fit.steps) < MOST_STEPS and NEAR * targets.sum() < off() <= DIVERGED * nearest[0]:
+        step = np.linalg.pinv(gram) @ (there - targets)
+        if not step.any():
+            break
+        fit.steps.append(step.tolist())
+        there, gram = sums()
+        if off() < nearest[0]:
+            nearest = (off(), len(fit.steps), there, gram)
+    # Targets that no rates reach make plain steps grow: from the nearest point they go on by parts that lead nearer.
+    _, kept, there, gram = nearest
+    del fit.steps[kept:]
+    while len(fit.steps) < MOST_STEPS and off() > NEAR * targets.sum():
+        before, point, step = off(), (there, gram), np.linalg.pinv(gram) @ (there - targets)
+        for part in range(SMALLEST_PART if step.any() else 0):
+            fit.steps.append((step / 2**part).tolist())
+            there, gram = sums()
+            if off() < before * (1 - 1e-2):
                 break
-            # No nearer: bounds cut the step short, so half of it is tried. If no part helps, the rates stay.
             fit.steps.pop()
-            step = step / 2
+            there, gram = point
         else:
             break
-        there, gram = found
-        fit.reached = there.tolist()
+    fit.reached = there.tolist()
     return fit
 
 
@@ -257,7 +301,11 @@ def _uniform(*columns: str) -> Column:
 
 
 def mixed_rates(
-    docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, total: float | None = None
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: dict[str, float] | None = None,
+    total: float | None = None,
+    most_rate: float = MOST_RATE,
 ) -> tuple[DataFrame, Fit]:
     """(doc_id, row_hash, tokens, posterior, rate, copies) of every row, and the fit.
 
@@ -266,7 +314,7 @@ def mixed_rates(
     """
     classifier = DomainClassifier(docs, labels)
     slim = save(classifier.posteriors(docs), "mix-posteriors")
-    fit = fit_rates(slim, classifier.domains, weights, total)
+    fit = fit_rates(slim, classifier.domains, weights, total, most_rate)
     copies = F.floor(F.col("rate") + _uniform("doc_id", "row_hash")).cast("int")
     return slim.withColumn("rate", fit.rate()).withColumn("copies", copies), fit
 

@@ -91,6 +91,48 @@ def test_rates_reach_the_targets(spark):
     assert rates == pytest.approx(own)
 
 
+def slim_rows(spark, tokens, p):
+    rows = [(int(t), x.tolist()) for t, x in zip(tokens, p, strict=True)]
+    return spark.createDataFrame(rows, "tokens long, posterior array<double>").coalesce(1)
+
+
+def test_rates_reach_far_targets(spark):
+    chance = np.random.default_rng(3)
+    p = chance.dirichlet([0.3, 0.3, 0.3], 400)
+    tokens = chance.integers(0, 500, 400)
+    slim = slim_rows(spark, tokens, p)
+    fit = source_mixing.fit_rates(slim, ["good", "poor", "toxic"], {"good": 0.9, "poor": 0.08, "toxic": 0.02})
+    rates = np.array([r[0] for r in slim.select(fit.rate()).collect()])
+    assert rates.min() >= 0
+    reached = (tokens * rates) @ p
+    assert reached == pytest.approx(tokens.sum() * np.array([0.9, 0.08, 0.02]), rel=1e-3, abs=tokens.sum() * 2e-6)
+
+
+@pytest.mark.parametrize("mass", [(0.4, 0.1, 0.5), (0.891, 0.1, 0.009), (0.05, 0.05, 0.9)])
+def test_no_target_is_replaced(spark, mass):
+    slim = slim_rows(spark, [1000 * 1000 * x for x in mass], np.eye(3))
+    for weights in ((0.97, 0.02, 0.01), (0.9, 0.1, 0.0)):
+        fit = source_mixing.fit_rates(slim, ["good", "poor", "toxic"], dict(zip(source_mixing.DOMAINS, weights, strict=True)))
+        assert fit.reached == pytest.approx(10**6 * np.array(weights), abs=2)
+
+
+def test_a_bound_lowers_the_total_and_keeps_the_ratios(spark):
+    slim = slim_rows(spark, [400_000, 100_000, 500_000], np.eye(3))
+    fit = source_mixing.fit_rates(slim, ["good", "poor", "toxic"], most_rate=2.0)
+    assert np.array(fit.reached) / sum(fit.reached) == pytest.approx([0.97, 0.02, 0.01], abs=1e-3)
+    assert sum(fit.reached) == pytest.approx(800_000 / 0.97, rel=5e-3)
+    assert max(r[0] for r in slim.select(fit.rate()).collect()) <= 2.0
+
+
+def test_targets_out_of_reach_do_not_blow_up_the_total(spark):
+    chance = np.random.default_rng(0)
+    p = np.array([chance.dirichlet(np.eye(3)[k] * 5 + 0.3) for k in chance.choice(3, 400, p=[0.05, 0.05, 0.9])])
+    tokens = chance.integers(1, 2000, 400)
+    fit = source_mixing.fit_rates(slim_rows(spark, tokens, p), ["good", "poor", "toxic"], {"good": 1.0})
+    assert sum(fit.reached) == pytest.approx(tokens.sum(), rel=0.1)
+    assert fit.reached[0] > 0.8 * sum(fit.reached)
+
+
 def test_posteriors_on_held_out_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").withColumn("domain", source_mixing.domain())
