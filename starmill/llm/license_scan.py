@@ -1,10 +1,12 @@
 """License scans by a trained paragraph classifier.
 
-A paragraph is a line with a word. Multinomial logistic regression on its hashed word n-grams, of one and
+A paragraph is a line with a word, or several lines without an empty one between them that hold a template together, as
+notices wrapped over lines do. Multinomial logistic regression on its hashed word n-grams, of one and
 two words, tells licence families, other licence talk (``unknown``) and plain text (``none``) apart. Its odds are
 calibrated with one temperature, fitted on held-out paragraphs; a family that is not likely enough then is
 ``unknown``. Each prediction is confirmed by comparing the paragraph with the family's templates: the share of
-a template's word pairs that the paragraph holds. A family that no template confirms is ``unknown`` too.
+a template's word pairs that the paragraph holds. What tells near families apart (version, Affero, Lesser, ShareAlike and
+the like) must fit as well. A family that no template confirms is ``unknown`` too.
 
 Training paragraphs are the templates with words dropped, changed and put around them, licence talk of no known
 family, and at most ``MOST_PLAIN`` paragraphs of the corpus (to ``LONGEST_PLAIN`` characters) that hold few of any template's words, those of the smallest
@@ -77,6 +79,8 @@ BITS = 14
 MOST_PLAIN, LONGEST_PLAIN, VARIANTS, SEED = 4_000, 8_000, 30, 5
 PENALTY = 0.0005
 LIKELY, CONFIRMED = 0.5, 0.8
+# Bytes behind a paragraph that may name its version.
+REST = 200
 
 FOUND = "paragraph int, begin int, end int, family string, probability double, similarity double, confirmed boolean"
 
@@ -136,12 +140,80 @@ def _pairs(words: list[str]) -> set[tuple[str, ...]]:
 _TEMPLATE_PAIRS = {family: [_pairs(plain_words(x)) for x in said] for family, said in TEMPLATES.items()}
 
 
+# Words that make a paragraph another family's, that a family must have, and the version it names.
+_OTHER_FAMILY = {
+    "gpl-3.0": re.compile(r"(affero|lesser|library)\s+general\s+public|\b[al]gpl"),
+    "cc-by": re.compile(r"share\s*-?\s*alike|non\s*-?\s*commercial|no\s*-?\s*deriv|\bby[\s-]+(nc|sa|nd)\b"),
+    "cc-by-nc": re.compile(r"share\s*-?\s*alike|no\s*-?\s*deriv|\bby[\s-]+nc[\s-]+(sa|nd)\b"),
+}
+_OWN_WORDS = {"cc-by-nc": re.compile(r"non\s*-?\s*commercial|\bby[\s-]+nc\b")}
+VERSIONS = {"gpl-3.0": "3", "apache-2.0": "2", "mpl-2.0": "2"}
+_VERSION = re.compile(r"(?:\bversion|\bv|\bgpl|\bgplv)[\s.-]*(\d+)")
+# A word of every template, to pass over text that holds none quickly.
+_TEMPLATE_WORD = re.compile(rb"(?i)licen[sc]e|permi|redistribution")
+
+
 def similarity(paragraph: str, family: str) -> float:
     """The largest share of a template's word pairs that the paragraph holds."""
     found = _pairs(plain_words(paragraph))
     return max((len(x & found) / len(x) for x in _TEMPLATE_PAIRS.get(family, [])), default=0.0)
 
 
+def fits(paragraph: str, rest: str, family: str) -> bool:
+    """Whether the words that tell near families apart are the family's; a version may stand in the ``rest`` behind."""
+    text = paragraph.lower()
+    if family in _OTHER_FAMILY and _OTHER_FAMILY[family].search(text):
+        return False
+    if family in _OWN_WORDS and not _OWN_WORDS[family].search(text):
+        return False
+    if family not in VERSIONS:
+        return True
+    said = _VERSION.findall(text) or _VERSION.findall(rest.lower())
+    if said:
+        return VERSIONS[family] in said
+    # Without a version, only a template without one confirms.
+    found = _pairs(plain_words(paragraph))
+    near = [x for x in _TEMPLATE_PAIRS[family] if len(x & found) >= CONFIRMED * len(x)]
+    return any(not any(VERSIONS[family] in pair for pair in x) for x in near)
+
+
+def _joined(lines: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int]]:
+    """First and last place of lines, two or more with none empty between them, that together hold a template."""
+    begin = 0
+    while begin < len(lines):
+        end = begin + 1
+        while end < len(lines) and lines[end][0] == lines[end - 1][0] + 1:
+            end += 1
+        if end - begin > 1 and len(_TEMPLATE_WORD.findall(b"\n".join(x[2] for x in lines[begin:end]))):
+            yield from _joined_run(lines, begin, end)
+        begin = end
+
+
+def _joined_run(lines: list[tuple[int, int, bytes]], begin: int, end: int) -> Iterator[tuple[int, int]]:
+    words = [plain_words(x[2].decode("utf-8", "replace")) for x in lines[begin:end]]
+    all_pairs = _pairs([w for x in words for w in x])
+    for pairs in (x for said in _TEMPLATE_PAIRS.values() for x in said):
+        if len(pairs & all_pairs) < CONFIRMED * len(pairs):
+            continue
+        for i in range(len(words)):
+            so_far, held = list(words[i]), len(pairs & _pairs(words[i]))
+            if not held or held >= CONFIRMED * len(pairs):
+                continue
+            for j in range(i + 1, len(words)):
+                inner = len(so_far) - len(words[i])
+                if inner > 2 * (len(pairs) + 1):
+                    break
+                so_far += words[j]
+                if len(pairs & _pairs(so_far)) >= CONFIRMED * len(pairs):
+                    # To the end of the template, if the next line has more of it.
+                    whole = len(pairs & _pairs(so_far))
+                    if j + 1 < len(words) and len(pairs & _pairs(so_far + words[j + 1])) > whole:
+                        j += 1
+                    if len(pairs & _pairs(words[j])) < CONFIRMED * len(pairs):
+                        yield begin + i, begin + j
+                    break
+
+
 def training_paragraphs(plain: list[str], seed: int = SEED) -> list[tuple[str, str]]:
     """(family, paragraph): templates and other licence talk in variants, and plain paragraphs as they are."""
     chance = random.Random(seed)
@@ -206,31 +278,51 @@ def find(weights: np.ndarray, intercepts: np.ndarray, temperature: float):
     names = ["doc_id", "paragraph", "begin", "end", "family", "probability", "similarity", "confirmed"]
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.bool_()]
 
-    def judged(line: str, odds: np.ndarray) -> tuple[str, float, float, bool]:
+    def judged(line: str, rest: str, odds: np.ndarray) -> tuple[str, float, float, bool]:
         best = int(odds[:unknown].argmax())
         family = CLASSES[best] if odds[best] >= LIKELY else UNKNOWN
         alike = similarity(line, family)
-        confirmed = alike >= CONFIRMED
+        confirmed = alike >= CONFIRMED and fits(line, rest, family)
         return (family, float(odds[best]), alike, True) if confirmed else (UNKNOWN, float(1 - odds[none]), alike, False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ngrams = _Ngrams()
         for batch in batches:
             for rows, texts in text_pieces(batch):
-                lines = [(i, *x) for i, text in enumerate(texts) for x in paragraphs_of(text)]
+                lines, joined = [], []
+                for i, text in enumerate(texts):
+                    own = paragraphs_of(text)
+                    lines += [(i, *x) for x in own]
+                    for a, b in sorted(set(_joined(own))):
+                        at = own[a][1]
+                        joined.append((i, own[a][0], at, text[at : own[b][1] + len(own[b][2])]))
+                alone = len(lines)
+                lines += joined
                 row, bucket, sizes = ngrams.of([x[3] for x in lines])
                 sums = np.concatenate([np.zeros((1, len(CLASSES))), np.cumsum(weights[bucket], 0)])
                 ends = np.searchsorted(row, np.arange(len(lines) + 1))
                 margins = (sums[ends[1:]] - sums[ends[:-1]] + intercepts) / temperature
                 odds = np.exp(margins - margins.max(1, keepdims=True)) if len(lines) else margins
                 odds = odds / odds.sum(1, keepdims=True)
-                found, owners = [], []
-                for k in np.flatnonzero((odds[:, none] < 1 - LIKELY) & (sizes > 0)).tolist():
+                places, kept = {}, []
+                # Joined lines first: lines within a notice that they confirm are part of it.
+                likely = np.flatnonzero((odds[:, none] < 1 - LIKELY) & (sizes > 0))
+                for k in [*likely[likely >= alone].tolist(), *likely[likely < alone].tolist()]:
                     owner, number, at, line = lines[k]
                     text = line.decode()
+                    rest = texts[owner][at + len(line) :][:REST].decode("utf-8", "ignore").split("\n\n")[0]
+                    verdict = judged(text, rest, odds[k])
+                    taken = places.setdefault(owner, [])
+                    if k >= alone and not verdict[3]:
+                        continue
+                    if any(a < at + len(line) and at < b for a, b in taken) and (k >= alone or not verdict[3]):
+                        continue
+                    if k >= alone:
+                        taken.append((at, at + len(line)))
                     begin = len(texts[owner][:at].decode())
-                    found.append((number, begin, begin + len(text), *judged(text, odds[k])))
-                    owners.append(owner)
+                    kept.append((owner, (number, begin, begin + len(text), *verdict)))
+                kept.sort(key=lambda x: x[:2])
+                owners, found = [x[0] for x in kept], [x[1] for x in kept]
                 if found:
                     columns = [pa.array(x, kind) for x, kind in zip(zip(*found, strict=True), kinds, strict=True)]
                     ids = rows.column("doc_id").take(pa.array(owners))

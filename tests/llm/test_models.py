@@ -184,6 +184,27 @@ def test_license_paragraphs(spark, license_model):
     assert one.confirmed and not found[5].confirmed
 
 
+def test_wrapped_notices_and_near_families(spark, license_model):
+    plain = " ".join(words(random.Random(6), 40))
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    gpl = "under the terms of the GNU General Public License\nas published by the Free Software Foundation"
+    texts = {
+        1: (f"{plain}\n{bsd}\n\n{plain}", bsd, "bsd"),
+        2: (f"{plain}\n{gpl}, either version 3 of the\nLicense", f"{gpl}, either version 3 of the", "gpl-3.0"),
+        3: ("This work is licensed under the GNU General Public License, version 2.", None, None),
+        4: ("This work is licensed under the GNU Affero General Public License, version 3.", None, None),
+        5: ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", None, None),
+        6: ("Licensed under CC BY-SA 4.0.", None, None),
+        7: (f"{gpl}; either\nversion 2 of the License", None, None),
+    }
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in texts.items()], "doc_id long, text string")
+    found = license_scan.scan_with(df, license_model).filter("confirmed").collect()
+    assert {(r.doc_id, texts[r.doc_id][0][r.begin : r.end], r.family) for r in found} == {
+        (k, said, family) for k, (_, said, family) in texts.items() if said
+    }
+    assert not license_scan.fits("licensed under the GNU General Public License", "", "gpl-3.0")
+
+
 def test_license_lines_of_the_table(spark, small, license_model, odd, no_rows):
     notice = "(?m)^(Licensed under|Released under the|This work is licensed under) .*$"
     want = {r.doc_id for r in small.filter(F.col("text").rlike(notice)).collect()}
