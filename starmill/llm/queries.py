@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmill.llm import (
+    bond_negatives,
     bpe,
     license_scan,
     ngram_join,
+    permutation_index,
     preference_chat,
+    prefix_trie,
     quality_rules,
     radix_dedup,
     secret_scan,
@@ -77,6 +80,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hardest negatives of every fiftieth vector's positives, by whole-number components."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = bond_negatives.participants(table(spark, sf_dir, "embeddings"), moved)
+    return bond_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found of every twentieth vector."""
+    index = permutation_index.PermutationIndex(table(spark, sf_dir, "embeddings"))
+    return index.search(F.col("vec_id") % 20 == 0, 20)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, rebuilt to share their starts."""
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.shared_starts(turns))
+
+
 QUERIES = (
     op1_ngram_jaccard_join,
     op2_token_counts,
@@ -88,9 +110,91 @@ QUERIES = (
     op8_substring_dedup,
     op9_secret_scan,
     op10_quality_rules,
+    op11_hard_negatives,
+    op12_permutation_index,
+    op13_prefix_trie,
 )
 
 ORACLES = {
+    "op13_prefix_trie": r"""
+        WITH RECURSIVE
+        crc_bits AS (
+            SELECT b AS code, b AS value, 0 AS step FROM range(256) t(b)
+            UNION ALL
+            SELECT code, CASE WHEN value % 2 = 1 THEN xor(value // 2, 3988292384) ELSE value // 2 END, step + 1
+            FROM crc_bits WHERE step < 8
+        ),
+        crc_table AS (SELECT list(value ORDER BY code) AS t FROM crc_bits WHERE step = 8),
+        turns AS (
+            SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS said,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        whole AS (SELECT conv_id, list(said ORDER BY place) AS s FROM turns GROUP BY conv_id),
+        taken AS (
+            SELECT w.conv_id, w.s, coalesce(b.s, []) AS base,
+                   xor(4294967295, list_reduce(
+                       list_prepend(4294967295, list_transform(range(1, len(CAST(w.conv_id AS VARCHAR)) + 1),
+                                                               lambda i: ord(CAST(w.conv_id AS VARCHAR)[i]))),
+                       lambda crc, x: xor(crc // 256, t[xor(crc % 256, x) + 1])
+                   )) % 6 AS h
+            FROM whole w CROSS JOIN crc_table LEFT JOIN whole b ON b.conv_id = w.conv_id - w.conv_id % 100
+        ),
+        rebuilt AS (SELECT conv_id, list_concat(base[1:h], s[h + 1:]) AS s FROM taken),
+        paths AS (SELECT conv_id, len(s) AS n, unnest(range(len(s) + 1)) AS depth, s FROM rebuilt),
+        members AS (SELECT conv_id, depth, n = depth AS ended, s[1:depth] AS start FROM paths),
+        groups AS (
+            SELECT depth, start, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+            FROM members GROUP BY depth, start
+        ),
+        nodes AS (
+            SELECT g.*, p.conv_id AS parent_conv_id,
+                   (g.n_convs - 1) * CASE WHEN g.depth = 0 THEN 0 ELSE length(g.start[-1].text) END AS cost
+            FROM groups g LEFT JOIN groups p ON p.depth = g.depth - 1 AND p.start = g.start[1:g.depth - 1]
+        ),
+        children AS (
+            SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+        ),
+        known AS (SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (conv_id, depth)),
+        -- a node is below those that its least member goes through
+        pairs AS (
+            SELECT up.conv_id, up.depth, d.cost, d.n_children FROM known d
+            JOIN members m ON m.conv_id = d.conv_id AND m.depth <= d.depth
+            JOIN groups up ON up.depth = m.depth AND up.start = m.start
+        ),
+        sums AS (
+            SELECT conv_id, depth, CAST(sum(cost) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+            FROM pairs GROUP BY ALL
+        )
+        SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, k.parent_conv_id, k.n_convs, k.n_children, s.n_leaves,
+               s.saved_tokens, k.ends_sha256
+        FROM known k JOIN sums s USING (conv_id, depth)
+    """,
+    "op11_hard_negatives": r"""
+        WITH kept AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM kept a JOIN kept b ON a.vec_id <> b.vec_id
+            WHERE a.vec_id % 50 = 0
+        ),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3
+    """,
     "op6_preference_chat": r"""
         WITH plain AS (
             SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS role,
