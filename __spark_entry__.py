@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import sys
+import threading
 from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
@@ -28,11 +30,33 @@ from starmill.operators.profile import column_profiles, normalise, profile, stag
 from starmill.plans import refresh, reports, star  # noqa: E402
 from starmill.schemas.order_entry import ORDER_ENTRY  # noqa: E402
 from starmill.schemas.publishing import PUBLISHING  # noqa: E402
+from starmill.schemas.records import record_rows, schema_drift  # noqa: E402
 from starmill.session import scratch_dir  # noqa: E402
 from starmill.sinks.staging import stage  # noqa: E402
-from starmill.sinks.warehouse import create_database, drop_database, load_table, replace_table  # noqa: E402
-from starmill.sources.catalog import CatalogSource, list_tables  # noqa: E402
-from starmill.sources.folders import FolderSource, table_name_column  # noqa: E402
+from starmill.sinks.warehouse import (  # noqa: E402
+    create_database,
+    create_stored_view,
+    create_tables,
+    drop_database,
+    drop_tables,
+    insert_rows,
+    load_table,
+    replace_table,
+)
+from starmill.sources.catalog import CatalogSource, describe_columns, list_tables  # noqa: E402
+from starmill.sources.folders import (  # noqa: E402
+    FolderSource,
+    NothingStaged,
+    dataset_path,
+    find_staged,
+    inspect,
+    list_staged,
+    table_name_column,
+)
+from starmill.sources.jdbc import equal_depth  # noqa: E402
+from starmill.storage import data_files_of, remove_folder  # noqa: E402
+
+log = logging.getLogger(__name__)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -333,6 +357,275 @@ def default_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PUBLISHING["authors"].fill(customers)
 
 
+def _broken(df: DataFrame) -> DataFrame:
+    """The same columns; reading a row fails."""
+    failing = F.raise_error(F.lit("broken on purpose"))
+    return df.select(*[F.coalesce(failing.cast(f.dataType), F.col(f.name)).alias(f.name) for f in df.schema])
+
+
+def _refused(work: Callable[[], object]) -> bool:
+    try:
+        work()
+    except Exception:  # whatever stops it: the callers count rows afterwards
+        return True
+    return False
+
+
+def staged_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders staged once; the next run fails while it writes. What was staged first is read, and listed."""
+    root, _ = _database(spark, "staged_after_failure")
+    orders = sample.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    stage(orders, f"{root}/staging", "orders")
+    failed = _refused(lambda: stage(_broken(orders), f"{root}/staging", "orders"))
+    source = FolderSource(spark, f"{root}/staging")
+    return source.read("orders").withColumns(
+        {"second_run_failed": F.lit(failed), "tables": F.lit(",".join(source.tables()))}
+    )
+
+
+def staged_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging folder of all sorts: a staged dataset, one of others, one further down, one that lost a file, one
+    whose first write failed, one of another format. Each with its state and, if it can be read, its rows."""
+    root, _ = _database(spark, "staged_inventory")
+    staging = f"{root}/staging"
+    table = {x: sample.read(spark, sf_dir, x) for x in ("orders", "nation", "region", "customer", "part", "supplier")}
+    stage(table["orders"], staging, "orders")
+    table["nation"].write.parquet(dataset_path(staging, "nation", "parquet"))
+    stage(table["region"], f"{staging}/2024/01", "region")
+    lossy = stage(table["customer"], staging, "customer")
+    remove_folder(spark, data_files_of(spark, lossy)[0])
+    first_failed = _refused(lambda: stage(_broken(table["part"]), staging, "part"))
+    table["supplier"].write.json(dataset_path(staging, "supplier", "json"))
+    found = [(x.table, x.state, x.readable) for x in inspect(spark, staging)]
+    source = FolderSource(spark, staging)
+    counts = [
+        (source.read(name) if readable else spark.range(0)).agg(
+            F.lit(name).alias("table_name"), F.lit(state).alias("state"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name, state, readable in found
+    ]
+    nothing = not first_failed
+    try:
+        list_staged(spark, f"{root}/nothing")
+    except NothingStaged:
+        nothing = True
+    empty = spark.range(0).agg(
+        F.lit("(empty folder)").alias("table_name"), F.lit("refused" if nothing else "listed").alias("state"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+    return reduce(DataFrame.unionByName, [*counts, empty])
+
+
+def replaced_under_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice, each time with other columns, while a reader polls it all the time.
+
+    What the table shows in the end, what a reader of the version before still counts, and how many polls saw
+    neither version whole.
+    """
+    _, db = _database(spark, "replaced_under_readers")
+    orders = sample.read(spark, sf_dir, "orders")
+    versions = [
+        orders.select("o_orderkey"),
+        orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice"),
+        orders.filter("o_orderstatus <> 'O'").select("o_totalprice", "o_custkey", "o_orderkey"),
+    ]
+    whole = {(len(v.columns), v.count()) for v in versions}
+    replace_table(versions[0], db, "t")
+    done, polls, odd = threading.Event(), [], []
+
+    def poll() -> None:
+        while not done.is_set() or not polls:
+            try:
+                shown = spark.table(f"{db}.t")
+                polls.append((len(shown.columns), shown.count()))
+            except Exception as e:  # a reader must never see the table missing
+                odd.append(str(e))
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        replace_table(versions[1], db, "t")
+        held = spark.table(f"{db}.t")
+        replace_table(versions[2], db, "t")
+    finally:
+        done.set()
+        reader.join()
+    odd += [x for x in polls if x not in whole]
+    shown = spark.table(f"{db}.t").agg(F.lit("shown").alias("reading"), F.count("o_custkey").alias("n_rows"))
+    before = held.agg(F.lit("version before").alias("reading"), F.count("o_totalprice").alias("n_rows"))
+    missed = spark.range(len(odd)).agg(F.lit("odd polls").alias("reading"), F.count("id").alias("n_rows"))
+    return shown.unionByName(before).unionByName(missed)
+
+
+def _insertable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as rows of a declared table, with a column list."""
+    return sample.read(spark, sf_dir, "customer").select(
+        F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("au_id"),
+        F.col("c_name").alias("au_lname"),
+        F.col("c_mktsegment").alias("au_fname"),
+        F.substring("c_mktsegment", 1, 1).alias("state"),
+        (F.col("c_acctbal") > 0).alias("contract"),
+    )
+
+
+def declared_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a declared table took: defaults where the column list leaves a column out, blanks of fixed length gone."""
+    _, db = _database(spark, "declared_insert")
+    create_tables(spark, db, {"authors": PUBLISHING["authors"]})
+    insert_rows(_insertable(spark, sf_dir), db, PUBLISHING["authors"])
+    return CatalogSource(spark, db).read("authors")
+
+
+def declared_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a declared table does not take, and its rows after each attempt."""
+    _, db = _database(spark, "declared_refusals")
+    declared = PUBLISHING["authors"]
+    create_tables(spark, db, {"authors": declared})
+    good = _insertable(spark, sf_dir)
+    insert_rows(good, db, declared)
+    missing = F.when(F.col("contract"), F.col("au_lname"))
+    attempts = {
+        "a missing required value": good.withColumn("au_lname", missing),
+        "a text that is too long": good.withColumn("state", F.col("au_fname")),
+        "a required column left out": good.drop("contract"),
+        "an unknown column": good.withColumn("shoe_size", F.lit(40)),
+        "the same rows again": good,
+    }
+    counts = []
+    for name, rows in attempts.items():
+        refused = _refused(lambda rows=rows: insert_rows(rows, db, declared))
+        # counted now: the next attempt adds to the table
+        n_rows = spark.table(f"{db}.authors").count()
+        counts.append((name, refused, n_rows))
+    return spark.createDataFrame(counts, "attempt string, refused boolean, n_rows long")
+
+
+def now_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts inserted as titles without a day of publication: it is today's in every row."""
+    _, db = _database(spark, "now_default")
+    create_tables(spark, db, {"titles": PUBLISHING["titles"]})
+    parts = sample.read(spark, sf_dir, "part").select(
+        F.lpad(F.col("p_partkey").cast("string"), 6, "0").alias("title_id"), F.col("p_name").alias("title")
+    )
+    insert_rows(parts, db, PUBLISHING["titles"])
+    days = F.date_diff(F.current_date(), F.to_date("pubdate"))
+    return spark.table(f"{db}.titles").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("pubdate").alias("n_dated"),
+        F.max(days).alias("most_days_ago"),
+        F.count_distinct("pubdate").alias("n_moments"),
+    )
+
+
+def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup table written by hand beside a table: suppliers with the shipper that their nation's number gives."""
+    shippers = ORDER_ENTRY["shippers"].rows(
+        spark, [(0, "Speedy Express", None), (1, "United Package", "555"), (2, "Federal Shipping", None)]
+    )
+    suppliers = sample.read(spark, sf_dir, "supplier").select(
+        "s_suppkey", (F.col("s_nationkey") % 4).cast("short").alias("shipper_id")
+    )
+    return suppliers.join(shippers, "shipper_id", "left").select("s_suppkey", "shipper_id", "company_name", "phone")
+
+
+def dropped_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plain, a replaced and a declared table stay; one of each kind is dropped, with one that never was."""
+    root, db = _database(spark, "dropped_tables")
+    nations, regions = sample.read(spark, sf_dir, "nation"), sample.read(spark, sf_dir, "region")
+    for name in ("stays", "goes"):
+        nations.write.saveAsTable(f"{db}.plain_{name}")
+        replace_table(regions, db, f"replaced_{name}")
+    create_tables(spark, db, {"jobs": PUBLISHING["jobs"], "stores": PUBLISHING["stores"]})
+    drop_tables(spark, db, ["plain_goes", "replaced_goes", "jobs", "never_there"])
+    counts = [
+        spark.table(f"{db}.{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        for name in list_tables(spark, db)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def titleview_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The title view kept in a database, read by another session after its tables were loaded again."""
+    _, db = _database(spark, "titleview_stored")
+    tables = sample.publishing(spark, sf_dir)
+    for name in ("titles", "authors", "titleauthor"):
+        replace_table(tables[name].limit(0), db, name)
+    create_stored_view(spark, db, "titleview", reports.titleview_query(db), "one row per author of a title")
+    for name in ("titles", "authors", "titleauthor"):
+        replace_table(tables[name], db, name)
+    view = spark.newSession().table(f"{db}.titleview")
+    return view.withColumn("price", F.col("price").cast("double"))
+
+
+def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and columns of a database as its metadata tells them: a replaced, a plain and a declared table, and a view."""
+    _, db = _database(spark, "catalog_columns")
+    replace_table(sample.read(spark, sf_dir, "customer"), db, "customer")
+    sample.read(spark, sf_dir, "supplier").write.saveAsTable(f"{db}.supplier")
+    create_tables(spark, db, {"publishers": PUBLISHING["publishers"]})
+    create_stored_view(spark, db, "debtors", f"SELECT c_custkey, c_acctbal FROM {db}.customer WHERE c_acctbal < 0")
+    columns = ["table_name", "table_type", "column_name", "position", "data_type", "nullable", "column_default"]
+    return describe_columns(spark, db).select(*columns)
+
+
+def record_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record schema of staged events, field by field: missing values are those of the rows."""
+    root, _ = _database(spark, "record_schemas")
+    events = _events_as_text(spark, sf_dir)
+    staged = normalise(events, column_profiles(events), dates="millis")
+    stage(staged, f"{root}/staging", "events", namespace="staging", doc="web events")
+    return record_rows(spark, [find_staged(spark, f"{root}/staging", "events").manifest.record])
+
+
+def record_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between the record schemas of two days: a column less, one more, one of another type, one that is now
+    missing here and there, and a table that is new."""
+    root, _ = _database(spark, "record_drift")
+    customers, orders = sample.read(spark, sf_dir, "customer"), sample.read(spark, sf_dir, "orders")
+    days = {
+        "monday": {"customer": customers},
+        "tuesday": {
+            "customer": customers.drop("c_mktsegment").withColumns(
+                {
+                    "c_nationkey": F.col("c_nationkey").cast("string"),
+                    "c_acctbal": F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")),
+                    "in_credit": F.col("c_acctbal") > 0,
+                }
+            ),
+            "orders": orders.select("o_orderkey"),
+        },
+    }
+    for day, tables in days.items():
+        for name, df in tables.items():
+            stage(df, f"{root}/{day}", name, observe=df.columns)
+    before, after = (
+        record_rows(spark, [x.manifest.record for x in inspect(spark, f"{root}/{day}")]) for day in days
+    )
+    return schema_drift(before, after)
+
+
+def equal_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicates from a counted histogram of a clustered column: every row is in one part, and parts are even."""
+    lines = sample.read(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_partkey") * F.col("l_partkey")).alias("k")
+    )
+    parts = 8
+    ranked = lines.filter("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    # a histogram row for each value of the scaled key, as a database would return them for its buckets
+    bucket = F.floor(F.sqrt(F.col("k")) / 10)
+    counts = ranked.groupBy(bucket.alias("b")).agg(F.min("k").alias("k"), F.sum("n").alias("n")).orderBy("k")
+    predicates = equal_depth("k", [(r["k"], r["n"]) for r in counts.collect()], parts)
+    inside = [F.coalesce(F.expr(p.replace('"', "`")), F.lit(False)).cast("int") for p in predicates]
+    total = F.count(F.lit(1))
+    largest = F.greatest(*[F.sum(x) for x in inside[:-1]])
+    return lines.agg(
+        total.alias("n_rows"),
+        F.count_if(reduce(lambda a, b: a + b, inside) == 1).alias("n_in_one_part"),
+        F.sum(inside[-1]).alias("n_without_value"),
+        (largest * parts <= 2 * F.count("k")).alias("parts_are_even"),
+    )
+
+
 # -- data quality --------------------------------------------------------------------------
 
 
@@ -474,6 +767,19 @@ _QUERIES: tuple[Query, ...] = (
     daily_fact,
     daily_tables,
     default_fill,
+    staged_after_failure,
+    staged_inventory,
+    replaced_under_readers,
+    declared_insert,
+    declared_refusals,
+    now_default,
+    literal_rows,
+    dropped_tables,
+    titleview_stored,
+    catalog_columns,
+    record_schemas,
+    record_drift,
+    equal_splits,
     dq_not_null,
     dq_pk,
     dq_fk,
@@ -496,7 +802,11 @@ def _text_queries() -> tuple[dict[str, Query], dict[str, str]]:
         from starmill.llm import queries as text
 
         import corpus_pipeline
-    except ImportError:
+    except ModuleNotFoundError as e:
+        if e.name not in ("starmill.llm", "corpus_pipeline"):
+            log.exception("the text queries are there, but something that they need is not")
+            raise
+        log.warning("no text queries: %s is not there", e.name)
         return {}, {}
     found, sql = text.queries(), dict(text.ORACLES)
     found["pipeline"] = corpus_pipeline.run

@@ -450,3 +450,79 @@ ORACLES["durations"] = """
 
 ORACLES["loaded_schema"] = f"""
     SELECT 'events' AS "table", "column", nullable, logical_type FROM ({ORACLES["profile_events"]})"""
+
+ORACLES["staged_after_failure"] = """
+    SELECT o_orderkey, o_custkey, o_totalprice, true AS second_run_failed, 'orders' AS tables FROM orders"""
+ORACLES["staged_inventory"] = """
+    SELECT 'orders' AS table_name, 'complete' AS state, count(*) AS n_rows FROM orders
+    UNION ALL SELECT 'nation', 'foreign', count(*) FROM nation
+    UNION ALL SELECT 'region', 'complete', count(*) FROM region
+    UNION ALL SELECT 'customer', 'broken', 0
+    UNION ALL SELECT 'part', 'unfinished', 0
+    UNION ALL SELECT '(empty folder)', 'refused', 0"""
+ORACLES["replaced_under_readers"] = """
+    SELECT 'shown' AS reading, count(*) AS n_rows FROM orders WHERE o_orderstatus <> 'O'
+    UNION ALL SELECT 'version before', count(*) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'odd polls', 0"""
+ORACLES["declared_insert"] = """
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 11, '0') AS au_id, c_name AS au_lname, c_mktsegment AS au_fname,
+           'UNKNOWN' AS phone, CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS city,
+           c_mktsegment[1:1] AS state, CAST(NULL AS VARCHAR) AS zip, c_acctbal > 0 AS contract
+    FROM customer"""
+ORACLES["declared_refusals"] = """
+    SELECT 'a missing required value' AS attempt, true AS refused, count(*) AS n_rows FROM customer
+    UNION ALL SELECT 'a text that is too long', true, count(*) FROM customer
+    UNION ALL SELECT 'a required column left out', true, count(*) FROM customer
+    UNION ALL SELECT 'an unknown column', true, count(*) FROM customer
+    UNION ALL SELECT 'the same rows again', false, 2 * count(*) FROM customer"""
+ORACLES["now_default"] = """
+    SELECT count(*) AS n_rows, count(*) AS n_dated, 0 AS most_days_ago, CAST(1 AS BIGINT) AS n_moments FROM part"""
+ORACLES["literal_rows"] = """
+    SELECT s_suppkey, CAST(s_nationkey % 4 AS SMALLINT) AS shipper_id, company_name, phone
+    FROM supplier LEFT JOIN (
+        VALUES (0, 'Speedy Express', NULL), (1, 'United Package', '555'), (2, 'Federal Shipping', NULL)
+    ) AS shippers (shipper_id, company_name, phone) ON shippers.shipper_id = s_nationkey % 4"""
+ORACLES["dropped_tables"] = """
+    SELECT 'plain_stays' AS table_name, count(*) AS n_rows FROM nation
+    UNION ALL SELECT 'replaced_stays', count(*) FROM region
+    UNION ALL SELECT 'stores', 0"""
+ORACLES["titleview_stored"] = ORACLES["titleview"]
+
+_SPARK_TYPE = """
+    CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                   WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END"""
+ORACLES["catalog_columns"] = f"""
+    SELECT table_name, CASE table_name WHEN 'customer' THEN 'REPLACED' ELSE 'MANAGED' END AS table_type, column_name,
+           CAST(ordinal_position AS INTEGER) AS position, {_SPARK_TYPE} AS data_type, true AS nullable,
+           CAST(NULL AS VARCHAR) AS column_default
+    FROM information_schema.columns WHERE table_name IN ('customer', 'supplier')
+    UNION ALL
+    SELECT 'debtors', 'VIEW', column_name, CAST(row_number() OVER (ORDER BY ordinal_position) AS INTEGER), {_SPARK_TYPE},
+           true, NULL
+    FROM information_schema.columns WHERE table_name = 'customer' AND column_name IN ('c_custkey', 'c_acctbal')
+    UNION ALL
+    SELECT 'publishers', 'MANAGED', * FROM (VALUES
+        ('pub_id', 1, 'char(4)', false, NULL),
+        ('pub_name', 2, 'varchar(40)', true, NULL),
+        ('city', 3, 'varchar(20)', true, NULL),
+        ('state', 4, 'char(2)', true, NULL),
+        ('country', 5, 'varchar(30)', true, '''USA'''))"""
+ORACLES["record_schemas"] = f"""
+    SELECT 'events' AS "table", 'staging' AS namespace, 'web events' AS doc, position, "column",
+           CASE WHEN logical_type IS NOT NULL OR staged_type = 'bigint' THEN 'long' ELSE staged_type END AS type,
+           CASE WHEN logical_type IS NOT NULL THEN 'timestamp-millis' END AS logical_type, nullable,
+           CAST(NULL AS VARCHAR) AS column_doc
+    FROM ({ORACLES["profile_events"]})"""
+ORACLES["record_drift"] = """
+    SELECT 'customer' AS "table", 'c_mktsegment' AS "column", 'dropped' AS change, 'string' AS before,
+           CAST(NULL AS VARCHAR) AS after
+    UNION ALL SELECT 'customer', 'c_nationkey', 'retyped',
+                     CASE typeof(any_value(c_nationkey)) WHEN 'INTEGER' THEN 'int' ELSE 'long' END, 'string' FROM customer
+    UNION ALL SELECT 'customer', 'in_credit', 'added', NULL, 'boolean'
+    UNION ALL SELECT 'customer', 'c_acctbal', 'may be missing', 'double', 'double'
+              FROM customer HAVING count(*) FILTER (c_acctbal <= 0) > 0
+    UNION ALL SELECT 'orders', 'o_orderkey', 'added', NULL, 'long'"""
+ORACLES["equal_splits"] = """
+    SELECT count(*) AS n_rows, count(*) AS n_in_one_part, count(*) FILTER (l_linenumber = 7) AS n_without_value,
+           true AS parts_are_even
+    FROM lineitem"""

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from starmill.session import scratch_dir
-from starmill.sources.folders import remove_folder
+from starmill.storage import remove_folder
 
 ROWS_PER_BUCKET = 1_000_000
 SAMPLE_PER_BUCKET = 16

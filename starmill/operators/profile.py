@@ -133,6 +133,19 @@ def _is_moment(f: T.StructField) -> bool:
     return isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
 
 
+def opened(df: DataFrame) -> list[str]:
+    """Columns whose staged type depends on their values: texts that may be dates, and times that may be days."""
+    return [f.name for f in df.schema if _is_text(f) or _is_moment(f)]
+
+
+def typed_profile(f: T.StructField, position: int) -> ColumnProfile:
+    """What a column's type says of it before its rows are read; its missing values are counted later."""
+    logical = {T.DateType: "date", T.DayTimeIntervalType: "duration"}.get(type(f.dataType))
+    return ColumnProfile(
+        f.name, position, f.dataType.simpleString(), staged_type(f.dataType).simpleString(), 0, 0, True, None, logical
+    )
+
+
 def _midnight(c: Column) -> Column:
     return F.coalesce(F.bool_and(c == F.to_date(c).cast("timestamp_ntz")), F.lit(False))
 

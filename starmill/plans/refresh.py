@@ -10,17 +10,19 @@ from dataclasses import dataclass
 from typing import Protocol
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from starmill.operators.profile import column_profiles, normalise
+from starmill.operators.profile import column_profiles, normalise, opened, typed_profile
 from starmill.operators.quality import require_clean, violations
 from starmill.plans import star
+from starmill.schemas.records import NAMESPACE
 from starmill.schemas.tables import Table
 from starmill.session import scratch_dir
 from starmill.sinks.staging import stage
-from starmill.sinks.warehouse import load_table, replace_table
+from starmill.sinks.warehouse import load_dataset, replace_table
 from starmill.sources.catalog import list_tables
-from starmill.sources.folders import list_staged, read_staged, remove_folder
+from starmill.sources.folders import read_staged, staged
+from starmill.storage import remove_folder
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +42,7 @@ class Run:
     """Settings of one run. ``tables_at_once`` Spark jobs are submitted side by side.
 
     ``rules`` are the declared tables whose rules the raw tables must keep. ``line_key`` orders the
-    order lines totally.
+    order lines totally. ``namespace`` and ``doc`` go into the record schemas of the staged tables.
     """
 
     staging_root: str
@@ -53,12 +55,26 @@ class Run:
     tables_at_once: int = 4
     rules: Mapping[str, Table] | None = None
     line_key: tuple[str, ...] = ("order_id", "product_id")
+    namespace: str = NAMESPACE
+    doc: str = ""
 
 
 def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str], n: int) -> None:
-    """Runs ``work`` for every name. The first failure is raised, and what had not begun is not run."""
+    """Runs ``work`` for every name. The first failure is raised, and what had not begun is not run.
+
+    Each name is a scheduler pool of its own. Under the fair scheduler (``spark.scheduler.mode``) pools share the executors, so that
+    a large table does not hold up the small ones.
+    """
+
+    def pooled(name: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            work(name)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
     with ThreadPoolExecutor(n) as pool:
-        begun = [pool.submit(inheritable_thread_target(spark)(work), name) for name in names]
+        begun = [pool.submit(inheritable_thread_target(spark)(pooled), name) for name in names]
         try:
             for done in as_completed(begun):
                 done.result()
@@ -70,8 +86,9 @@ def _each(spark: SparkSession, work: Callable[[str], None], names: Iterable[str]
 def extract(spark: SparkSession, source: Source, run: Run) -> list[str]:
     """Profiles, casts and stages every base table of the source.
 
-    The profile and the cast each read the table. A source that is not stable is read once, into
-    the scratch folder, and both work from there.
+    Only texts and times are profiled ahead, since their values decide how they are staged. Missing values of the other columns
+    are counted while the rows are written, so a table without texts and times is read once. A source
+    that is not stable is read once in any case, into the scratch folder.
     """
     names = source.tables()
     log.info("tables to extract: %s", names)
@@ -82,10 +99,14 @@ def extract(spark: SparkSession, source: Source, run: Run) -> list[str]:
         if landing:
             stage(df, landing, name, "parquet")
             df = read_staged(spark, landing, name, "parquet")
-        profiles = column_profiles(df)
-        path = stage(
-            normalise(df, profiles, run.null_text, run.dates), run.staging_root, name, run.fmt
-        )
+        ahead = opened(df)
+        profiles = column_profiles(df.select(*[f"`{x}`" for x in ahead])) if ahead else []
+        typed = [(f, i) for i, f in enumerate(df.schema) if f.name not in ahead]
+        profiles += [typed_profile(f, i) for f, i in typed]
+        # a flag may always be missing
+        counted = [f.name for f, _ in typed if not isinstance(f.dataType, T.BooleanType)]
+        out = normalise(df, profiles, run.null_text, run.dates)
+        path = stage(out, run.staging_root, name, run.fmt, counted, run.namespace, run.doc)
         log.info("staged %s", path)
 
     try:
@@ -98,14 +119,14 @@ def extract(spark: SparkSession, source: Source, run: Run) -> list[str]:
 
 def load(spark: SparkSession, run: Run) -> list[str]:
     """Loads every staged dataset as a raw table; raises when nothing is staged."""
-    names = list_staged(spark, run.staging_root, run.fmt)
+    found = staged(spark, run.staging_root, run.fmt)
 
     def one(name: str) -> None:
-        load_table(spark, run.staging_root, name, run.raw_db, run.fmt)
+        load_dataset(spark, found[name], run.raw_db, run.fmt)
         log.info("loaded %s.%s", run.raw_db, name)
 
-    _each(spark, one, names, run.tables_at_once)
-    return names
+    _each(spark, one, sorted(found), run.tables_at_once)
+    return sorted(found)
 
 
 class RawTables(dict):

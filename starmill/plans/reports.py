@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from starmill.functions.numbers import MONEY
 from starmill.functions.text import like_class, unpad
 from starmill.operators.rollup import average_money, average_whole, count_of, labelled_rollup
+from starmill.sources.catalog import quoted
 
 Tables = Mapping[str, DataFrame]
 
@@ -25,6 +26,14 @@ def titleview(t: Tables) -> DataFrame:
     )
 
 
+def titleview_query(db: str) -> str:
+    """The same view as SQL over the tables of a database, for a view that is stored."""
+    return (
+        f"SELECT t.title, ta.au_ord, a.au_lname, t.price, t.ytd_sales, t.pub_id FROM {quoted(db, 'titleauthor')} ta "
+        f"JOIN {quoted(db, 'authors')} a ON a.au_id = ta.au_id JOIN {quoted(db, 'titles')} t ON t.title_id = ta.title_id"
+    )
+
+
 def byroyalty(t: Tables, percentage: int) -> DataFrame:
     """Authors with the given royalty share, once per title."""
     shares = t["titleauthor"]

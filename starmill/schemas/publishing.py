@@ -15,6 +15,7 @@ from starmill.schemas.tables import (
     Table,
     binary,
     by_name,
+    code,
     flag,
     moment,
     money,
@@ -47,11 +48,11 @@ def title_key(name: str) -> Field:
 
 
 def employee_key(name: str) -> Field:
-    return text(name, 9, required=True)
+    return code(name, 9, required=True)
 
 
 def publisher_key(name: str, **more) -> Field:
-    return text(name, 4, **more)
+    return code(name, 4, **more)
 
 
 PUBLISHING = by_name(
@@ -61,11 +62,11 @@ PUBLISHING = by_name(
             author_key("au_id"),
             text("au_lname", 40, True),
             text("au_fname", 20, True),
-            text("phone", 12, True, default="UNKNOWN"),
+            code("phone", 12, True, default="UNKNOWN"),
             text("address", 40),
             text("city", 20),
-            text("state", 2),
-            text("zip", 5),
+            code("state", 2),
+            code("zip", 5),
             flag("contract", True),
         ),
         key=("au_id",),
@@ -80,7 +81,7 @@ PUBLISHING = by_name(
             publisher_key("pub_id", required=True),
             text("pub_name", 40),
             text("city", 20),
-            text("state", 2),
+            code("state", 2),
             text("country", 30, default="USA"),
         ),
         key=("pub_id",),
@@ -97,7 +98,7 @@ PUBLISHING = by_name(
         (
             title_key("title_id"),
             text("title", 80, True),
-            text("type", 12, True, default="UNDECIDED"),
+            code("type", 12, True, default="UNDECIDED"),
             publisher_key("pub_id"),
             money("price"),
             money("advance"),
@@ -118,19 +119,19 @@ PUBLISHING = by_name(
     Table(
         "stores",
         (
-            text("stor_id", 4, True),
+            code("stor_id", 4, True),
             text("stor_name", 40),
             text("stor_address", 40),
             text("city", 20),
-            text("state", 2),
-            text("zip", 5),
+            code("state", 2),
+            code("zip", 5),
         ),
         key=("stor_id",),
     ),
     Table(
         "sales",
         (
-            text("stor_id", 4, True),
+            code("stor_id", 4, True),
             text("ord_num", 20, True),
             moment("ord_date", True),
             small("qty", True),
@@ -149,7 +150,7 @@ PUBLISHING = by_name(
         "discounts",
         (
             text("discounttype", 40, True),
-            text("stor_id", 4),
+            code("stor_id", 4),
             small("lowqty"),
             small("highqty"),
             Field("discount", T.DecimalType(4, 2), True),
@@ -181,7 +182,7 @@ PUBLISHING = by_name(
         (
             employee_key("emp_id"),
             text("fname", 20, True),
-            text("minit", 1),
+            code("minit", 1),
             text("lname", 30, True),
             small("job_id", True, default=1),
             tiny("job_lvl", default=LOWEST_LEVEL),

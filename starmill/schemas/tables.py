@@ -21,6 +21,7 @@ class Field:
     bounds: tuple[int, int] | None = None
     default: object = _NO_DEFAULT
     identity: bool = False
+    fixed: bool = False
 
     @property
     def has_default(self) -> bool:
@@ -102,6 +103,11 @@ def text(name: str, length: int | None = None, required: bool = False, **more) -
     return Field(name, T.StringType(), required, max_length=length, **more)
 
 
+def code(name: str, length: int, required: bool = False, **more) -> Field:
+    """A text of fixed length, filled up with blanks."""
+    return text(name, length, required, fixed=True, **more)
+
+
 def date(name: str, required: bool = False) -> Field:
     return Field(name, T.DateType(), required)
 

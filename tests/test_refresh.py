@@ -29,6 +29,7 @@ from starmill.sources.folders import (
     table_name_column,
 )
 from starmill.sources.jdbc import JdbcSource, Split, base_tables_query
+from starmill.storage import data_files_of, entries
 from tests import order_fixture
 
 AS_OF = dt.date(2021, 4, 15)
@@ -228,23 +229,41 @@ def test_jdbc_statements_and_options(spark):
         source.read("customers")
 
 
-@pytest.mark.parametrize("rename", [1, 2])
-def test_a_failed_rename_leaves_the_old_table(spark, db, monkeypatch, rename):
-    replace_table(spark.range(5), db, "t")
-    plain, calls = warehouse._renamed, []
+@pytest.mark.parametrize("step", ["_renamed", "_point"])
+def test_a_plain_table_is_there_after_a_failed_step(spark, db, monkeypatch, step):
+    """The first replacement of a plain table renames it away, and back if the rename or what follows fails."""
+    spark.range(5).write.saveAsTable(f"{db}.t")
+    plain, calls = getattr(warehouse, step), []
 
     def failing(*args):
         calls.append(args)
-        if len(calls) == rename:
-            raise RuntimeError("no rename")
+        if len(calls) == 1:
+            raise RuntimeError("no step")
         plain(*args)
 
-    monkeypatch.setattr(warehouse, "_renamed", failing)
+    monkeypatch.setattr(warehouse, step, failing)
     with pytest.raises(RuntimeError):
         replace_table(spark.range(9), db, "t")
     monkeypatch.undo()
     assert spark.table(f"{db}.t").count() == 5
     assert [t.name for t in spark.catalog.listTables(db) if not t.isTemporary] == ["t"]
+    assert data_files_of(spark, warehouse.versions_folder(spark, db, "t")) == []
+    replace_table(spark.range(9), db, "t")
+    assert spark.table(f"{db}.t").count() == 9 and list_tables(spark, db) == ["t"]
+
+
+def test_a_failed_change_of_the_catalog_leaves_the_version_before(spark, db, monkeypatch):
+    replace_table(spark.range(5), db, "t")
+
+    def failing(*_):
+        raise RuntimeError("no change")
+
+    monkeypatch.setattr(warehouse, "_point", failing)
+    with pytest.raises(RuntimeError):
+        replace_table(spark.range(9), db, "t")
+    monkeypatch.undo()
+    assert spark.table(f"{db}.t").count() == 5
+    assert len(entries(spark, warehouse.versions_folder(spark, db, "t"))) == 1
 
 
 def test_a_swap_that_a_lost_driver_left_is_undone(spark, db):
