@@ -1,0 +1,218 @@
+"""Hard negatives and nearest neighbours: brute force over odd rows, recall over a whole table, plans."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starmill.llm import bond_negatives, permutation_index
+from starmill.llm.permutation_index import PermutationIndex, spread_out
+from starmill.llm.queries import op11_hard_negatives, op12_permutation_index
+from starmill.llm.vectors import block_count
+
+SF = "/root/testdata/sf0.01"
+ODD = {"score": "text", "rank": "text", "block": "text", "kind": "text", "window": "text", "share": "text"}
+
+
+def table(spark, rows, kind="float"):
+    df = spark.createDataFrame(rows, f"vec_id long, label int, embedding array<{kind}>")
+    return df.withColumns({x: F.lit(y) for x, y in ODD.items()})
+
+
+@pytest.fixture(scope="module")
+def odd_vectors():
+    chance = np.random.default_rng(11)
+    rows = [(i, int(chance.integers(3)), [float(x) for x in chance.normal(size=6).astype("f4")]) for i in range(120)]
+    rows[10] = (10, 1, None)
+    rows[11] = (11, 1, [1.0, None, 0.0, 0.0, 0.0, 0.0])
+    rows[12] = (12, 1, [math.nan] * 6)
+    rows[13] = (13, 1, [math.inf, 0.0, 0.0, 0.0, 0.0, 0.0])
+    rows[14] = (14, None, rows[14][2])
+    rows[15] = (15, 2, [1.0, 2.0])
+    rows[16] = (16, 2, [])
+    rows[17] = (17, 2, [0.0] * 6)
+    rows += [(20, 0, rows[21][2]), (20, 2, rows[22][2]), (30, *rows[30][1:]), (None, 1, rows[31][2])]
+    rows += [(200 + i, i % 2, rows[0][2]) for i in range(30)]
+    return rows
+
+
+def usable(rows, with_label):
+    kept = {}
+    for i, label, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v) or (with_label and label is None):
+            continue
+        key = (label, v) if with_label else v
+        if i not in kept or key < kept[i]:
+            kept[i] = key
+    return kept
+
+
+def negatives_by_hand(rows, is_anchor, n_positives=5, n_negatives=3, scale=256):
+    kept = {}
+    for i, label, v in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        row = (label, [math.floor(scale * x) for x in v])
+        kept[i] = min(kept.get(i, row), row)
+    out = []
+    for a, (label, v) in kept.items():
+        if not is_anchor(a):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w, strict=False)), i, m) for i, (m, w) in kept.items() if i != a)
+        for p, positive, _ in [x for x in scored if x[2] == label][:n_positives]:
+            p = -p
+            far = [(i, -n) for n, i, m in scored if m != label and 50 * p <= 100 * -n <= 95 * p]
+            out += [(a, positive, rank, i, p, n) for rank, (i, n) in enumerate(far[:n_negatives], 1)]
+    return sorted(out)
+
+
+def mined(df, is_anchor, **settings):
+    rows = bond_negatives.participants(df, F.col("label"))
+    found = bond_negatives.hard_negatives(rows, is_anchor, **settings)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def test_negatives_of_odd_rows(spark, odd_vectors):
+    got = mined(table(spark, odd_vectors), F.col("vec_id") % 5 == 0)
+    assert got == negatives_by_hand(odd_vectors, lambda i: i % 5 == 0) and len(got) > 100
+    got = mined(table(spark, odd_vectors), F.col("vec_id") % 4 == 0, n_positives=2, n_negatives=1)
+    assert got == negatives_by_hand(odd_vectors, lambda i: i % 4 == 0, 2, 1)
+
+
+def test_large_components_stay_exact(spark):
+    """Beyond what doubles hold, sums are made of whole numbers."""
+    chance = np.random.default_rng(2)
+    rows = [(i, i % 2, [float(x) for x in chance.uniform(1e5, 1.3e5, 12)]) for i in range(40)]
+    got = mined(table(spark, rows, "double"), F.col("vec_id") < 6)
+    assert got == negatives_by_hand(rows, lambda i: i < 6) and max(r[4] for r in got) > 1 << 53
+    held = table(spark, [(1, 1, [1e30, -1e30])], "double").select(bond_negatives.quantised().alias("v")).first().v
+    assert held == [bond_negatives.MOST_COMPONENT, -bond_negatives.MOST_COMPONENT]
+
+
+def test_many_blocks_give_the_same(spark, odd_vectors, monkeypatch):
+    monkeypatch.setattr(bond_negatives, "block_count", lambda n, *_: 7)
+    got = mined(table(spark, odd_vectors), F.col("vec_id") % 5 == 0)
+    assert got == negatives_by_hand(odd_vectors, lambda i: i % 5 == 0)
+
+
+def test_no_vectors(spark, odd_vectors):
+    empty = table(spark, odd_vectors).limit(0)
+    assert mined(empty, F.lit(True)) == []
+    assert PermutationIndex(empty).search(F.lit(True)).count() == 0
+    zero = table(spark, [(1, 1, [0.0, 0.0]), (2, 1, None)])
+    assert PermutationIndex(zero).search(F.lit(True)).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_the_scan_drops_candidates_before_the_last_column(spark):
+    """A row far from every window is read in the first columns only."""
+    block = bond_negatives.Block(32)
+    chance = np.random.default_rng(5)
+    block.columns = np.floor(chance.normal(size=(32, 400)) * 3)
+    block.columns[:8] += 100 * (np.arange(400) < 40)
+    block.ids, block.labels = np.arange(400), np.zeros(400, np.int64)
+    block.low, block.high, block.largest = block.columns.min(axis=1), block.columns.max(axis=1), 150.0
+    anchor, sizes = np.append(np.full(8, 50.0), np.ones(24)), []
+
+    def stays(lower, upper):
+        sizes.append(len(lower))
+        return upper >= np.partition(lower, len(lower) - 5)[len(lower) - 5]
+
+    at, _ = block.scan(anchor, np.arange(400), stays)
+    assert sizes[0] == 400 and sizes[1] <= 40 and len(at) >= 5
+
+
+def nearest_by_hand(kept, is_query, k):
+    found = {}
+    width = max(map(len, kept.values()))
+    full = {i: np.array([*v, *[0.0] * (width - len(v))]) for i, v in kept.items()}
+    for q, v in full.items():
+        if is_query(q):
+            ranked = sorted((-float((v * w).sum()), i) for i, w in full.items() if i != q)
+            found[q] = [i for _, i in ranked[:k]]
+    return found
+
+
+def test_neighbours_of_odd_rows(spark, odd_vectors):
+    """With all rows reranked the result is exact, ties among thirty equal vectors too."""
+    kept = {i: v for i, v in usable(odd_vectors, False).items() if any(v)}
+    index = PermutationIndex(table(spark, odd_vectors), pivots=16, prefix=8)
+    got = {}
+    for r in index.search(F.col("vec_id") % 2 == 0, 7, share=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == nearest_by_hand(kept, lambda i: i % 2 == 0, 7)
+    one = PermutationIndex(table(spark, [(1, 1, [1.0, 0.0]), (2, 1, [1.0, 1.0])])).search(F.lit(True), 20).collect()
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in one} == {(1, 1, 2, 1.0), (2, 1, 1, 1.0)}
+    alone = PermutationIndex(table(spark, [(1, 1, [1.0])])).search(F.lit(True)).collect()
+    assert alone == []
+
+
+def test_recall_and_scores_over_a_whole_table(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)
+    got = op12_permutation_index(spark, SF).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    hits = 0
+    for q, mine in found.items():
+        scores = (vectors * vectors[ids == q]).sum(axis=1)
+        others = ids != q
+        true = ids[others][np.lexsort((ids[others], -scores[others]))[:20]]
+        assert sorted(mine) == list(range(1, 21))
+        order = [mine[rank] for rank in range(1, 21)]
+        assert order == sorted(order, key=lambda x: (-x[1], x[0]))
+        assert all(s == scores[ids == i][0] for i, s in order)
+        hits += len({i for i, _ in order} & set(true.tolist()))
+    assert set(found) == {int(i) for i in ids if i % 20 == 0}
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_recall_with_a_hot_group_and_uneven_norms(spark):
+    """A third of the rows are near copies of one vector, and norms differ tenfold."""
+    chance = np.random.default_rng(8)
+    plain = chance.normal(size=(1500, 12)) * chance.uniform(0.2, 2, size=(1500, 1))
+    plain[:500] = plain[0] + chance.normal(size=(500, 12)) * 1e-3
+    df = table(spark, [(i, 0, [float(x) for x in v]) for i, v in enumerate(plain)], "double")
+    got = {}
+    for r in PermutationIndex(df).search(F.col("vec_id") % 10 == 0, 10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = nearest_by_hand(dict(enumerate(plain.tolist())), lambda i: i % 10 == 0, 10)
+    assert sum(len(got[q] & set(w)) for q, w in want.items()) >= 0.9 * 10 * len(want)
+
+
+def test_footrule_through_inverted_files():
+    """The distance read from the files is that of the two orders, what is beyond the prefix at its end."""
+    chance = np.random.default_rng(1)
+    k, orders = 4, np.array([chance.permutation(9)[:4] for _ in range(50)])
+    block = permutation_index.Block(0, 1, k)
+    block.parts = [(np.arange(50), np.zeros((50, 1)))]
+    for pivot in range(9):
+        rows, places = np.nonzero(orders == pivot)
+        block.posted.append((pivot, rows, places))
+    assert block.ready()
+    query = chance.permutation(9)[:4]
+
+    def place(order, pivot):
+        return list(order).index(pivot) if pivot in order else k
+
+    want = [sum(abs(place(query, p) - place(o, p)) for p in range(9)) for o in orders]
+    assert block.footrule(query).tolist() == want
+
+
+def test_pivots_differ(spark):
+    rows = np.array([[0.0, 0.0], [0.0, 0.0], [5.0, 0.0], [5.0, 0.1]])
+    assert spread_out(rows, 4).tolist() == [[0.0, 0.0], [5.0, 0.1], [5.0, 0.0]]
+    assert len(spread_out(rows[:0], 4)) == 0
+
+
+def test_blocks_follow_memory_and_tasks():
+    assert block_count(0, 800, 8) == 1 and block_count(10_000, 800, 8) == 16
+    assert block_count(10**9, 800, 8) == -(-(10**9) // ((1 << 26) // 800))
+
+
+def test_every_row_takes_part(spark):
+    """Anchors and queries are those that the ids say."""
+    found = op11_hard_negatives(spark, SF)
+    assert {r.anchor_id % 50 for r in found.select("anchor_id").distinct().collect()} == {0}
