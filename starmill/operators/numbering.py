@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F, types as T
 
 from starmill.session import scratch_dir
 from starmill.storage import remove_folder
@@ -23,7 +23,7 @@ SAMPLE_PER_BUCKET = 16
 SEGMENT = 256
 
 BUCKET = "__bucket"
-_KEY, _HIGH, _LOW, _SEGMENT = "__key", "__high", "__low", "__segment"
+_KEY, _HIGH, _LOW, _NUMBER, _CUTS = "__key", "__high", "__low", "__segment", "__cuts"
 
 
 def _key_struct(columns: Sequence[Column]) -> Column:
@@ -51,9 +51,10 @@ class RangeBuckets:
 
     keys: tuple[str, ...]
     key_types: tuple[T.DataType, ...]
-    # One row: ``segments``, the sorted cuts SEGMENT at a time, and ``tops``, the last cut of each full
-    # segment, both as JSON with a cut as an object k0, k1, ... Plans hold a subquery on it, not the cuts.
-    table: DataFrame | None
+    # (segment, cuts): the sorted cuts, SEGMENT to a row.
+    segments: DataFrame | None
+    # One row: the last cut of each full segment. Plans hold a subquery on it, and join the segments by number.
+    tops: DataFrame | None
     cuts: int
 
     @property
@@ -61,22 +62,28 @@ class RangeBuckets:
         return self.cuts + 1
 
     def _locate(self, df: DataFrame, key: list[Column], out: str, strict: bool) -> DataFrame:
+        """Adds the number of cuts below (or at) the key: first its segment, then its place there."""
         if not self.cuts:
             return df.withColumn(out, F.lit(0))
-        fields = T.StructType(
-            [T.StructField(f"k{i}", t) for i, t in enumerate(self.key_types[: len(key)])]
-        )
-        one, many = T.ArrayType(fields), T.ArrayType(T.ArrayType(fields))
-        tops = self.table.select(F.from_json("tops", one)).scalar()
-        segments = self.table.select(F.from_json("segments", many)).scalar()
+        n = len(key)
+
+        def leading(cuts: Column) -> Column:
+            if n == len(self.keys):
+                return cuts
+            return F.transform(cuts, lambda x: _key_struct([x[f"k{i}"] for i in range(n)]))
+
         typed = [c.cast(t) for c, t in zip(key, self.key_types)]
         df = df.withColumn(_KEY, _key_struct(typed))
-        df = _search(df, tops, self.cuts // SEGMENT, _HIGH, strict)
-        df = df.withColumn(_SEGMENT, F.get(segments, F.col(_HIGH)))
-        df = _search(df, F.col(_SEGMENT), min(self.cuts, SEGMENT), _LOW, strict)
-        return df.withColumn(out, F.col(_HIGH) * F.lit(SEGMENT) + F.col(_LOW)).drop(
-            _KEY, _HIGH, _LOW, _SEGMENT
-        )
+        full = self.cuts // SEGMENT
+        if not full:
+            own = self.segments.select(leading(F.col("cuts"))).scalar()
+            return _search(df, own, self.cuts, out, strict).drop(_KEY)
+        df = _search(df, self.tops.select(leading(F.col("tops"))).scalar(), full, _HIGH, strict)
+        segments = self.segments.select(F.col("segment").alias(_NUMBER), leading(F.col("cuts")).alias(_CUTS))
+        # small tables of cuts are sent around, by Spark's own check of their size
+        df = df.join(segments, F.col(_HIGH) == F.col(_NUMBER), "left")
+        df = _search(df, F.col(_CUTS), SEGMENT, _LOW, strict)
+        return df.withColumn(out, F.col(_HIGH) * F.lit(SEGMENT) + F.col(_LOW)).drop(_KEY, _HIGH, _LOW, _NUMBER, _CUTS)
 
     def assign(self, df: DataFrame, out: str = BUCKET) -> DataFrame:
         """Adds the bucket of every row."""
@@ -140,25 +147,30 @@ def range_buckets(df: DataFrame, keys: Sequence[str], buckets: int | None = None
         cores = df.sparkSession.sparkContext.defaultParallelism
         buckets = max(math.ceil(rows / ROWS_PER_BUCKET), min(cores, rows))
     if buckets <= 1:
-        return RangeBuckets(keys, types, None, 0)
+        return RangeBuckets(keys, types, None, None, 0)
     share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(rows, 1))
     sample = keyed.sample(False, share, 42) if share < 1.0 else keyed
     sorted_sample = scratch_dir(df.sparkSession, "numbering")
     try:
-        return RangeBuckets(keys, types, *_cuts(sample, keys, types, buckets, sorted_sample))
+        return RangeBuckets(keys, types, *_cuts(sample, keys, buckets, sorted_sample))
     finally:
         remove_folder(df.sparkSession, sorted_sample)
 
 
 def _cuts(
-    sample: DataFrame, keys: tuple[str, ...], types: tuple[T.DataType, ...], buckets: int, folder: str
-) -> tuple[DataFrame, int]:
-    """The cuts and how many they are. The sample is sorted by many tasks; only the cuts meet in one."""
+    sample: DataFrame, keys: tuple[str, ...], buckets: int, folder: str
+) -> tuple[DataFrame | None, DataFrame | None, int]:
+    """Segments of the cuts, the tops of full ones, and how many cuts there are.
+
+    The sample is sorted by many tasks, and so are the cuts numbered and gathered, SEGMENT to a row. Only the tops
+    meet in one task: a key for each SEGMENT buckets.
+    """
     spark = sample.sparkSession
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     key = _key_struct([F.col(k) for k in keys])
     sample.orderBy(*keys).select(key.alias("cut"), F.spark_partition_id().alias("part"), place.alias("place")).write.parquet(folder)
     placed = spark.read.parquet(folder)
+
     sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     # a row for each task of the sort
@@ -168,31 +180,29 @@ def _cuts(
         F.sum("n").over(W.partitionBy()).alias("all"),
     )
     at = placed.join(F.broadcast(offsets), "part").withColumn("at", F.col("before") + F.col("place"))
-    bucket = [F.floor((F.col("at") - back) * buckets / F.col("all")) for back in (0, 1)]
-    picked = at.filter((F.col("at") > 0) & (bucket[0] > bucket[1])).agg(F.collect_list("cut").alias("c"))
-    # JSON drops what it cannot hold, such as microseconds, so the order is made after one trip;
-    # a second trip changes nothing.
-    cut = T.StructType([T.StructField(f"k{i}", t) for i, t in enumerate(types)])
-    picked = picked.select(
-        F.sort_array(F.from_json(F.to_json("c"), T.ArrayType(cut))).alias("c")
-    ).select(
-        F.filter("c", lambda x, i: (i == 0) | (x != F.get("c", i - F.lit(1)))).alias("c")
-    )
-    length = F.size("c")
-    row = picked.select(
-        length.alias("n"),
-        F.to_json(
-            F.transform(
-                F.sequence(F.lit(0), F.floor(length / SEGMENT).cast("int")),
-                lambda i: F.slice("c", i * F.lit(SEGMENT) + F.lit(1), F.lit(SEGMENT)),
-            )
-        ).alias("segments"),
-        F.to_json(
-            F.filter("c", lambda x, i: (i + F.lit(1)) % F.lit(SEGMENT) == F.lit(0))
-        ).alias("tops"),
-    ).first()
-    table = spark.createDataFrame([(row["segments"], row["tops"])], "segments string, tops string")
-    return table, row["n"]
+    # as many buckets as there are sampled keys at most, so every bucket begins at one of them
+    wanted = F.least(F.lit(buckets), F.col("all"))
+    bucket = [F.floor((F.col("at") - back) * wanted / F.col("all")) for back in (0, 1)]
+    number = bucket[0] - 1
+    picked = at.filter((F.col("at") > 0) & (bucket[0] > bucket[1]))
+    cuts = picked.select(number.alias("number"), "cut", F.floor(number / SEGMENT).cast("int").alias("segment"))
+    in_order = F.sort_array(F.collect_list(F.struct("number", "cut")))
+    gathered = cuts.groupBy("segment").agg(F.transform(in_order, lambda x: x["cut"]).alias("cuts"))
+    seen = Observation()
+    segments = _kept(gathered.observe(seen, F.coalesce(F.sum(F.size("cuts")), F.lit(0)).alias("n")), "cuts")
+    n = seen.get["n"]
+    if n < SEGMENT:
+        return segments, None, n
+    top = F.struct("segment", F.element_at("cuts", -1).alias("cut"))
+    tops = segments.filter(F.size("cuts") == SEGMENT).agg(F.sort_array(F.collect_list(top)).alias("t"))
+    return segments, _kept(tops.select(F.transform("t", lambda x: x["cut"]).alias("tops")), "tops"), n
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table of the scratch folder: every later plan reads the same cuts."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def global_row_number(

@@ -170,3 +170,33 @@ def test_no_ceiling_on_buckets_and_no_cuts_in_the_plan(spark):
         F.sum("n"), F.max("n"), F.count_if("overlap")
     ).first()
     assert row[0] == 600_000 and row[1] < 1200 and row[2] == 0
+
+
+def test_a_hundred_thousand_buckets_and_a_flat_driver(spark):
+    """Cuts are rows of a table; what one task and the driver see is a key for each SEGMENT of them."""
+    df = spark.range(1_600_000).select((F.col("id") * 7919 % 1_600_033).alias("a"), F.lit("x").alias("b"))
+    ranges = range_buckets(df, ["a", "b"], 100_000)
+    assert ranges.count == 100_000
+    sizes = [r["n"] for r in ranges.segments.select(F.size("cuts").alias("n")).collect()]
+    assert max(sizes) == numbering.SEGMENT and sum(sizes) == 99_999
+    tops = ranges.tops.select(F.size("tops")).collect()
+    assert [tuple(r) for r in tops] == [(99_999 // numbering.SEGMENT,)]
+    assigned = ranges.assign(df)
+    assert len(plan(assigned)) < 20_000
+    spans = assigned.groupBy(BUCKET).agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count("a").alias("n"))
+    before = F.lag("hi").over(W.orderBy(BUCKET))
+    row = spans.select(BUCKET, "n", (F.col("lo") <= before).alias("overlap")).agg(
+        F.sum("n").alias("rows"), F.max("n").alias("most"), F.count_if("overlap").alias("overlaps"), F.max(BUCKET).alias("last")
+    ).first()
+    assert (row["rows"], row["overlaps"], row["last"]) == (1_600_000, 0, 99_999) and row["most"] <= 64
+
+
+@pytest.mark.parametrize("buckets", [256, 257, 258, 513])
+def test_cuts_at_the_ends_of_segments(spark, buckets):
+    """As many cuts as fill their segments, one less and one more."""
+    df = spark.range(2600).select((F.col("id") * 17 % 2609).alias("a"))
+    ranges = range_buckets(df, ["a"], buckets)
+    got = global_row_number(df, ["a"], "n", buckets).orderBy("a").collect()
+    assert [r["n"] for r in got] == list(range(1, 2601)) and ranges.count == buckets
+    heads = ranges.spread(df, "a")
+    assert ranges.assign(df).join(heads, ["a", BUCKET], "left_anti").count() == 0
