@@ -2,8 +2,10 @@
 
 A word's symbols stand in a row; leaf i of the tree holds the rank of the pair that starts at symbol i, and
 each node the least of its children, so the root is the leftmost pair of the lowest rank. A merge changes
-three leaves at most, each in logarithmically many steps, until no pair can be merged. Texts are
-split into words by white space, and what a word becomes is remembered, for a bounded number of words.
+three leaves at most, each in logarithmically many steps, until no pair can be merged. Trees of one size are
+rows of an array: the new pieces of a batch are merged together, one merge of each of them a step. Texts are
+split into words by white space, and what a word becomes is remembered, for a bounded number of words, by a Python
+worker for all its tasks.
 
 Vocabulary files are those of the tokenizers library: byte-level BPE with a suffix at word ends, NFC and lower
 case before, no decoder. A file of another make is refused, not read in part.
@@ -17,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+import types
 import unicodedata
 from collections.abc import Iterator
 
@@ -30,6 +34,8 @@ from starmill.llm.common import Vocabulary, ranges, text_pieces
 
 # Onigmo's \s; str.split() also splits by these four information separators.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
+# Pieces of up to so many bytes are merged as rows of an array, so many symbols at once; longer ones one by one.
+LONGEST_ROW, ROWS_AT_ONCE = 64, 1 << 17
 SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
 
 
@@ -67,6 +73,7 @@ class Tokenizer:
         merges = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
         self.ranks = {vocabulary[a] * self.size + vocabulary[b]: rank for rank, (a, b) in enumerate(merges)}
         self.merged = [vocabulary[a + b] for a, b in merges]
+        self._arrays()
         self.added = {x["content"]: x["id"] for x in said["added_tokens"]}
         self.tokens = {i: token for token, i in [*vocabulary.items(), *self.added.items()]}
         self.piece = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACES.pattern[1:-2]))
@@ -125,11 +132,107 @@ class Tokenizer:
                     tree[k] = value
         return [x for x in symbols if x >= 0]
 
-    def piece_ids(self, piece: str) -> list[int]:
-        raw = piece.encode()
-        symbols = [self.first[b] for b in raw]
-        symbols[-1] = self.last[raw[-1]]
-        return self.merge(symbols)
+    def _arrays(self) -> None:
+        """The same facts as arrays; a pair of two byte symbols is looked up in a square table."""
+        self.first_ids, self.last_ids = np.array(self.first), np.array(self.last)
+        self.merged_ids = np.array(self.merged, np.int64)
+        self.no_rank = len(self.merged)
+        pairs = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        ranks = np.fromiter(self.ranks.values(), np.int64, len(self.ranks))
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], ranks[order]
+        self.bytes = max(*self.first, *self.last) + 1
+        a, b = np.divmod(self.pairs, self.size)
+        low = (a < self.bytes) & (b < self.bytes)
+        self.byte_ranks = np.full((self.bytes, self.bytes), self.no_rank, np.int32)
+        self.byte_ranks[a[low], b[low]] = self.pair_ranks[low]
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols."""
+        pairs = a * self.size + b
+        at = np.searchsorted(self.pairs, pairs)
+        at[at == len(self.pairs)] = 0
+        return np.where(self.pairs[at] == pairs, self.pair_ranks[at], self.no_rank)
+
+    def merge_rows(self, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Ids after all merges of pieces of byte symbols, a row each, -1 for what is gone.
+
+        ``symbols`` is as wide as a power of two; a row's first ``counts`` symbols are its own. All rows that still
+        have a pair merge their leftmost of lowest rank in one step.
+        """
+        rows, size = symbols.shape
+        nothing = self.no_rank * size
+        places = np.arange(size)
+        tree = np.full((rows, 2 * size), nothing, np.int64)
+        ranks = self.byte_ranks[symbols[:, :-1], symbols[:, 1:]].astype(np.int64)
+        ranks[places[1:] >= counts[:, None]] = self.no_rank
+        tree[:, size : 2 * size - 1] = np.where(ranks < self.no_rank, ranks * size + places[:-1], nothing)
+        level = size
+        while level > 1:
+            np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2], out=tree[:, level // 2 : level])
+            level //= 2
+        after = np.tile(places + 1, (rows, 1))
+        after[places == counts[:, None] - 1] = size
+        before = np.tile(places - 1, (rows, 1))
+        out, own = np.where(places < counts[:, None], symbols, -1), np.arange(rows)
+        while len(own):
+            open_ = tree[own, 1] != nothing
+            own = own[open_]
+            if not len(own):
+                break
+            rank, i = np.divmod(tree[own, 1], size)
+            new, gone = self.merged_ids[rank], after[own, i]
+            out[own, i], out[own, gone] = new, -1
+            follows, leads = after[own, gone], before[own, i]
+            after[own, i] = follows
+            right, left = follows < size, leads >= 0
+            at_right, at_left = np.where(right, follows, 0), np.where(left, leads, 0)
+            before[own[right], follows[right]] = i[right]
+            ranks = self.rank(np.concatenate([new, out[own, at_left]]), np.concatenate([out[own, at_right], new]))
+            ours, ahead = ranks[: len(own)], ranks[len(own) :]
+            tree[own, size + gone] = nothing
+            tree[own, size + i] = np.where(right & (ours < self.no_rank), ours * size + i, nothing)
+            value = np.where(ahead < self.no_rank, ahead * size + leads, nothing)
+            tree[own[left], size + leads[left]] = value[left]
+            # the paths above the three leaves; without a symbol ahead, its own path is taken twice
+            paths = np.stack([gone, i, np.where(left, leads, i)]) + size
+            while paths[0, 0] > 1:
+                paths >>= 1
+                tree[own, paths] = np.minimum(tree[own, 2 * paths], tree[own, 2 * paths + 1])
+        return out
+
+    def pieces_ids(self, pieces: list[str | int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has. A number is the id of an added token."""
+        texts = [x.encode() if isinstance(x, str) else b"" for x in pieces]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum(sizes)
+        symbols = self.first_ids[raw]
+        there = sizes > 0
+        symbols[ends[there] - 1] = self.last_ids[raw[ends[there] - 1]]
+        found: list = [None] * len(pieces)
+        counts = np.ones(len(pieces), np.int64)
+        for at in np.flatnonzero(~there).tolist():
+            found[at] = [pieces[at]]
+        for at in np.flatnonzero(sizes > LONGEST_ROW).tolist():
+            found[at] = self.merge(symbols[ends[at] - sizes[at] : ends[at]].tolist())
+            counts[at] = len(found[at])
+        width = 1
+        while width <= LONGEST_ROW:
+            low = width // 2 if width > 1 else 0
+            group = np.flatnonzero((sizes > low) & (sizes <= width))
+            for some in np.array_split(group, max(1, len(group) * width // ROWS_AT_ONCE)):
+                if len(some):
+                    place = (ends - sizes)[some, None] + np.minimum(np.arange(width), sizes[some, None] - 1)
+                    out = symbols[place] if width == 1 else self.merge_rows(symbols[place], sizes[some])
+                    kept = out >= 0
+                    counts[some] = kept.sum(axis=1)
+                    flat, cuts = out[kept], np.cumsum(counts[some])[:-1]
+                    for at, ids in zip(some.tolist(), np.split(flat, cuts), strict=True):
+                        found[at] = ids
+            width *= 2
+        ids = np.concatenate(found).astype(np.uint32) if found else np.empty(0, np.uint32)
+        return ids, counts
 
     def split(self, text: str) -> list[str | int]:
         """Pieces of a text, and the ids of added tokens between them."""
@@ -146,46 +249,59 @@ class Tokenizer:
 
 
 class WordIds:
-    """Ids and decoded bytes of words, remembered for ``limit`` words and as many pieces of words."""
+    """Ids of words, remembered for ``limit`` words and as many pieces of words."""
 
     def __init__(self, tokenizer: Tokenizer, limit: int = 300_000):
         self.tokenizer = tokenizer
-        self.words = Vocabulary(limit)
-        self.pieces: dict[str, tuple[bytes, bytes]] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.decoded: list[bytes] = []
-        self.begins = np.zeros(1, np.int64)
-        self.ids = np.empty(0, np.uint32)
-
-    def _piece(self, piece: str | int) -> tuple[bytes, bytes]:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= self.words.limit:
-                self.pieces.clear()
-            ids = self.tokenizer.piece_ids(piece) if isinstance(piece, str) else [piece]
-            self.pieces[piece] = found = np.array(ids, np.uint32).tobytes(), self.tokenizer.decode(ids).encode()
-        return found
+        self.token_bytes = [tokenizer.tokens.get(i, "").encode() for i in range(max(tokenizer.tokens) + 1)]
+        # Without added tokens made of letters, a word of plain letters is one piece.
+        self.plain = not any(x.isalpha() for x in tokenizer.added)
+        self.words, self.pieces = Vocabulary(limit), Vocabulary(limit)
+        self.ids, self.begins = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.piece_ids, self.piece_begins = self.ids, self.begins
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        """Places of words in ``begins``, ``ids`` and ``decoded``."""
+        """Places of words in ``begins``, which are places in ``ids``."""
         if self.words.trim():
-            self._reset()
+            self.ids, self.begins = np.empty(0, np.uint32), np.zeros(1, np.int64)
         numbers = self.words.numbers(words)
-        known, split, pieces = len(self.decoded), self.tokenizer.split, self._piece
-        if known < len(self.words.words):
-            ids = []
-            for word in self.words.words[known:]:
-                found = list(map(pieces, split(word)))
-                one = found[0] if len(found) == 1 else (b"".join([x for x, _ in found]), b" ".join([x for _, x in found]))
-                ids.append(one[0])
-                self.decoded.append(one[1])
-            sizes = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
-            self.begins = np.concatenate([self.begins, self.begins[-1] + sizes])
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
+        new = self.words.words[len(self.begins) - 1 :]
+        if new:
+            split = self.tokenizer.split
+            plain = self.plain
+            pieces = [[x.lower()] if plain and x.isascii() and x.isalpha() else split(x) for x in new]
+            ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+            ids, sizes = self._pieces([y for x in pieces for y in x])
+            so_far = np.concatenate([[0], np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, ids])
+            self.begins = np.concatenate([self.begins, self.begins[-1] + so_far[ends]])
         return numbers
 
+    def _pieces(self, pieces: list[str | int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces in a row, and how many each has."""
+        if self.pieces.trim():
+            self.piece_ids, self.piece_begins = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        numbers = self.pieces.numbers(pieces)
+        new = self.pieces.words[len(self.piece_begins) - 1 :]
+        if new:
+            ids, sizes = self.tokenizer.pieces_ids(new)
+            self.piece_ids = np.concatenate([self.piece_ids, ids])
+            self.piece_begins = np.concatenate([self.piece_begins, self.piece_begins[-1] + np.cumsum(sizes)])
+        first = self.piece_begins[numbers]
+        sizes = self.piece_begins[numbers + 1] - first
+        return self.piece_ids[ranges(first, sizes)], sizes
+
+    def decoded(self, ids: list[int]) -> bytes:
+        return b" ".join(map(self.token_bytes.__getitem__, ids))
+
+
+def worker_words(file: str) -> WordIds:
+    """The words that this Python worker knows: later tasks of the worker go on with them."""
+    own = sys.modules.setdefault("starmill_worker_words", types.ModuleType("starmill_worker_words")).__dict__
+    if file not in own:
+        own[file] = WordIds(Tokenizer(file))
+    return own[file]
+
 
 def _words(text: str) -> list[str]:
     return [x for x in SPACES.split(text) if x] if SEPARATORS.search(text) else text.split()
@@ -195,7 +311,7 @@ def encode_texts(file: str, outputs: list[str]):
     """Adds ``outputs`` to doc_id: n_tokens, ids, decoded, ids_sha256, decoded_sha256."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(Tokenizer(file))
+        known = worker_words(file)
         for batch in batches:
             for rows, texts in text_pieces(batch):
                 words = [_words(x.decode()) for x in texts]
@@ -212,8 +328,7 @@ def encode_texts(file: str, outputs: list[str]):
                     little = ids.astype("<u4")
                     found["ids_sha256"] = pa.array([hashlib.sha256(little[a:b]).hexdigest() for a, b in spans])
                 if "decoded" in outputs or "decoded_sha256" in outputs:
-                    own = [numbers[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                    decoded = [b" ".join(map(known.decoded.__getitem__, x)) for x in own]
+                    decoded = [known.decoded(ids[a:b].tolist()) for a, b in spans]
                     found["decoded"] = pa.array(decoded, pa.binary()).cast(pa.string()) if "decoded" in outputs else None
                     found["decoded_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in decoded])
                 columns = [rows.column("doc_id"), *(found[x] for x in outputs)]

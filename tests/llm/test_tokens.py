@@ -80,6 +80,38 @@ def test_merges_are_leftmost_and_lowest_ranked():
         assert own.merge(list(symbols)) == by_hand(symbols)
 
 
+def test_pieces_merged_together_are_those_merged_alone():
+    """Of all lengths, around powers of two and beyond the longest row, with added tokens among them."""
+    own = bpe.Tokenizer(WORDS)
+    chance = random.Random(9)
+    sizes = [1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 17, 31, 32, 33, 63, 64, 65, 200, *[chance.randint(1, 20) for _ in range(500)]]
+    pieces = ["".join(chance.choice("abeinrstöß漢") for _ in range(n)) for n in sizes]
+    pieces = [y for x in pieces for y in (x, 49406)][: len(pieces) + 20]
+    ids, counts = own.pieces_ids(pieces)
+
+    def alone(piece):
+        raw = piece.encode()
+        return own.merge([*[own.first[b] for b in raw[:-1]], own.last[raw[-1]]])
+
+    want = [[x] if isinstance(x, int) else alone(x) for x in pieces]
+    assert ids.tolist() == [y for x in want for y in x] and counts.tolist() == list(map(len, want))
+    none, sizes = own.pieces_ids([])
+    assert len(none) == len(sizes) == 0
+
+
+def test_whole_table_is_the_librarys(spark, library):
+    """Every text of sf0.01, by a worker that forgets words again and again."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in
+           bpe.encode(docs, WORDS, ("n_tokens", "ids_sha256", "decoded_sha256")).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        digest = hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got[doc_id] == (len(ids), digest, hashlib.sha256(decoded.encode()).hexdigest()), doc_id
+    assert len(got) == docs.count()
+
+
 def test_digests_of_rows(odd, odd_rows, no_rows, library):
     outputs = ("n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")
     got = bpe.encode(odd, WORDS, outputs).collect()
