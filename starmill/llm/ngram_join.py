@@ -4,9 +4,10 @@ Each text is the set of its hashed five-word shingles. A run splits the sets rec
 goes to the child of each of its tokens y whose hash under the node's path is below 1 / (t |x|), t being the
 threshold, about 1 / t children. Two sets of similarity t or more share at least one child on average, so
 they meet again with a known probability at every level. Small buckets are compared by brute force, large
-ones are split once more, up to ``levels`` times; what is still large then is a dense group, compared in
-blocks. Runs repeat with other hashes until the chance of a pair to meet in none is below 1 - ``recall``:
-fewer for sets that only ever met few others, more for those that were in a large bucket and had to be
+ones are split once more, up to ``levels`` times; what is still large then is compared in blocks. A large bucket
+whose sets are nearly all alike is a dense group: its children would hold almost all of it, again and again, so it is
+not split but compared as it is. Runs repeat with other hashes until the chance of a pair to meet in none is below 1 - ``recall``:
+fewer for sets that only ever met few others, more for those that were in a large bucket that had to be
 split again. Nothing is capped: a bucket of any size is compared completely.
 
 Beside its tokens a set has a sketch: its least token in each of 128 bins, a byte each. Splitting goes on the
@@ -50,6 +51,8 @@ LEVELS = 3
 SMALL = 256
 BLOCK, BLOCK_TOKENS = 2048, 8 << 20
 BINS = 128
+# A large bucket is dense if this share of its sets' bytes are the most frequent of their bin, over PROBES bins.
+DENSE, PROBES = 0.7, 8
 # Standard deviations of a sketch's similarity that a pair may fall short.
 SLACK = 4.3
 MEMBER_SCHEMA = "set_id binary, bucket long"
@@ -332,24 +335,47 @@ def _meeting(found: DataFrame) -> DataFrame:
     return save(found.join(sizes.filter("members > 1"), "bucket"), "ngram-members")
 
 
+def _dense(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """Buckets whose sets are nearly all alike. Bytes are counted with partial sums before they move."""
+    step = BINS // PROBES
+    bytes_ = F.array(*[F.substring(F.col("sketch"), 1 + i * step, 1) for i in range(PROBES)])
+    seen = large.select("bucket", "set_id").join(sets, "set_id")
+    # a bin without a token has no byte
+    seen = seen.select("bucket", F.posexplode(bytes_).alias("bin", "byte")).filter("byte != X'00'")
+    counts = seen.groupBy("bucket", "bin", "byte").agg(F.count(F.lit(1)).alias("n"))
+    bins = counts.groupBy("bucket", "bin").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
+    shares = bins.groupBy("bucket").agg(F.sum("most").alias("most"), F.sum("n").alias("n"))
+    return shares.filter(F.col("most") >= DENSE * F.col("n")).select("bucket")
+
+
+def _settled(members: DataFrame, sets: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets that are small or dense, and of those that are to be split."""
+    large = members.filter(F.col("members") > small)
+    dense = save(_dense(large, sets), "ngram-dense")
+    done = members.filter(F.col("members") <= small).unionByName(large.join(dense, "bucket", "left_semi"))
+    return done, large.join(dense, "bucket", "left_anti")
+
+
 def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range, levels: int, small: int) -> DataFrame:
-    """Members of all buckets that are to be compared. ``runs`` are for sets that were in a large bucket."""
-    large = first.filter(F.col("members") > small)
-    if levels == 1 or large.isEmpty():
+    """Members of all buckets that are to be compared. ``runs`` are for sets that were in a bucket that is split."""
+    if levels == 1 or first.filter(F.col("members") > small).isEmpty():
         return first
-    done = first.filter(F.col("members") <= small)
+    done, large = _settled(first, sets, small)
+    if large.isEmpty():
+        return done
     again = sets.join(large.select("set_id").distinct(), "set_id", "left_semi")
     further = _meeting(save(again.mapInArrow(more_runs(threshold, runs), MEMBER_SCHEMA), "ngram-level"))
-    done = done.unionByName(further.filter(F.col("members") <= small))
-    large = large.unionByName(further.filter(F.col("members") > small))
+    more_done, more = _settled(further, sets, small)
+    done, large = done.unionByName(more_done), large.unionByName(more)
     for level in range(2, levels + 1):
         children = large.select("bucket", "set_id").join(sets, "set_id").mapInArrow(next_level(threshold), MEMBER_SCHEMA)
         members = _meeting(save(children, "ngram-level"))
-        last = level == levels
-        done = done.unionByName(members if last else members.filter(F.col("members") <= small))
-        large = members.filter(F.col("members") > small)
-        if last or large.isEmpty():
-            break
+        if level == levels:
+            return done.unionByName(members)
+        below, large = _settled(members, sets, small)
+        done = done.unionByName(below)
+        if large.isEmpty():
+            return done
     return done
 
 

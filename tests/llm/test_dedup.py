@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from starmill.llm import ngram_join, radix_dedup, substring_dedup
 from tests.llm.conftest import words
 
@@ -149,6 +151,44 @@ def test_one_of_each_near_group_stays(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 4, 5]
 
 
+def test_a_dense_group_is_compared_as_it_is(spark):
+    """Near copies of one text are not split: what is compared grows by a few rows for each of them, and no link is lost."""
+    chance = random.Random(21)
+    base = words(chance, 120)
+    copies = [changed(chance, base, 0.01) for _ in range(300)]
+    others = [words(chance, 60) for _ in range(60)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(copies + others)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = found_near(df, small=40)
+    assert found == near_by_hand(rows)
+    splits = []
+    plain = ngram_join.next_level
+
+    def counted(threshold):
+        splits.append(threshold)
+        return plain(threshold)
+
+    ngram_join.next_level = counted
+    try:
+        ngram_join.NgramJoin(df, small=40)
+    finally:
+        ngram_join.next_level = plain
+    assert splits == []
+
+
+def test_a_common_line_is_no_dense_group(spark):
+    """Texts that share a frequent passage meet in a large bucket, are split and not linked."""
+    chance = random.Random(22)
+    line = words(chance, 30)
+    rows = [(i, " ".join(words(chance, 70) + line)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    join = ngram_join.NgramJoin(df, small=20)
+    assert join.pairs().isEmpty()
+    sets = join.sets.select("set_id", "sketch")
+    members = sets.select("set_id", F.lit(1).cast("long").alias("bucket"), F.lit(200).cast("long").alias("members"))
+    assert ngram_join._dense(members, sets).isEmpty()
+
+
 def test_near_duplicates_of_nothing(no_rows):
     assert ngram_join.near_duplicates(no_rows).count() == 0
     assert ngram_join.keep_first(no_rows).count() == 0
