@@ -419,7 +419,7 @@ class NgramJoin:
         schema = f"doc_id {kind}, row_hash long, set_id binary, n_tokens long, sketch binary, paths array<long>"
         few, all_runs = runs_needed(recall, 1), runs_needed(recall, levels)
         paths = save(rows.mapInArrow(first_level(n, threshold, range(few)), schema), "ngram-paths")
-        self.membership = paths.select("doc_id", "set_id", "n_tokens")
+        self.membership = paths.select("doc_id", "row_hash", "set_id", "n_tokens")
         # Rows of one set have the same tokens: one row speaks for all.
         one = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_hash")).alias("one")
         same_for_all = [F.any_value(x).alias(x) for x in ("n_tokens", "sketch", "paths")]
@@ -459,6 +459,10 @@ class NgramJoin:
         class_id is the smallest doc_id of the connected group; n_links counts the rows linked with the
         row, its copies included; n_text_links counts the other sets linked with its own.
         """
+        return self._classes().drop("row_hash")
+
+    def _classes(self) -> DataFrame:
+        """The same with row_hash, which tells rows of one doc_id apart by their texts."""
         counts = self.found.filter("other_id is null").groupBy("set_id").agg(
             F.sum("texts").alias("texts"), F.sum("docs").alias("docs")
         )
@@ -481,6 +485,7 @@ class NgramJoin:
         alone = F.col("n_tokens") == 0
         return linked.select(
             "doc_id",
+            "row_hash",
             F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
             F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
@@ -495,8 +500,11 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose doc_id is their class's smallest, with all their columns.
 
-    Rows with a null doc_id stay. Rows that repeat a doc_id are told apart by their texts only within
-    exact dedup, which goes before; here they stay or go together.
+    Rows with a null doc_id stay. Rows are told apart by doc_id and text: of two texts with one doc_id, one may go as a
+    near copy while the other stays.
     """
-    gone = near_duplicates(docs, **options).filter("doc_id != class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = NgramJoin(docs, **options)._classes().filter("doc_id != class_id")
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("row_hash").alias("gone_hash")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64("text").alias("row_hash"))
+    same = (F.col("doc_id") == F.col("gone_id")) & (F.col("row_hash") == F.col("gone_hash"))
+    return rows.join(gone, same, "left_anti").select("row.*")

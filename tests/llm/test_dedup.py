@@ -151,6 +151,17 @@ def test_one_of_each_near_group_stays(spark):
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 4, 5]
 
 
+def test_another_text_with_the_id_of_a_near_copy_stays(spark):
+    chance = random.Random(15)
+    base, other = words(chance, 200), " ".join(words(chance, 90))
+    copy = " ".join([*base[:100], "changed", *base[101:]])
+    rows = [(1, " ".join(base)), (5, copy), (5, copy), (5, other), (7, None), (7, copy)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"gone_id": F.lit(1), "row_hash": F.lit(2)})
+    kept = ngram_join.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, rows[0][1]), (5, other), (7, "")])
+
+
 def test_a_dense_group_is_compared_as_it_is(spark):
     """Near copies of one text are not split: what is compared grows by a few rows for each of them, and no link is lost."""
     chance = random.Random(21)
