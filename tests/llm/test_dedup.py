@@ -312,3 +312,114 @@ def test_passages_of_odd_rows_and_of_nothing(odd, no_rows):
     assert set(found) == {1, 2, 3, None, 7, 8}
     assert found[7][0][:2] == (0, 30_000)
     assert substring_dedup.repeated_passages(no_rows).count() == 0
+
+
+def spans_by_hand(rows, least=46, threshold=0.8):
+    """Spans of passages that another text has nearly, and the least id of those they are linked with: all passages against all."""
+    grams = {d: [tuple(w[i : i + 5]) for i in range(len(w) - 4)] for d, w in ((d, t.split()) for d, t in rows)}
+    sets = {(d, a): frozenset(g[a : a + least]) for d, g in grams.items() for a in range(len(g) - least + 1)}
+    at = defaultdict(set)
+    for key, own in sets.items():
+        for x in own:
+            at[x].add(key)
+    similar = defaultdict(set)
+    for key, own in sets.items():
+        counts = Counter(k for x in own for k in at[x] if k[0] != key[0])
+        for other, n in counts.items():
+            if n >= threshold * (len(own) + len(sets[other]) - n) - 1e-9:
+                similar[key].add(other)
+    spans, span_of = [], {}
+    for d, a in sorted(similar):
+        if not (spans and spans[-1][0] == d and spans[-1][2] >= a):
+            spans.append([d, a, a + least + 4])
+        spans[-1][2] = a + least + 4
+        span_of[d, a] = len(spans) - 1
+    root = list(range(len(spans)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for key, others in similar.items():
+        for other in others:
+            low, high = sorted((top(span_of[key]), top(span_of[other])))
+            root[high] = low
+    return [(d, a, b, spans[top(i)][0]) for i, (d, a, b) in enumerate(spans)]
+
+
+def test_spans_and_classes_against_all_passages(spark):
+    """Texts with exact and edited passages, passages that repeat themselves, chains of edits and a common line."""
+    chance = random.Random(33)
+    passages = [words(chance, chance.randrange(55, 120)) for _ in range(6)]
+    loop = words(chance, 9) * 12
+    line = words(chance, 14)
+    rows = []
+    for i in range(48):
+        inner = passages[i % 6]
+        if i % 4 == 1:
+            inner = [w if k % 41 else f"edit{i}" for k, w in enumerate(inner)]
+        if i % 8 == 3:
+            inner = inner[:30] + loop + inner[30:]
+        if i % 8 == 7:
+            inner = loop[: 70 + i]
+        rows.append((i, " ".join(words(chance, chance.randrange(0, 60)) + inner + line + words(chance, chance.randrange(0, 60)))))
+    rows += [(100 + i, " ".join(words(chance, 80) + line)) for i in range(10)]
+    want = spans_by_hand(rows)
+    found = spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert set(found) == {d for d, *_ in want} and len(want) > 30
+    for d, a, b, c in want:
+        # the ends of passages that repeat themselves may lack words that change a set by less than a fifth
+        slack = 5 if d % 4 == 3 else 0
+        assert any(x <= a + slack and b <= y and k == c for x, y, k in found[d]), (d, a, b, c)
+    # a stretch goes on while enough of a passage is in the other's surroundings: by less than a fifth of a passage
+    for d, own in found.items():
+        for x, y, k in own:
+            assert any(d == e and a - 10 <= x and y <= b + 10 and k == c for e, a, b, c in want), (d, x, y, k)
+
+
+def test_similar_passages_with_repeated_shingles():
+    """As all pairs of passages say, also where the best window by counts is not similar as a set."""
+    import numpy as np
+
+    chance = random.Random(5)
+    misses = kinds = 0
+    for _ in range(400):
+        n = chance.choice([4, 9, 20, 40])
+        x = np.array([chance.randrange(n) for _ in range(chance.randrange(10, 40))], np.uint32)
+        y = x.copy() if chance.random() < 0.3 else np.array([chance.randrange(n) for _ in range(chance.randrange(10, 40))], np.uint32)
+        y[chance.randrange(len(y))] = 99
+        own = [set(x[a : a + 10].tolist()) for a in range(len(x) - 9)]
+        other = [set(y[a : a + 10].tolist()) for a in range(len(y) - 9)]
+        want = any(len(p & q) >= 0.8 * len(p | q) for p in own for q in other)
+        misses += (substring_dedup.similar_passages(x, y, 10, 0.8) is not None) != want
+        kinds += want
+    assert misses == 0 and 20 < kinds < 380
+
+
+def test_places_of_a_signature_move_through_batches():
+    """Signatures of one text are dropped, those of two are kept with each place once, wherever batches end."""
+    import pyarrow as pa
+
+    chance = random.Random(4)
+    rows = [(s, t, f) for s in range(60) for t in range(chance.choice([1, 1, 2, 5])) for f in range(chance.choice([1, 2, 9]))]
+    rows = sorted(rows + [r for r in rows if r[2] == 0])
+    want = sorted({r for r in rows if len({t for s, t, _ in rows if s == r[0]}) > 1})
+    for size in (1, 2, 3, 7, 50, 10_000):
+        batches = []
+        for i in range(0, len(rows), size):
+            part = list(zip(*rows[i : i + size], strict=True))
+            names = ["signature", "text_a", "first"]
+            batches.append(pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in part], names))
+        got = [tuple(r.values()) for b in substring_dedup.shared_places(iter(batches)) for r in b.to_pylist()]
+        assert got == want, size
+
+
+def test_hashes_of_stretches():
+    import numpy as np
+
+    tokens = np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64)
+    tokens[300:350] = tokens[100:150]
+    of = substring_dedup._Contents(tokens).of
+    one, two, three = (int(of(np.array([a]), np.array([b]))[0]) for a, b in ((100, 150), (300, 350), (300, 349)))
+    assert one == two != three
