@@ -28,11 +28,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.llm.common import (
     WordHashes,
@@ -51,8 +52,8 @@ LEVELS = 3
 SMALL = 256
 BLOCK, BLOCK_TOKENS = 2048, 8 << 20
 BINS = 128
-# A large bucket is dense if this share of its sets' bytes are the most frequent of their bin, over PROBES bins.
-DENSE, PROBES = 0.7, 8
+# A large bucket is dense if its sets share this much of PROBES bins with one of them, on average.
+DENSE, PROBES = 0.7, 16
 # Standard deviations of a sketch's similarity that a pair may fall short.
 SLACK = 4.3
 MEMBER_SCHEMA = "set_id binary, bucket long"
@@ -335,23 +336,26 @@ def _meeting(found: DataFrame) -> DataFrame:
     return save(found.join(sizes.filter("members > 1"), "bucket"), "ngram-members")
 
 
-def _dense(large: DataFrame, sets: DataFrame) -> DataFrame:
-    """Buckets whose sets are nearly all alike. Bytes are counted with partial sums before they move."""
-    step = BINS // PROBES
-    bytes_ = F.array(*[F.substring(F.col("sketch"), 1 + i * step, 1) for i in range(PROBES)])
-    seen = large.select("bucket", "set_id").join(sets, "set_id")
+def _dense(large: DataFrame) -> DataFrame:
+    """Buckets of (bucket, set_id, sketch) rows whose sets are nearly all like one of them, the least.
+
+    A set is compared with that one only, by PROBES bins of their sketches.
+    """
+    one = large.groupBy("bucket").agg(F.min(F.struct("set_id", "sketch")).alias("one"))
+    met = large.join(one.select("bucket", F.col("one.sketch").alias("other")), "bucket")
+    step, none = BINS // PROBES, F.lit(b"\x00")
+    bins = [[F.substring(F.col(x), 1 + i * step, 1) for x in ("sketch", "other")] for i in range(PROBES)]
     # a bin without a token has no byte
-    seen = seen.select("bucket", F.posexplode(bytes_).alias("bin", "byte")).filter("byte != X'00'")
-    counts = seen.groupBy("bucket", "bin", "byte").agg(F.count(F.lit(1)).alias("n"))
-    bins = counts.groupBy("bucket", "bin").agg(F.max("n").alias("most"), F.sum("n").alias("n"))
-    shares = bins.groupBy("bucket").agg(F.sum("most").alias("most"), F.sum("n").alias("n"))
-    return shares.filter(F.col("most") >= DENSE * F.col("n")).select("bucket")
+    there = reduce(Column.__add__, [((a != none) | (b != none)).cast("int") for a, b in bins])
+    same = reduce(Column.__add__, [((a == b) & (a != none)).cast("int") for a, b in bins])
+    shares = met.groupBy("bucket").agg(F.sum(there).alias("there"), F.sum(same).alias("same"))
+    return shares.filter(F.col("same") >= DENSE * F.col("there")).select("bucket")
 
 
 def _settled(members: DataFrame, sets: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     """Members of buckets that are small or dense, and of those that are to be split."""
     large = members.filter(F.col("members") > small)
-    dense = save(_dense(large, sets), "ngram-dense")
+    dense = save(_dense(save(large.select("bucket", "set_id").join(sets, "set_id"), "ngram-large")), "ngram-dense")
     done = members.filter(F.col("members") <= small).unionByName(large.join(dense, "bucket", "left_semi"))
     return done, large.join(dense, "bucket", "left_anti")
 
