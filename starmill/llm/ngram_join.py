@@ -253,55 +253,68 @@ class _Block:
         self.copies = rows.column("copies").to_pylist()
         self.blocks = rows.column("block").to_pylist()
 
-    def similar(self, threshold: float) -> Iterator[tuple[int, int]]:
-        """Places of pairs of at least the threshold, compared exactly, of which this bucket is the least."""
+    def similar(self, threshold: float) -> np.ndarray:
+        """Which sets are at least the threshold alike, compared exactly; only pairs of which this bucket is the least."""
         sizes = np.array([len(x) for x in self.tokens])
         _, place, counts = np.unique(np.concatenate(self.tokens), return_inverse=True, return_counts=True)
-        shared = counts >= 2
-        keep = shared[place]
-        rows = np.repeat(np.arange(len(sizes)), sizes)[keep]
-        columns = (np.cumsum(shared) - 1)[place[keep]]
-        order = np.argsort(columns, kind="stable")
-        rows, columns = rows[order], columns[order]
-        common = np.zeros((len(sizes), len(sizes)), np.float32)
-        width = 2048
-        for low in range(0, int(shared.sum()), width):
-            a, b = np.searchsorted(columns, [low, low + width])
-            part = np.zeros((len(sizes), columns[b - 1] - low + 1), np.float32)
-            part[rows[a:b], columns[a:b] - low] = 1
-            common += part @ part.T
+        common = _shared(place, counts, sizes)
         either = sizes[:, None] + sizes[None, :] - common
         # Equal to the threshold counts, so a hair of slack for the product.
-        found = np.argwhere(np.triu(common >= threshold * either - 1e-6, 1))
+        found = common >= threshold * either - 1e-6
+        np.fill_diagonal(found, False)
         bucket, left, right = self.key
-        for a, b in found.tolist():
-            if left != right and self.blocks[a] == self.blocks[b]:
-                continue
-            if min(set(self.buckets[a]).intersection(self.buckets[b])) == bucket:
-                yield a, b
+        if left != right:
+            blocks = np.array(self.blocks)
+            found &= blocks[:, None] != blocks[None, :]
+        # A pair that also shares a lesser bucket is counted there.
+        lesser = [[x for x in own if x < bucket] for own in self.buckets]
+        sizes = np.array([len(x) for x in lesser])
+        if sizes.any() and found.any():
+            flat = np.fromiter((x for own in lesser for x in own), np.int64, int(sizes.sum()))
+            _, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            found &= _shared(place, counts, sizes) == 0
+        return found
 
     def results(self, threshold: float, pairs: bool) -> Iterator[tuple]:
         """Links of each set that has some, and edges: all of them, or enough to hold groups together."""
-        texts = [0] * len(self.ids)
-        rows = [0] * len(self.ids)
-        root = list(range(len(self.ids)))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        for a, b in self.similar(threshold):
-            for x, y in ((a, b), (b, a)):
-                texts[x] += 1
-                rows[x] += self.copies[y]
-            ra, rb = top(a), top(b)
-            if pairs or ra != rb:
-                root[ra] = rb
+        found = self.similar(threshold)
+        texts = found.sum(axis=1)
+        linked = np.flatnonzero(texts).tolist()
+        rows = found @ np.array(self.copies, np.int64)
+        if pairs:
+            for a, b in np.argwhere(np.triu(found, 1)).tolist():
                 yield self.ids[a], self.ids[b], 0, 0
-        for x, n in enumerate(texts):
-            if n:
-                yield self.ids[x], None, n, rows[x]
+        else:
+            reached = np.zeros(len(texts), bool)
+            for x in linked:
+                new = [] if reached[x] else [x]
+                reached[x] = True
+                while len(new):
+                    new = np.flatnonzero(found[new].any(axis=0) & ~reached)
+                    reached[new] = True
+                    for y in new.tolist():
+                        yield self.ids[x], self.ids[y], 0, 0
+        for x in linked:
+            yield self.ids[x], None, int(texts[x]), int(rows[x])
+
+
+def _shared(place: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many elements each two sets share: ``place`` numbers the elements of all sets in a row, ``counts`` is how
+    many sets have each number."""
+    shared = counts >= 2
+    keep = shared[place]
+    rows = np.repeat(np.arange(len(sizes)), sizes)[keep]
+    columns = (np.cumsum(shared) - 1)[place[keep]]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    common = np.zeros((len(sizes), len(sizes)), np.float32)
+    width = 2048
+    for low in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(columns, [low, low + width])
+        part = np.zeros((len(sizes), columns[b - 1] - low + 1), np.float32)
+        part[rows[a:b], columns[a:b] - low] = 1
+        common += part @ part.T
+    return common
 
 
 def compare(threshold: float, pairs: bool):
