@@ -16,7 +16,9 @@ much slack that a pair at the threshold is missed once in 100,000 times; only se
 partner have their whole token sets brought together, and those are compared exactly.
 
 Equal sets are joined first, as one class. Buckets of one class, and buckets that repeat the members of
-another, are dropped. A pair that meets in several buckets is counted in the least.
+another, are dropped. The largest bucket of a set is its main one: sets with the same main bucket are compared there and
+nowhere else, so the other buckets of a group compare only what its main bucket lacks, and those whose sets all have
+another main bucket in common are dropped. Other pairs that meet in several buckets are counted in the least.
 
 Defined results: null text is empty; a text without words has no links; a text of one to four words
 is one shingle of all its words; equal sets link; rows with a null doc_id take part, and a class whose rows
@@ -33,7 +35,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starmill.llm.common import (
     WordHashes,
@@ -208,34 +210,65 @@ def next_level(threshold: float):
     return run
 
 
-def _close(sketches: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether each set has a partner whose sketch and size allow for the threshold."""
-    there = sketches != 0
-    counts = there.sum(1)
+def _close(
+    sketches: np.ndarray, sizes: np.ndarray, mains: np.ndarray, bucket: int, threshold: float, rows: np.ndarray, others: np.ndarray
+) -> np.ndarray:
+    """Whether each set has a partner whose sketch and size allow for the threshold: pairs are of ``rows`` and ``others``.
+
+    Sets with the same main bucket are partners in that one only.
+    """
     found = np.zeros(len(sizes), bool)
-    step = max(1, (8 << 20) // (len(sizes) * BINS))
-    for a in range(0, len(sizes), step):
-        some = slice(a, a + step)
-        same = ((sketches[some, None, :] == sketches[None]) & there[some, None, :]).sum(2)
-        both = there[some].astype(np.float32) @ there.T.astype(np.float32)
-        either = counts[some, None] + counts[None] - both
+    there = (sketches != 0).astype(np.float32)
+    counts = there.sum(1)
+    theirs, their_bins = sketches[others], there[others]
+    step = max(1, (8 << 20) // (max(1, len(others)) * BINS))
+    for a in range(0, len(rows), step):
+        some = rows[a : a + step]
+        # Equal bins are counted eight at a time, a byte each; bins without a token are equal in both and taken off.
+        equal = (sketches[some][:, None, :] == theirs[None]).view(np.uint64).sum(2, dtype=np.uint64)
+        equal = (equal * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.float32)
+        both = there[some] @ their_bins.T
+        either = counts[some][:, None] + counts[others][None] - both
+        same = equal - (BINS - either)
         spread = np.sqrt(threshold * (1 - threshold) * np.maximum(either, 1))
         near = same >= threshold * either - SLACK * spread
-        small, large = np.minimum(sizes[some, None], sizes[None]), np.maximum(sizes[some, None], sizes[None])
+        small, large = np.minimum(sizes[some][:, None], sizes[others][None]), np.maximum(sizes[some][:, None], sizes[others][None])
         near &= small >= threshold * large - 1e-6
-        near[np.arange(near.shape[0]), np.arange(a, a + near.shape[0])] = False
+        near &= (mains[some][:, None] != mains[others][None]) | (mains[some] == bucket)[:, None]
+        near &= some[:, None] != others[None]
         found[some] |= near.any(1)
+        found[others] |= near.any(0)
     return found
 
 
+def _to_compare(key: tuple, mains: np.ndarray, blocks: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows and others whose pairs cover all that are to be compared under a key, each pair once or twice.
+
+    The largest group that has its main bucket elsewhere is not compared with itself.
+    """
+    bucket, left, right = key
+    apart = np.zeros(len(mains), bool)
+    if (elsewhere := mains != bucket).any():
+        values, counts = np.unique(mains[elsewhere], return_counts=True)
+        apart = mains == values[counts.argmax()]
+    if left == right:
+        return [(np.flatnonzero(~apart), np.arange(len(mains)))]
+    one, two = blocks == left, blocks == right
+    return [(np.flatnonzero(a), np.flatnonzero(b)) for a, b in ((one & ~apart, two), (one & apart, two & ~apart))]
+
+
 def plausible(threshold: float):
-    """(bucket, left, right, block, set_id) of the sets that have a plausible partner in their block."""
-    names = ["bucket", "left", "right", "block", "set_id"]
+    """(bucket, left, right, block, set_id, main) of the sets that have a plausible partner in their block."""
+    names = ["bucket", "left", "right", "block", "set_id", "main"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in keys_of(batches, ["bucket", "left", "right"]):
+        for key, rows in keys_of(batches, ["bucket", "left", "right"]):
+            mains, blocks, sizes = (rows.column(x).to_numpy() for x in ("main", "block", "n_tokens"))
+            parts = [x for x in _to_compare(key, mains, blocks) if len(x[0]) and len(x[1])]
+            if not parts:
+                continue
             sketches = _matrix(rows.column("sketch").cast(pa.binary()).to_pylist())
-            near = _close(sketches, rows.column("n_tokens").to_numpy(), threshold)
+            near = reduce(np.logical_or, [_close(sketches, sizes, mains, key[0], threshold, *x) for x in parts])
             if near.any():
                 yield from rows.select(names).filter(pa.array(near)).combine_chunks().to_batches()
 
@@ -251,10 +284,11 @@ class _Block:
         self.tokens = [np.frombuffer(x, np.uint64) for x in rows.column("tokens").cast(pa.binary()).to_pylist()]
         self.buckets = rows.column("buckets").to_pylist()
         self.copies = rows.column("copies").to_pylist()
-        self.blocks = rows.column("block").to_pylist()
+        self.blocks = rows.column("block").to_numpy()
+        self.mains = rows.column("main").to_numpy()
 
     def similar(self, threshold: float) -> np.ndarray:
-        """Which sets are at least the threshold alike, compared exactly; only pairs of which this bucket is the least."""
+        """Which sets are at least the threshold alike, compared exactly; only pairs that count in this bucket."""
         sizes = np.array([len(x) for x in self.tokens])
         _, place, counts = np.unique(np.concatenate(self.tokens), return_inverse=True, return_counts=True)
         common = _shared(place, counts, sizes)
@@ -264,15 +298,17 @@ class _Block:
         np.fill_diagonal(found, False)
         bucket, left, right = self.key
         if left != right:
-            blocks = np.array(self.blocks)
-            found &= blocks[:, None] != blocks[None, :]
-        # A pair that also shares a lesser bucket is counted there.
-        lesser = [[x for x in own if x < bucket] for own in self.buckets]
-        sizes = np.array([len(x) for x in lesser])
-        if sizes.any() and found.any():
-            flat = np.fromiter((x for own in lesser for x in own), np.int64, int(sizes.sum()))
-            _, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
-            found &= _shared(place, counts, sizes) == 0
+            found &= self.blocks[:, None] != self.blocks[None, :]
+        # A pair with one main bucket is counted there, another that also shares a lesser bucket in that one.
+        alike = self.mains[:, None] == self.mains[None, :]
+        found &= ~alike | (self.mains == bucket)[:, None]
+        if (found & ~alike).any():
+            lesser = [[x for x in own if x < bucket] for own in self.buckets]
+            sizes = np.array([len(x) for x in lesser])
+            if sizes.any():
+                flat = np.fromiter((x for own in lesser for x in own), np.int64, int(sizes.sum()))
+                _, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+                found &= alike | (_shared(place, counts, sizes) == 0)
         return found
 
     def results(self, threshold: float, pairs: bool) -> Iterator[tuple]:
@@ -396,16 +432,25 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
     return done
 
 
+def _with_main(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, set_id, members, n_tokens, main): members of the buckets to be compared with their main bucket, the largest."""
+    sized = members.select("bucket", "set_id", "members").join(sets.select("set_id", "n_tokens"), "set_id")
+    largest = F.max(F.struct("members", "bucket")).over(Window.partitionBy("set_id"))
+    return sized.withColumn("main", largest["bucket"])
+
+
 def _blocks(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """Members with the pairs of blocks they take part in; most buckets are one block.
 
-    A block has about ``block`` sets, fewer if they are so long that BLOCK_TOKENS would be passed.
+    A block has about ``block`` sets, fewer if they are so long that BLOCK_TOKENS would be passed. A bucket whose sets
+    have one main bucket, another one, has nothing left to compare.
     """
-    lengths = sets.select("set_id", "n_tokens", "sketch")
-    known = members.join(lengths, "set_id")
-    large = members.filter(F.col("members") > 8).join(lengths, "set_id").groupBy("bucket").agg(F.sum("n_tokens").alias("all_tokens"))
-    known = known.join(large, "bucket", "left")
-    by_sets, by_tokens = F.col("members") / block, F.coalesce("all_tokens", F.lit(0)) / BLOCK_TOKENS
+    sums = members.groupBy("bucket").agg(
+        F.sum("n_tokens").alias("all_tokens"), F.min("main").alias("least"), F.max("main").alias("most")
+    )
+    sums = sums.filter("least != most or least = bucket").select("bucket", "all_tokens")
+    known = members.join(sums, "bucket").join(sets.select("set_id", "sketch"), "set_id")
+    by_sets, by_tokens = F.col("members") / block, F.col("all_tokens") / BLOCK_TOKENS
     blocks = F.ceil(F.greatest(by_sets, by_tokens)).cast("int")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     split = known.withColumn("blocks", blocks).withColumn("block", own)
@@ -413,7 +458,7 @@ def _blocks(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     one = split.filter("blocks = 1").withColumns({"left": F.lit(0), "right": F.lit(0)})
     more = split.filter("blocks > 1").withColumn("against", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     more = more.withColumns({"left": F.least("block", "against"), "right": F.greatest("block", "against")})
-    columns = ["bucket", "left", "right", "block", "set_id", "n_tokens", "sketch"]
+    columns = ["bucket", "left", "right", "block", "set_id", "main", "n_tokens", "sketch"]
     return one.select(columns).unionByName(more.select(columns))
 
 
@@ -446,11 +491,11 @@ class NgramJoin:
         first = _meeting(sets.select("set_id", F.explode(F.array_distinct("paths")).alias("bucket")))
         members = _compared(sets.select("set_id", "sketch"), first, threshold, range(few, all_runs), levels, small)
         kept = members.groupBy("members", "xor_a", "xor_b").agg(F.min("bucket").alias("bucket"))
-        members = members.select("bucket", "set_id", "members").join(kept.select("bucket"), "bucket", "left_semi")
+        members = members.join(kept.select("bucket"), "bucket", "left_semi")
         keys = ["bucket", "left", "right"]
-        blocks = _blocks(save(members, "ngram-compared"), sets, block)
+        blocks = _blocks(save(_with_main(members, sets), "ngram-compared"), sets, block)
         near = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-            plausible(threshold), "bucket long, left int, right int, block int, set_id binary"
+            plausible(threshold), "bucket long, left int, right int, block int, set_id binary, main long"
         )
         near = save(near, "ngram-plausible")
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from starmill.llm import ngram_join, radix_dedup, substring_dedup
@@ -187,6 +188,47 @@ def test_a_dense_group_is_compared_as_it_is(spark):
     assert splits == []
 
 
+def test_pairs_to_compare_are_whole_and_not_repeated():
+    """Every pair that is to be compared under a key is, by its blocks and main buckets; a group with another main bucket is not."""
+    chance = np.random.default_rng(4)
+    for trial in range(60):
+        n = int(chance.integers(1, 40))
+        blocks = chance.integers(0, 2, n) if trial % 2 else np.zeros(n, np.int64)
+        key = (7, 0, 1) if trial % 2 else (7, 0, 0)
+        mains = chance.choice([7, 8, 9] if trial % 3 else [8], n)
+        want = set()
+        for a, b in itertools.combinations(range(n), 2):
+            if (mains[a] != mains[b] or mains[a] == 7) and (key[1] == key[2] or blocks[a] != blocks[b]):
+                want.add((a, b))
+        pairs = {(min(a, b), max(a, b)) for rows, others in ngram_join._to_compare(key, mains, blocks) for a in rows for b in others}
+        assert want <= pairs
+        if trial % 3 == 0:
+            assert not pairs
+        # Equal sketches: a set is found if it has any partner left.
+        sketches, sizes = np.full((n, ngram_join.BINS), 3, np.uint8), np.full(n, 9)
+        found = np.zeros(n, bool)
+        for rows, others in ngram_join._to_compare(key, mains, blocks):
+            found |= ngram_join._close(sketches, sizes, mains, 7, 0.8, rows, others)
+        assert set(np.flatnonzero(found).tolist()) == {x for pair in want for x in pair}
+
+
+def test_sketches_are_counted_as_bins():
+    """The byte-wise count of equal bins against a plain one."""
+    chance = np.random.default_rng(8)
+    sketches = chance.integers(0, 4, (50, ngram_join.BINS)).astype(np.uint8)
+    sketches[25:] = np.where(chance.random((25, ngram_join.BINS)) < 0.15, 0, sketches[:25])
+    sizes, mains, every = np.full(50, 100), np.full(50, 1), np.arange(50)
+    found = ngram_join._close(sketches, sizes, mains, 1, 0.8, every, every)
+    want = np.zeros(50, bool)
+    for a, b in itertools.combinations(range(50), 2):
+        one, two = sketches[a], sketches[b]
+        either = int(((one != 0) | (two != 0)).sum())
+        same = int(((one == two) & (one != 0)).sum())
+        if same >= 0.8 * either - ngram_join.SLACK * (0.16 * either) ** 0.5:
+            want[[a, b]] = True
+    assert found.tolist() == want.tolist() and want.any()
+
+
 def test_a_common_line_is_no_dense_group(spark):
     """Texts that share a frequent passage meet in a large bucket, are split and not linked."""
     chance = random.Random(22)
