@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.llm import license_scan, quality_rules, secret_scan, source_mixing
+from starmill.llm.common import least_hashed
 from tests.llm.conftest import words
 
 
@@ -205,6 +207,67 @@ def test_wrapped_notices_and_near_families(spark, license_model):
     assert not license_scan.fits("licensed under the GNU General Public License", "", "gpl-3.0")
 
 
+def test_a_text_of_many_notices_and_far_versions(spark, license_model):
+    """Places and versions are looked up, not searched again for each notice: 20,000 lines take seconds."""
+    gpl = "under the terms of the GNU General Public License as published by the Free Software Foundation"
+    filler = "\n".join(" ".join(words(random.Random(7), 12)) for _ in range(40))
+    many = "é Released under the MIT License.\n" * 20_000
+    texts = {
+        1: f"{gpl}\n{filler}\nversion 3 of it",
+        2: f"{gpl}\n{filler}\nversion 2 of it, not version 3",
+        3: f"{gpl}\n \nversion 2 of it",
+        4: many,
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    began = time.monotonic()
+    found = license_scan.scan_with(df, license_model).filter("confirmed").collect()
+    assert time.monotonic() - began < 30
+    assert sorted({r.doc_id for r in found}) == [1, 3, 4]
+    last = max((r for r in found if r.doc_id == 4), key=lambda r: r.begin)
+    assert many[last.begin : last.end] == "é Released under the MIT License." and last.paragraph == 19_999
+    assert sum(r.doc_id == 4 for r in found) == 20_000
+
+
+def test_every_wrapped_notice_is_proposed(spark, license_model):
+    """Each template, broken after any of its words, is one paragraph of its family."""
+    rows, want = [], {}
+    for family, said in license_scan.TEMPLATES.items():
+        for text in said:
+            parts = text.split()
+            for k in range(3, len(parts) - 2):
+                doc_id = len(rows)
+                wrapped = " ".join(parts[:k]) + "\n" + " ".join(parts[k:])
+                rows.append((doc_id, f"plain talk before it\n{wrapped}\n\nversion 2.0 or 3"))
+                want[doc_id] = family
+    found = license_scan.scan_with(spark.createDataFrame(rows, "doc_id long, text string"), license_model)
+    got = {r.doc_id: r.family for r in found.filter("confirmed").collect()}
+    versioned = {k for k, family in want.items() if family in license_scan.VERSIONS}
+    assert {k: x for k, x in got.items() if k not in versioned} == {k: x for k, x in want.items() if k not in versioned}
+    assert all(want[k] == x for k, x in got.items())
+
+
+def test_labelled_paragraphs_train_the_classifier(spark, small):
+    rows = [("mit", "Fair use note: do what you like with this work"), ("wtfpl", "Do what you want to"), (None, "x"), ("mit", None)]
+    known = spark.createDataFrame([*rows, rows[0]], "family string, text string").withColumn("hash", F.lit("x"))
+    assert sorted(license_scan.labelled_paragraphs(known)) == [("mit", rows[0][1]), ("unknown", rows[1][1])]
+    assert len(license_scan.labelled_paragraphs(known, 1)) == 1
+    assert license_scan.labelled_paragraphs(known.limit(0)) == []
+
+
+def test_templates_that_training_left_out(spark, small):
+    licences, families = license_scan.accuracy_on_unseen(spark, license_scan.plain_paragraphs(small))
+    print("unseen templates:", licences, families)
+    assert licences >= 0.5 and licences >= families
+
+
+def test_least_hashed(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id % 2500) as h", "id % 2500 as id")
+    want = sorted({(r.h, r.id) for r in rows.collect()})
+    assert sorted(map(tuple, least_hashed(rows, "h", 100).collect())) == want[:100]
+    assert sorted(map(tuple, least_hashed(rows, "h", 10_000).collect())) == want
+    assert least_hashed(rows.limit(0), "h", 10).count() == 0
+
+
 def test_license_lines_of_the_table(spark, small, license_model, odd, no_rows):
     notice = "(?m)^(Licensed under|Released under the|This work is licensed under) .*$"
     want = {r.doc_id for r in small.filter(F.col("text").rlike(notice)).collect()}
