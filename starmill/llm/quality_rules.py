@@ -1,8 +1,8 @@
 """Quality rules: plain counts, and a hashed n-gram log-likelihood ratio.
 
-Two multinomials over hashed n-grams are fitted: the raw corpus's on all documents, the trusted target's on at
-most ``MOST_TRUSTED`` labelled documents, those of the smallest hash of their id, so that only bounded ids
-are sent around and no text is shuffled. A document's score is the mean of log p_target / p_raw over its n-grams, so length does
+Two multinomials over hashed n-grams are fitted: the raw corpus's on all documents, the trusted target's on all
+that are labelled so. The ids of those are sent around if Spark finds them small; else documents meet their labels in a
+shuffle by id. A document's score is the mean of log p_target / p_raw over its n-grams, so length does
 not count. Documents below a fixed threshold are rejected; nothing is drawn at random.
 
 n-grams are single marks and pairs of neighbours, a mark being a word's letters or its adjoining signs:
@@ -34,8 +34,6 @@ ADDED = 5.0
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r "
 
-MOST_TRUSTED = 50_000
-
 COUNT_SCHEMA = "bucket int, raw long, target long"
 BASE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -175,17 +173,17 @@ def judge(ratios: np.ndarray, threshold: float, keep: bool):
     return run
 
 
-def trusted_ids(labels: DataFrame, most: int = MOST_TRUSTED) -> DataFrame:
-    """At most ``most`` documents that are labelled good and clean, and never otherwise."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The documents that are labelled good and clean, and never otherwise."""
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     votes = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good"))
-    return votes.filter("good").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id")
+    return votes.filter("good").select("doc_id")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """log p_target / p_raw by bucket, smoothed. 2^BITS numbers reach the driver, whatever the corpus."""
     ids = save(trusted.select(F.col("doc_id").alias("trusted_id")), "trusted")
-    flagged = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
+    flagged = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
     counted = flagged.select("text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(count_ngrams, COUNT_SCHEMA)
     found = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     counts = np.zeros((2, 1 << BITS))

@@ -65,6 +65,16 @@ def test_scores_without_any_trusted_document(odd, labels):
     assert quality_rules.keep_good(odd, none).columns == odd.columns
 
 
+def test_every_labelled_clean_document_is_trusted(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert quality_rules.trusted_ids(labels.unionByName(labels)).count() == 60_000
+    rows = [(i, "one two" if i in (3, 59_999) else "three four") for i in (3, 3, 59_999, 70_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratios = quality_rules.log_ratios(docs, quality_rules.trusted_ids(labels))
+    # 3 of 5 rows are trusted, of 3 marks and pairs each: expected are raw counts times 9 / 15
+    assert sorted(ratios[ratios != 0]) == pytest.approx([np.log(5 / 6.2)] * 3 + [np.log(8 / 6.8)] * 3)
+
+
 def test_score_is_the_mean_log_ratio(spark):
     ratios = np.zeros(1 << quality_rules.BITS)
     marks = quality_rules._Marks()
