@@ -178,3 +178,19 @@ def test_a_repeated_key_stops_the_fact(spark, t, table):
     twice = {**t, table: t[table].unionByName(t[table].limit(1))}
     with pytest.raises(Exception, match="is repeated"):
         star.fact_table(twice, as_of=AS_OF).collect()
+
+
+def test_the_bridge_is_shuffled_twice(spark, t):
+    """Counted by employee and territory, then dealt by employee: the sums and the join with the employees need no more."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": str(10 << 20)}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        plan = star.dim_employees(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(employee_id" in x]
+    assert len([x for x in dealt if "territory_id" in x]) == 1
+    assert not [x for x in dealt if "region_description" in x]
