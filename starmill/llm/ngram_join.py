@@ -54,11 +54,13 @@ LEVELS = 3
 SMALL = 256
 BLOCK, BLOCK_TOKENS = 2048, 8 << 20
 BINS = 128
-# A large bucket is dense if its sets share this much of PROBES bins with one of them, on average.
+# A large bucket is dense if two of its sets share this much of PROBES bins, on average.
 DENSE, PROBES = 0.7, 16
 # Standard deviations of a sketch's similarity that a pair may fall short.
 SLACK = 4.3
-MEMBER_SCHEMA = "set_id binary, bucket long"
+# What each member of a bucket carries of its set.
+CARRIED = ["set_id", "n_tokens", "probe"]
+MEMBER_SCHEMA = "set_id binary, n_tokens long, probe long, bucket long"
 
 
 def runs_needed(recall: float, levels: int) -> int:
@@ -183,14 +185,14 @@ def _matrix(sketches: list[bytes]) -> np.ndarray:
 
 
 def _members(rows: pa.RecordBatch, paths: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
-    """(set_id, bucket) for each path of each row."""
+    """``MEMBER_SCHEMA`` for each path of each row."""
     place = pa.array(np.repeat(np.arange(rows.num_rows), np.diff(ends)))
-    ids = rows.column("set_id").cast(pa.binary()).take(place)
-    return pa.RecordBatch.from_arrays([ids, pa.array(paths.view(np.int64))], ["set_id", "bucket"])
+    own = rows.select(CARRIED).take(place)
+    return pa.RecordBatch.from_arrays([*own.columns, pa.array(paths.view(np.int64))], [*CARRIED, "bucket"])
 
 
 def more_runs(threshold: float, runs: range):
-    """(set_id, bucket): first-level buckets of sketches in further runs."""
+    """``MEMBER_SCHEMA``: first-level buckets of sketches in further runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, tokens, begins in _sketched(batches):
@@ -200,7 +202,7 @@ def more_runs(threshold: float, runs: range):
 
 
 def next_level(threshold: float):
-    """(set_id, bucket): the children of (bucket, set_id, sketch) rows."""
+    """``MEMBER_SCHEMA``: the children of buckets' members with their sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, tokens, begins in _sketched(batches):
@@ -385,26 +387,36 @@ def _meeting(found: DataFrame) -> DataFrame:
     return save(found.join(sizes.filter("members > 1"), "bucket"), "ngram-members")
 
 
-def _dense(large: DataFrame) -> DataFrame:
-    """Buckets of (bucket, set_id, sketch) rows whose sets are nearly all like one of them, the least.
+def _probe(sketch: Column) -> Column:
+    """PROBES bins of a sketch, two bits each: whether there is a token, and whether its byte is odd."""
+    step = BINS // PROBES
+    values = [F.conv(F.hex(F.substring(sketch, 1 + i * step, 1)), 16, 10).cast("int") for i in range(PROBES)]
+    bits = [F.shiftleft((x > 0).cast("long") + x % 2 * 2, 2 * i) for i, x in enumerate(values)]
+    return reduce(Column.__add__, bits)
 
-    A set is compared with that one only, by PROBES bins of their sketches.
+
+def _dense(large: DataFrame, probe: Column | None = None) -> DataFrame:
+    """Buckets whose sets are nearly all alike, by the probes (else the sketches) of their members.
+
+    No two sets are brought together. Let a bin's odd bytes count 1 and its even ones -1: the square of their sum is, on
+    average over the bins, the number of ordered pairs of sets with the same byte.
     """
-    one = large.groupBy("bucket").agg(F.min(F.struct("set_id", "sketch")).alias("one"))
-    met = large.join(one.select("bucket", F.col("one.sketch").alias("other")), "bucket")
-    step, none = BINS // PROBES, F.lit(b"\x00")
-    bins = [[F.substring(F.col(x), 1 + i * step, 1) for x in ("sketch", "other")] for i in range(PROBES)]
-    # a bin without a token has no byte
-    there = reduce(Column.__add__, [((a != none) | (b != none)).cast("int") for a, b in bins])
-    same = reduce(Column.__add__, [((a == b) & (a != none)).cast("int") for a, b in bins])
-    shares = met.groupBy("bucket").agg(F.sum(there).alias("there"), F.sum(same).alias("same"))
-    return shares.filter(F.col("same") >= DENSE * F.col("there")).select("bucket")
-
-
-def _settled(members: DataFrame, sets: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
+    probe = _probe(F.col("sketch")) if probe is None else probe
+    bits = [F.shiftright(probe, 2 * i).bitwiseAND(F.lit(3)) for i in range(PROBES)]
+    there = [F.sum((x > 0).cast("int")).cast("double") for x in bits]
+    signs = [F.sum(F.when(x == 3, 1).when(x == 1, -1).otherwise(0)).cast("double") for x in bits]
+    sums = [c.alias(f"{name}{i}") for name, part in (("c", there), ("s", signs)) for i, c in enumerate(part)]
+    found = large.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("n"), *sums)
+    without = [F.col("n") - F.col(f"c{i}") for i in range(PROBES)]
+    either = reduce(Column.__add__, [F.col("n") * F.col("n") - x * x for x in without])
+    same = reduce(Column.__add__, [F.col(f"s{i}") * F.col(f"s{i}") for i in range(PROBES)])
+    return found.filter(same >= DENSE * either).select("bucket")
+
+
+def _settled(members: DataFrame, small: int) -> tuple[DataFrame, DataFrame]:
     """Members of buckets that are small or dense, and of those that are to be split."""
     large = members.filter(F.col("members") > small)
-    dense = save(_dense(save(large.select("bucket", "set_id").join(sets, "set_id"), "ngram-large")), "ngram-dense")
+    dense = save(_dense(large, F.col("probe")), "ngram-dense")
     done = members.filter(F.col("members") <= small).unionByName(large.join(dense, "bucket", "left_semi"))
     return done, large.join(dense, "bucket", "left_anti")
 
@@ -413,30 +425,29 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
     """Members of all buckets that are to be compared. ``runs`` are for sets that were in a bucket that is split."""
     if levels == 1 or first.filter(F.col("members") > small).isEmpty():
         return first
-    done, large = _settled(first, sets, small)
+    done, large = _settled(first, small)
     if large.isEmpty():
         return done
     again = sets.join(large.select("set_id").distinct(), "set_id", "left_semi")
     further = _meeting(save(again.mapInArrow(more_runs(threshold, runs), MEMBER_SCHEMA), "ngram-level"))
-    more_done, more = _settled(further, sets, small)
+    more_done, more = _settled(further, small)
     done, large = done.unionByName(more_done), large.unionByName(more)
     for level in range(2, levels + 1):
         children = large.select("bucket", "set_id").join(sets, "set_id").mapInArrow(next_level(threshold), MEMBER_SCHEMA)
         members = _meeting(save(children, "ngram-level"))
         if level == levels:
             return done.unionByName(members)
-        below, large = _settled(members, sets, small)
+        below, large = _settled(members, small)
         done = done.unionByName(below)
         if large.isEmpty():
             return done
     return done
 
 
-def _with_main(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_main(members: DataFrame) -> DataFrame:
     """(bucket, set_id, members, n_tokens, main): members of the buckets to be compared with their main bucket, the largest."""
-    sized = members.select("bucket", "set_id", "members").join(sets.select("set_id", "n_tokens"), "set_id")
     largest = F.max(F.struct("members", "bucket")).over(Window.partitionBy("set_id"))
-    return sized.withColumn("main", largest["bucket"])
+    return members.select("bucket", "set_id", "members", "n_tokens").withColumn("main", largest["bucket"])
 
 
 def _blocks(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
@@ -486,14 +497,15 @@ class NgramJoin:
         one = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_hash")).alias("one")
         same_for_all = [F.any_value(x).alias(x) for x in ("n_tokens", "sketch", "paths")]
         classes = paths.filter("n_tokens > 0").groupBy("set_id")
-        sets = self.sets = save(classes.agg(F.count(F.lit(1)).alias("copies"), one, *same_for_all), "ngram-sets")
+        sets = classes.agg(F.count(F.lit(1)).alias("copies"), one, *same_for_all)
+        sets = self.sets = save(sets.withColumn("probe", _probe(F.col("sketch"))), "ngram-sets")
 
-        first = _meeting(sets.select("set_id", F.explode(F.array_distinct("paths")).alias("bucket")))
-        members = _compared(sets.select("set_id", "sketch"), first, threshold, range(few, all_runs), levels, small)
+        first = _meeting(sets.select(*CARRIED, F.explode(F.array_distinct("paths")).alias("bucket")))
+        members = _compared(sets.select(*CARRIED, "sketch"), first, threshold, range(few, all_runs), levels, small)
         kept = members.groupBy("members", "xor_a", "xor_b").agg(F.min("bucket").alias("bucket"))
         members = members.join(kept.select("bucket"), "bucket", "left_semi")
         keys = ["bucket", "left", "right"]
-        blocks = _blocks(save(_with_main(members, sets), "ngram-compared"), sets, block)
+        blocks = _blocks(save(_with_main(members), "ngram-compared"), sets, block)
         near = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
             plausible(threshold), "bucket long, left int, right int, block int, set_id binary, main long"
         )

@@ -241,6 +241,23 @@ def test_a_common_line_is_no_dense_group(spark):
     assert ngram_join._dense(sets.withColumn("bucket", F.lit(1).cast("long"))).isEmpty()
 
 
+def test_dense_buckets_are_found_without_pairs_of_sets(spark):
+    """A bucket's sets are summed up, not brought together, and members carry what a bucket is judged by."""
+    chance = random.Random(23)
+    base = words(chance, 200)
+    near = [" ".join(changed(chance, base, 0.005)) for _ in range(60)]
+    apart = [" ".join(words(chance, 80)) for _ in range(60)]
+    halves = [" ".join(words(chance, 100) + base[:100]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(near + apart + halves)), "doc_id long, text string")
+    join = ngram_join.NgramJoin(df, small=1000)
+    rows = join.sets.select(F.floor(F.col("one.doc_id") / 60).alias("bucket"), *ngram_join.CARRIED, F.lit(60).alias("members"))
+    dense = ngram_join._dense(rows, F.col("probe"))
+    assert [r.bucket for r in dense.collect()] == [0]
+    assert "Join" not in dense._jdf.queryExecution().toString()
+    done, large = ngram_join._settled(rows, 40)
+    assert {r.bucket for r in done.collect()} == {0} and {r.bucket for r in large.collect()} == {1, 2}
+
+
 def test_near_duplicates_of_nothing(no_rows):
     assert ngram_join.near_duplicates(no_rows).count() == 0
     assert ngram_join.keep_first(no_rows).count() == 0
