@@ -1,9 +1,10 @@
 """Quality rules: plain counts, and a hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed n-grams are fitted: the raw corpus's on all documents, the trusted target's on all
-that are labelled so. The ids of those are sent around if Spark finds them small; else documents meet their labels in a
-shuffle by id. A document's score is the mean of log p_target / p_raw over its n-grams, so length does
-not count. Documents below a fixed threshold are rejected; nothing is drawn at random.
+that are labelled so. The raw counts need no labels, so no text moves for them. For the target's, a bitmap of fixed size
+holds back documents that cannot be trusted, and the others meet the trusted ids in a shuffle, which decides. A document's
+score is the mean of log p_target / p_raw over its n-grams, so length does not count. Documents below a fixed threshold
+are rejected; nothing is drawn at random.
 
 n-grams are single marks and pairs of neighbours, a mark being a word's letters or its adjoining signs:
 ``[^\\w]+`` runs at the end of a word count on their own, so that junk signs weigh even behind new words.
@@ -30,11 +31,13 @@ BITS = 18
 LEAST_WORDS, MOST_REPEATED = 50, 50
 THRESHOLD = -0.4
 ADDED = 5.0
+# Bits of the bitmap of trusted ids, as a power of two: 4 MB, whatever the ids.
+MARK_BITS = 25
 
 SYMBOLS = "#*$%&|<>"
 SPACES = "\t\n\x0b\x0c\r "
 
-COUNT_SCHEMA = "bucket int, raw long, target long"
+COUNT_SCHEMA = "bucket int, n long"
 BASE_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -93,19 +96,15 @@ def _chunk(texts: list[bytes], marks: _Marks):
 
 
 def count_ngrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, raw, target) over all texts of a task, and over those that are trusted."""
-    marks, totals = _Marks(), np.zeros((2, 1 << BITS), np.int64)
+    """(bucket, n) over all texts of a task."""
+    marks, totals = _Marks(), np.zeros(1 << BITS, np.int64)
     for batch in batches:
-        for rows, texts in text_pieces(batch):
-            trusted = rows.column("trusted").to_numpy(zero_copy_only=False)
+        for _, texts in text_pieces(batch):
             _, _, *grams = _chunk(texts, marks)
-            for values, begins in grams:
-                totals[0] += np.bincount(values, minlength=1 << BITS)
-                own = np.repeat(trusted, np.diff(begins))
-                totals[1] += np.bincount(values[own], minlength=1 << BITS)
-    there = np.flatnonzero(totals[0])
-    columns = [there.astype(np.int32), totals[0][there], totals[1][there]]
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["bucket", "raw", "target"])
+            for values, _ in grams:
+                totals += np.bincount(values, minlength=1 << BITS)
+    there = np.flatnonzero(totals)
+    yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(totals[there])], ["bucket", "n"])
 
 
 def _repeated(words: np.ndarray) -> int:
@@ -180,14 +179,36 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return votes.filter("good").select("doc_id")
 
 
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id has its bit set by one of ``ids``: all that are among them, and a share of the others."""
+    if docs.schema["doc_id"].dataType != ids.schema["trusted_id"].dataType:
+        # hashes of two types differ
+        return docs
+    of_id, of_doc = (F.xxhash64(x).bitwiseAND(F.lit((1 << MARK_BITS) - 1)) for x in ("trusted_id", "doc_id"))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(of_id)).alias("bits")
+    bitmap = ids.groupBy(F.bitmap_bucket_number(of_id).alias("part")).agg(bits)
+    place = F.bitmap_bit_position(of_doc)
+    byte = F.substring("bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    bit = F.call_function("shiftleft", F.lit(1), place.bitwiseAND(F.lit(7)).cast("int"))
+    is_set = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(bit) != 0
+    return docs.join(F.broadcast(bitmap), (F.bitmap_bucket_number(of_doc) == F.col("part")) & is_set, "left_semi")
+
+
+def _totals(docs: DataFrame) -> np.ndarray:
+    """n-grams of all texts by bucket. 2^BITS numbers reach the driver, whatever the texts."""
+    found = docs.select("text").mapInArrow(count_ngrams, COUNT_SCHEMA).groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    totals = np.zeros(1 << BITS)
+    totals[found["bucket"]] = found["n"]
+    return totals
+
+
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """log p_target / p_raw by bucket, smoothed. 2^BITS numbers reach the driver, whatever the corpus."""
+    """log p_target / p_raw by bucket, smoothed."""
     ids = save(trusted.select(F.col("doc_id").alias("trusted_id")), "trusted")
-    flagged = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
-    counted = flagged.select("text", F.col("trusted_id").isNotNull().alias("trusted")).mapInArrow(count_ngrams, COUNT_SCHEMA)
-    found = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
-    counts = np.zeros((2, 1 << BITS))
-    counts[:, found["bucket"]] = found[["target", "raw"]].to_numpy().T
+    # Ids are never sent around, however few: what moves grows in proportion from the smallest table on.
+    own = _marked(docs.select("doc_id", "text"), ids)
+    own = own.join(ids.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
+    counts = np.stack([_totals(own), _totals(docs)])
     if not counts[0].sum():
         return np.zeros(1 << BITS)
     # Raw counts are brought to the target's total, and both get the same added counts: a bucket seen rarely

@@ -75,6 +75,27 @@ def test_every_labelled_clean_document_is_trusted(spark):
     assert sorted(ratios[ratios != 0]) == pytest.approx([np.log(5 / 6.2)] * 3 + [np.log(8 / 6.8)] * 3)
 
 
+def test_only_documents_that_may_be_trusted_move(spark):
+    """Ids of another type, null ids and repeated rows included, the bitmap drops no trusted row and most others."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"))
+    docs = docs.unionByName(docs.filter("doc_id < 9")).unionByName(spark.sql("select cast(null as long) doc_id, 'one two' text"))
+    ids = docs.filter("doc_id % 4 = 1").select(F.col("doc_id").alias("trusted_id")).distinct()
+    marked = quality_rules._marked(docs, ids)
+    assert marked.filter("doc_id % 4 = 1").count() == 10_002
+    assert marked.count() < 10_100
+    assert quality_rules._marked(docs, ids.select(F.col("trusted_id").cast("int"))).count() == docs.count()
+    # few ids or many, they are not sent around, and the raw counts move no text
+    plans = []
+    plain = quality_rules._totals
+    quality_rules._totals = lambda rows: (plans.append(rows._jdf.queryExecution().toString()), plain(rows))[1]
+    try:
+        ratios = quality_rules.log_ratios(docs, ids.withColumnRenamed("trusted_id", "doc_id"))
+    finally:
+        quality_rules._totals = plain
+    assert "SortMergeJoin" in plans[0] and "Join" not in plans[1]
+    assert np.abs(ratios).max() < 1e-3
+
+
 def test_score_is_the_mean_log_ratio(spark):
     ratios = np.zeros(1 << quality_rules.BITS)
     marks = quality_rules._Marks()
