@@ -34,8 +34,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmill.llm.common import (
     WordHashes,
@@ -43,6 +44,8 @@ from starmill.llm.common import (
     keys_of,
     long_list,
     mixed,
+    pieces,
+    ranges,
     save,
     shingles,
     split_words,
@@ -202,12 +205,20 @@ def more_runs(threshold: float, runs: range):
 
 
 def next_level(threshold: float):
-    """``MEMBER_SCHEMA``: the children of buckets' members with their sketches."""
+    """``MEMBER_SCHEMA``: the children of sets' buckets, a list in each row beside the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, tokens, begins in _sketched(batches):
-            paths = rows.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield _members(rows, *_chosen(tokens, begins, paths, threshold))
+        lengths = ((x, pc.list_value_length(x.column("buckets")).to_pylist()) for x in batches)
+        few = (x.slice(a, b - a) for x, sizes in lengths for a, b in pieces(sizes, 1 << 13))
+        for rows, tokens, begins in _sketched(few):
+            buckets = rows.column("buckets")
+            paths = buckets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            # each set's tokens once for each of its buckets
+            own = np.repeat(np.arange(rows.num_rows), pc.list_value_length(buckets).to_numpy(zero_copy_only=False))
+            sizes = np.diff(begins)[own]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            children, cuts = _chosen(tokens[ranges(begins[:-1][own], sizes)], ends, paths, threshold)
+            yield _members(rows.select(CARRIED).take(pa.array(own)), children, cuts)
 
     return run
 
@@ -433,7 +444,9 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
     more_done, more = _settled(further, small)
     done, large = done.unionByName(more_done), large.unionByName(more)
     for level in range(2, levels + 1):
-        children = large.select("bucket", "set_id").join(sets, "set_id").mapInArrow(next_level(threshold), MEMBER_SCHEMA)
+        # A set meets its sketch once, whatever the number of its buckets.
+        split = large.groupBy("set_id").agg(F.collect_list("bucket").alias("buckets"))
+        children = split.join(sets, "set_id").mapInArrow(next_level(threshold), MEMBER_SCHEMA)
         members = _meeting(save(children, "ngram-level"))
         if level == levels:
             return done.unionByName(members)
@@ -444,23 +457,26 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
     return done
 
 
-def _with_main(members: DataFrame) -> DataFrame:
-    """(bucket, set_id, members, n_tokens, main): members of the buckets to be compared with their main bucket, the largest."""
-    largest = F.max(F.struct("members", "bucket")).over(Window.partitionBy("set_id"))
-    return members.select("bucket", "set_id", "members", "n_tokens").withColumn("main", largest["bucket"])
+def _with_main(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, n_tokens, sketch, main, buckets): a row for each set of the buckets to be compared, with its main bucket,
+    the largest, and (members, bucket) of all of them. A set meets its sketch once, whatever the number of its buckets."""
+    own = members.groupBy("set_id").agg(F.collect_list(F.struct("members", "bucket")).alias("buckets"))
+    own = own.withColumn("main", F.array_max("buckets")["bucket"])
+    return own.join(sets.select("set_id", "n_tokens", "sketch"), "set_id").select("set_id", "n_tokens", "sketch", "main", "buckets")
 
 
-def _blocks(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+def _blocks(compared: DataFrame, block: int) -> DataFrame:
     """Members with the pairs of blocks they take part in; most buckets are one block.
 
     A block has about ``block`` sets, fewer if they are so long that BLOCK_TOKENS would be passed. A bucket whose sets
     have one main bucket, another one, has nothing left to compare.
     """
+    members = compared.withColumn("own", F.explode("buckets")).drop("buckets").select("*", "own.*").drop("own")
     sums = members.groupBy("bucket").agg(
         F.sum("n_tokens").alias("all_tokens"), F.min("main").alias("least"), F.max("main").alias("most")
     )
     sums = sums.filter("least != most or least = bucket").select("bucket", "all_tokens")
-    known = members.join(sums, "bucket").join(sets.select("set_id", "sketch"), "set_id")
+    known = members.join(sums, "bucket")
     by_sets, by_tokens = F.col("members") / block, F.col("all_tokens") / BLOCK_TOKENS
     blocks = F.ceil(F.greatest(by_sets, by_tokens)).cast("int")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
@@ -505,7 +521,7 @@ class NgramJoin:
         kept = members.groupBy("members", "xor_a", "xor_b").agg(F.min("bucket").alias("bucket"))
         members = members.join(kept.select("bucket"), "bucket", "left_semi")
         keys = ["bucket", "left", "right"]
-        blocks = _blocks(save(_with_main(members), "ngram-compared"), sets, block)
+        blocks = _blocks(save(_with_main(members, sets), "ngram-compared"), block)
         near = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
             plausible(threshold), "bucket long, left int, right int, block int, set_id binary, main long"
         )
@@ -517,9 +533,13 @@ class NgramJoin:
         found = rows.join(wanted, same, "left_semi").mapInArrow(keep_sets(n), "set_id binary, tokens binary")
         # Only rows that repeat a doc_id with its text give a set twice.
         tokens = save(found.dropDuplicates(["set_id"]), "ngram-tokens")
-        buckets = near.groupBy("set_id").agg(F.collect_set("bucket").alias("buckets"))
-        own = tokens.join(buckets, "set_id").join(sets.select("set_id", "copies"), "set_id")
-        exact = near.join(own, "set_id").repartition(*keys).sortWithinPartitions(*keys)
+        # A set meets its tokens once; they are repeated for its blocks on the way there.
+        meets = near.groupBy("set_id").agg(
+            F.collect_set("bucket").alias("buckets"), F.collect_list(F.struct(*keys, "block", "main")).alias("places")
+        )
+        own = tokens.join(meets, "set_id").join(sets.select("set_id", "copies"), "set_id")
+        exact = own.withColumn("place", F.explode("places")).select("set_id", "place.*", "tokens", "buckets", "copies")
+        exact = exact.repartition(*keys).sortWithinPartitions(*keys)
         out = "set_id binary, other_id binary, texts long, docs long"
         self.found = save(exact.mapInArrow(compare(threshold, pairs), out), "ngram-links")
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from starmill.llm import ngram_join, radix_dedup, substring_dedup
@@ -258,6 +259,45 @@ def test_dense_buckets_are_found_without_pairs_of_sets(spark):
     assert {r.bucket for r in done.collect()} == {0} and {r.bucket for r in large.collect()} == {1, 2}
 
 
+def test_children_of_a_set_are_those_of_its_buckets():
+    """Buckets in one list have the same children as each alone, in batches of any size."""
+    chance = np.random.default_rng(12)
+    sketches = [chance.integers(0, 256, ngram_join.BINS, np.uint8).tobytes() for _ in range(40)]
+    buckets = [chance.integers(-(2**62), 2**62, k).tolist() for k in chance.integers(1, 900, 40)]
+    ids = [f"{i:016d}".encode() for i in range(40)]
+    rows = pa.record_batch({"set_id": ids, "n_tokens": [9] * 40, "probe": list(range(40)), "sketch": sketches, "buckets": buckets})
+    found = [x for b in ngram_join.next_level(0.8)(iter([rows.slice(0, 0), rows.slice(0, 7), rows.slice(7)])) for x in b.to_pylist()]
+    want = Counter()
+    for _, tokens, begins in ngram_join._sketched(iter([rows])):
+        for i, own in enumerate(buckets):
+            mine = tokens[begins[i] : begins[i + 1]]
+            for x in own:
+                path = np.array([x]).view(np.uint64)
+                children, _ = ngram_join._chosen(mine, np.array([0, len(mine)]), path, 0.8)
+                want.update((ids[i], 9, i, c) for c in children.view(np.int64).tolist())
+    assert Counter((r["set_id"], r["n_tokens"], r["probe"], r["bucket"]) for r in found) == want and len(want) > 10_000
+
+
+def test_sets_meet_their_sketches_once(spark, monkeypatch):
+    """What is joined with the sketches has a row for each set, however many buckets a set is in."""
+    chance = random.Random(24)
+    base, line = words(chance, 120), words(chance, 30)
+    rows = [(i, " ".join(changed(chance, base, 0.01))) for i in range(80)]
+    rows += [(i, " ".join(words(chance, 70) + line)) for i in range(80, 160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plain, seen = ngram_join.save, {}
+
+    def kept(rows, label):
+        seen[label] = plain(rows, label)
+        return seen[label]
+
+    monkeypatch.setattr(ngram_join, "save", kept)
+    assert found_near(df, small=20, block=16) == near_by_hand(rows)
+    compared = seen["ngram-compared"]
+    assert compared.count() == compared.select("set_id").distinct().count() > 80
+    assert compared.select(F.max(F.size("buckets"))).first()[0] > 3
+
+
 def test_near_duplicates_of_nothing(no_rows):
     assert ngram_join.near_duplicates(no_rows).count() == 0
     assert ngram_join.keep_first(no_rows).count() == 0
