@@ -3,8 +3,9 @@
 Each text is the set of its hashed five-word shingles. A run splits the sets recursively: in a node, a set x
 goes to the child of each of its tokens y whose hash under the node's path is below 1 / (t |x|), t being the
 threshold, about 1 / t children. Two sets of similarity t or more share at least one child on average, so
-they meet again with a known probability at every level. Small buckets are compared by brute force, large
-ones are split once more, up to ``levels`` times; what is still large then is compared in blocks. A large bucket
+they meet again with a known probability at every level. Buckets of up to ``small`` sets, which cost less to compare
+than to split, are compared by brute force, large ones are split once more, up to ``levels`` times; what is still large
+then is compared in blocks. A large bucket
 whose sets are nearly all alike is a dense group: its children would hold almost all of it, again and again, so it is
 not split but compared as it is. Runs repeat with other hashes until the chance of a pair to meet in none is below 1 - ``recall``:
 fewer for sets that only ever met few others, more for those that were in a large bucket that had to be
@@ -54,7 +55,9 @@ from starmill.llm.common import (
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 LEVELS = 3
-SMALL = 256
+# To split a bucket leaves some 70 rows of each of its sets in further runs and levels, whatever its size; to compare it
+# as it is takes half its sets' number of sketch comparisons a set, and a group's other buckets are not compared again.
+SMALL = 8192
 BLOCK, BLOCK_TOKENS = 2048, 8 << 20
 BINS = 128
 # A large bucket is dense if two of its sets share this much of PROBES bins, on average.

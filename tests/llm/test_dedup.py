@@ -189,6 +189,24 @@ def test_a_dense_group_is_compared_as_it_is(spark):
     assert splits == []
 
 
+def test_a_loose_group_is_not_split(spark, monkeypatch):
+    """Variants of one text that are no dense group, some hundreds: they are compared, no rows of children are made."""
+    chance = random.Random(25)
+    base = words(chance, 120)
+    variants = [changed(chance, base, 0.06) for _ in range(500)]
+    near = [changed(chance, variants[0], 0.005) for _ in range(8)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(variants + near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    splits = []
+    plain = ngram_join.next_level
+    monkeypatch.setattr(ngram_join, "next_level", lambda threshold: splits.append(threshold) or plain(threshold))
+    assert found_near(df) == near_by_hand(rows)
+    assert splits == []
+    # the same links if the group is split
+    assert found_near(df, small=256) == near_by_hand(rows)
+    assert splits
+
+
 def test_pairs_to_compare_are_whole_and_not_repeated():
     """Every pair that is to be compared under a key is, by its blocks and main buckets; a group with another main bucket is not."""
     chance = np.random.default_rng(4)
