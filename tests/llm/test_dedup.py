@@ -539,3 +539,63 @@ def test_hashes_of_stretches():
     of = substring_dedup._Contents(tokens).of
     one, two, three = (int(of(np.array([a]), np.array([b]))[0]) for a, b in ((100, 150), (300, 350), (300, 349)))
     assert one == two != three
+
+
+def test_overlapping_places_of_a_home_move_each_shingle_once():
+    """Places of one home that overlap are one stretch; those apart, of another home or of a large signature have their own."""
+    chance = random.Random(31)
+    texts = [words(chance, 300), words(chance, 200)]
+    many = substring_dedup.FEW + 1
+    # first, size, signature, content, members, shared, home
+    places = [
+        [(90, 80, 1, 11, 2, False, 5), (10, 90, 2, 12, 3, True, 5), (200, 60, 3, 13, 2, False, 5), (20, 90, 4, 14, 2, False, 6),
+         (20, 90, 7, 15, many, False, 7), (30, 90, 7, 16, many, True, 7)],
+        [(0, 92, 1, 17, 2, False, 5)],
+    ]
+    names = ["first", "size", "signature", "content", "members", "shared", "home"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+    wanted = pa.array([[dict(zip(names, x)) for x in own] for own in places], pa.list_(pa.struct(list(zip(names, kinds)))))
+    rows = pa.record_batch({"text": [" ".join(x) for x in texts], "text_a": [100, 200], "wanted": wanted})
+    found = [x for b in substring_dedup.region_shingles(5)(iter([rows.slice(0, 0), rows])) for x in b.to_pylist()]
+    sizes = sorted((x["text_a"], x["home"], len(x["tokens"]) // 4, len(x["parts"])) for x in found)
+    assert sizes == [(100, 5, 60, 1), (100, 5, 160, 2), (100, 6, 90, 1), (100, 7, 90, 1), (100, 7, 90, 1), (200, 5, 92, 1)]
+    assert sorted((x["members"], x["content"]) for x in found if x["home"] == 7) == [(many, 15), (many, 16)]
+    assert {(x["members"], x["content"]) for x in found if x["home"] != 7} == {(1, 0)}
+    got = {}
+    for x in found:
+        for p in x["parts"]:
+            tokens = x["tokens"][4 * p["begin"] : 4 * (p["begin"] + p["size"])]
+            got[x["text_a"], p["content"]] = (p["signature"], p["shared"], x["home"], tokens)
+    whole = [np.concatenate([t for _, t, _ in substring_dedup._rows(iter([rows.slice(i, 1)]), 5)]) for i in range(2)]
+    for i, own in enumerate(places):
+        for first, size, signature, content, _, shared, home in own:
+            tokens = (whole[i][first : first + size] >> np.uint64(32)).astype(np.uint32).tobytes()
+            assert got[100 * (i + 1), content] == (signature, shared, home, tokens)
+
+
+def test_contents_of_a_home_are_verified_as_each_alone():
+    """Signatures of a home, their shingles numbered together, against a plain comparison of each two contents."""
+    chance = np.random.default_rng(17)
+    parts, rows, want = [], [], set()
+    for signature in range(60):
+        x = chance.integers(0, 2**32, 60, np.uint32) if signature % 3 else chance.integers(0, 25, 60).astype(np.uint32)
+        y = x.copy()
+        y[chance.random(60) < chance.choice([0.02, 0.3])] = 7
+        for text, tokens in ((1, x), (2, y)):
+            content = 2 * signature + text
+            # some shingles before it, so that parts do not begin with their stretch
+            before = chance.integers(0, 2**32, signature % 4, np.uint32)
+            part = {"signature": signature, "content": content, "begin": len(before), "size": 60, "shared": False}
+            rows.append((9, 0, 0, 0, text, np.concatenate([before, tokens]).tobytes(), [part]))
+            parts.append(tokens)
+        if substring_dedup.similar_passages(x, y, 46, 0.8) or substring_dedup.similar_passages(y, x, 46, 0.8):
+            want.add(signature)
+    names = ["home", "left", "right", "block", "text_a", "tokens", "parts"]
+    kind = pa.struct([("signature", pa.int64()), ("content", pa.int64()), ("begin", pa.int32()), ("size", pa.int32()), ("shared", pa.bool_())])
+    columns = [pa.array(x) for x in zip(*(x[:-1] for x in rows))] + [pa.array([x[-1] for x in rows], pa.list_(kind))]
+    batch = pa.RecordBatch.from_arrays(columns, names)
+    home = substring_dedup._Home((9, 0, 0), pa.Table.from_batches([batch]))
+    assert home.distinct.tolist() == [len(set(x.tolist())) == len(x) for x in parts]
+    found = [x for b in substring_dedup.verify(46, 0.8)(iter([batch.slice(0, 50), batch.slice(50)])) for x in b.to_pylist()]
+    assert {x["signature"] for x in found} == want and 10 < len(want) < 55
+    assert len(found) == len(want)
