@@ -462,8 +462,13 @@ def _compared(sets: DataFrame, first: DataFrame, threshold: float, runs: range,
 
 def _with_main(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(set_id, n_tokens, sketch, main, buckets): a row for each set of the buckets to be compared, with its main bucket,
-    the largest, and (members, bucket) of all of them. A set meets its sketch once, whatever the number of its buckets."""
-    own = members.groupBy("set_id").agg(F.collect_list(F.struct("members", "bucket")).alias("buckets"))
+    the largest, and (members, bucket) of all of them. A set meets its sketch once, whatever the number of its buckets.
+
+    Of buckets with the same members the least stays: each of their sets has all of them, so its own list tells which.
+    """
+    # both sums are made where the set's rows are
+    distinct = members.repartition("set_id").groupBy("set_id", "members", "xor_a", "xor_b").agg(F.min("bucket").alias("bucket"))
+    own = distinct.groupBy("set_id").agg(F.collect_list(F.struct("members", "bucket")).alias("buckets"))
     own = own.withColumn("main", F.array_max("buckets")["bucket"])
     return own.join(sets.select("set_id", "n_tokens", "sketch"), "set_id").select("set_id", "n_tokens", "sketch", "main", "buckets")
 
@@ -521,8 +526,6 @@ class NgramJoin:
 
         first = _meeting(sets.select(*CARRIED, F.explode(F.array_distinct("paths")).alias("bucket")))
         members = _compared(sets.select(*CARRIED, "sketch"), first, threshold, range(few, all_runs), levels, small)
-        kept = members.groupBy("members", "xor_a", "xor_b").agg(F.min("bucket").alias("bucket"))
-        members = members.join(kept.select("bucket"), "bucket", "left_semi")
         keys = ["bucket", "left", "right"]
         blocks = _blocks(save(_with_main(members, sets), "ngram-compared"), block)
         near = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(

@@ -316,6 +316,19 @@ def test_sets_meet_their_sketches_once(spark, monkeypatch):
     assert compared.select(F.max(F.size("buckets"))).first()[0] > 3
 
 
+def test_buckets_that_repeat_the_members_of_another_are_left_out_by_each_set(spark):
+    """Of buckets with the same members the least stays, told from a set's own list: memberships meet nothing for it."""
+    same = [(x, 2, 5, 7, bucket) for x in "ab" for bucket in (12, 11, 13)]
+    rows = same + [(x, 3, 8, 9, 20) for x in "abc"] + [(x, 2, 6, 7, 10) for x in "bc"]
+    members = spark.createDataFrame([(x.encode(), *y) for x, *y in rows], "set_id binary, members long, xor_a long, xor_b long, bucket long")
+    sets = spark.createDataFrame([(x.encode(), 9, b"s") for x in "abc"], "set_id binary, n_tokens long, sketch binary")
+    found = ngram_join._with_main(members, sets)
+    want = {b"a": [(2, 11), (3, 20)], b"b": [(2, 10), (2, 11), (3, 20)], b"c": [(2, 10), (3, 20)]}
+    assert {bytes(r.set_id): sorted(map(tuple, r.buckets)) for r in found.collect()} == want
+    assert {r.main for r in found.collect()} == {20}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
 def test_near_duplicates_of_nothing(no_rows):
     assert ngram_join.near_duplicates(no_rows).count() == 0
     assert ngram_join.keep_first(no_rows).count() == 0
