@@ -612,3 +612,44 @@ def test_contents_of_a_home_are_verified_as_each_alone():
     found = [x for b in substring_dedup.verify(46, 0.8)(iter([batch.slice(0, 50), batch.slice(50)])) for x in b.to_pylist()]
     assert {x["signature"] for x in found} == want and 10 < len(want) < 55
     assert len(found) == len(want)
+
+
+def test_pairs_compared_at_once_are_compared_as_each_alone():
+    """Sizes differ, and pairs share much, little or moved parts; none repeats a shingle."""
+    chance = np.random.default_rng(31)
+    contents = []
+    for _ in range(150):
+        x = chance.permutation(400)[: chance.integers(46, 92)]
+        y = x.copy()
+        edited = chance.random(len(y)) < chance.choice([0.01, 0.1, 0.25])
+        y[edited] = 400 + np.arange(edited.sum())
+        y = np.roll(y, chance.integers(0, 30)) if chance.random() < 0.3 else y[: chance.integers(46, len(y) + 1)]
+        contents += [x, y]
+    place, sizes = np.concatenate(contents), np.array([len(x) for x in contents])
+    starts = np.cumsum(sizes) - sizes
+    xs, ys = np.arange(0, 300, 2), np.arange(1, 300, 2)
+    for x, y in ((xs, ys), (ys, xs)):
+        found, at = substring_dedup.similar_pairs(place, starts, sizes, x, y, 46, 0.8)
+        want = [substring_dedup.similar_passages(contents[a], contents[b], 46, 0.8) for a, b in zip(x, y, strict=True)]
+        assert found.tolist() == [w is not None for w in want] and 30 < found.sum() < 120
+        assert [((a, b), (c, d)) for a, b, c, d in at[found].tolist()] == [w for w in want if w]
+
+
+def test_contents_of_one_group_are_not_held_against_each_other(monkeypatch):
+    """What is looked up follows the contents of a signature, not their square, once they are one group."""
+    chance = np.random.default_rng(33)
+    base = chance.integers(0, 2**32, 60, np.uint32)
+    names = ["home", "left", "right", "block", "text_a", "tokens", "parts"]
+    kind = pa.struct([("signature", pa.int64()), ("content", pa.int64()), ("begin", pa.int32()), ("size", pa.int32()), ("shared", pa.bool_())])
+    plain, looked = substring_dedup._hits, []
+    monkeypatch.setattr(substring_dedup, "_hits", lambda x, *rest: (looked.append(len(x)), plain(x, *rest))[1])
+    for n in (100, 400):
+        tokens = np.tile(base, (n, 1))
+        tokens[np.arange(n), 50 + np.arange(n) % 10] = np.arange(n)
+        parts = [[{"signature": 5, "content": i, "begin": 0, "size": 60, "shared": False}] for i in range(n)]
+        columns = [pa.array([5] * n), *(pa.array([0] * n) for _ in range(3)), pa.array(range(n)), pa.array([x.tobytes() for x in tokens])]
+        batch = pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.list_(kind))], names)
+        looked.clear()
+        found = [x for b in substring_dedup.verify(46, 0.8)(iter([batch])) for x in b.to_pylist()]
+        assert {x["content"] for x in found} | {x["other"] for x in found} == set(range(n))
+        assert sum(looked) < 60 * n * 10
