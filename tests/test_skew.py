@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.operators import quality as dq
+from starmill.operators.numbering import range_buckets
 from starmill.plans import star
 from starmill.plans.reports import titleview
 
@@ -73,6 +74,22 @@ def test_fact_is_whole_and_its_product_join_splits_the_hot_product(spark, t, sma
     assert tuple(row) == (LINES, LINES, 1, LINES, LINES, LINES, LINES, hot, 0)
 
 
+def test_a_hot_product_is_a_row_a_bucket(spark, t, small_limits):
+    """By bucket, neither a third of the lines nor a product of theirs meets the products in one task."""
+    keys = ("order_id", "product_id", "line")
+    ranges = range_buckets(t["order_details"].select(*keys), keys, 20)
+    met = star.suppliers_by_bucket(t["order_details"], t["products"], ranges)
+    assert met.filter("product_id = 77").count() <= 20
+    plan = final_plan(met)
+    assert plan.index("Exchange hashpartitioning(product_id") < plan.index("HashAggregate(keys=[__bucket")
+    fact = star.fact_table(t, as_of="2020-12-31", line_key=keys, buckets=20, by_bucket=True)
+    row = fact.agg(
+        F.count("*"), F.countDistinct("fact_id"), F.max("fact_id"), F.count_if(F.col("supplier_id") != F.col("product_id") % 13),
+        F.count("supplier_id"),
+    ).first()
+    assert tuple(row) == (LINES, LINES, LINES, 0, LINES)
+
+
 def test_titleview_splits_the_hot_author(spark, t, small_limits):
     shares = t["order_details"].select(
         F.col("order_id").alias("au_id"), F.col("product_id").alias("title_id"), F.lit(1).alias("au_ord")

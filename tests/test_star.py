@@ -198,3 +198,45 @@ def test_the_bridge_is_shuffled_twice(spark, t, tmp_path):
     dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(employee_id" in x]
     assert len([x for x in dealt if "territory_id" in x]) == 1
     assert not [x for x in dealt if "region_description" in x]
+
+
+def test_whole_fact_rows_do_not_travel_to_the_products(t, spark, tmp_path):
+    """By bucket, only buckets and product ids go to the products, and the fact is the same and in order."""
+    got = star.fact_table(t, as_of=AS_OF, buckets=5, by_bucket=True).orderBy("fact_id").collect()
+    assert [tuple(r) for r in got] == expected_fact()
+
+    files = {}
+    for name in ("orders", "order_details", "products"):
+        t[name].write.parquet(str(tmp_path / name))
+        files[name] = spark.read.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            star.fact_table(files, as_of=AS_OF, buckets=8, by_bucket=True).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = out.getvalue()
+    # lines, orders and what the lines ask of the products; below an exchange by product stand few columns
+    assert text.count("shufflepartitionidpassthrough") == 3
+    lines = text.splitlines()
+    below = [lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning(product_id" in x]
+    assert below and not any("unit_price" in x or "fact_id" in x for x in below)
+
+
+def test_many_lines_meet_large_products_by_bucket(t, spark, tmp_path, monkeypatch):
+    asked = []
+    real = star.suppliers_by_bucket
+    monkeypatch.setattr(star, "suppliers_by_bucket", lambda *x: asked.append(1) or real(*x))
+    t["products"].write.parquet(str(tmp_path / "products"))
+    files = {**t, "products": spark.read.parquet(str(tmp_path / "products"))}
+    star.fact_table(files, as_of=AS_OF, buckets=3)
+    monkeypatch.setattr(star, "MANY_LINES", 1)
+    star.fact_table(files, as_of=AS_OF, buckets=3)
+    assert not asked
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
+    try:
+        got = star.fact_table(files, as_of=AS_OF, buckets=3).orderBy("fact_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert asked and [tuple(r) for r in got] == expected_fact()
