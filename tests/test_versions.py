@@ -54,6 +54,20 @@ def broken(spark, n=5):
 # -- replaced tables -----------------------------------------------------------------------
 
 
+def test_numbers_in_order_take_few_bytes(spark, db):
+    """Staged and replaced tables hold 200,000 consecutive numbers in far less than a byte each, and odd values come back."""
+    odd = [(1, None, None), (-(2**63), "", 0.5), (2**63 - 1, "å" * 300, float("nan")), (None, "x", -0.0)]
+    rows = spark.createDataFrame(odd, "id long, t string, x double")
+    for n, df in {"many": spark.range(0, 200_000, 1, 1), "odd": rows.coalesce(1)}.items():
+        replace_table(df, db, n)
+        stage(df, f"{scratch_dir(spark, 'packed')}", n)
+    folder = f"{warehouse.versions_folder(spark, db, 'many')}"
+    sizes = [y.size for x in entries(spark, folder) for y in entries(spark, x.path) if not y.hidden]
+    assert 0 < sum(sizes) < 50_000
+    assert spark.table(f"{db}.many").distinct().count() == 200_000
+    assert sorted(map(str, spark.table(f"{db}.odd").collect())) == sorted(map(str, rows.collect()))
+
+
 def test_a_polling_reader_sees_whole_versions_only(spark, db):
     """Versions differ in rows and columns; at no time is the table missing or a mix of two."""
     versions = [spark.range(100 * (i + 1)).select("id", *[F.lit(i).alias(f"c{j}") for j in range(i)]) for i in range(4)]
