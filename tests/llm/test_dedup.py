@@ -653,3 +653,56 @@ def test_contents_of_one_group_are_not_held_against_each_other(monkeypatch):
         found = [x for b in substring_dedup.verify(46, 0.8)(iter([batch])) for x in b.to_pylist()]
         assert {x["content"] for x in found} | {x["other"] for x in found} == set(range(n))
         assert sum(looked) < 60 * n * 10
+
+
+def test_windows_of_texts_that_repeat_a_line_take_few_steps(monkeypatch):
+    """A shingle that stands a thousand times in a text makes no step for each, and windows are those of the definition."""
+    import numpy as np
+
+    chance = random.Random(8)
+    line = [chance.randrange(2**62) for _ in range(12)]
+    rows = [line * 1000, [chance.randrange(2**62) for _ in range(700)], line[:5], [chance.randrange(9) for _ in range(300)]]
+    tokens = np.array([x for row in rows for x in row], np.uint64)
+    begins = np.cumsum([0, *map(len, rows)])
+    steps = []
+    monkeypatch.setattr(substring_dedup, "_reach", lambda *x, f=substring_dedup._reach: steps.append(1) or f(*x))
+    found = sorted(zip(*(x.tolist() for x in substring_dedup.compact_windows(tokens, begins, 46, 3)), strict=True))
+    assert len(steps) == 2
+    values, want = substring_dedup.mixed(tokens, 3), []
+    bits = np.uint64(len(tokens).bit_length())
+    values = (values >> bits << bits | np.arange(len(tokens), dtype=np.uint64)).tolist()
+    for row, (a, b) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)):
+        todo = [(a, b - 1)] if b - a >= 46 else []
+        while todo:
+            left, right = todo.pop()
+            at = min(range(left, right + 1), key=values.__getitem__)
+            want.append((row, left, at, right))
+            todo += [x for x in ((left, at - 1), (at + 1, right)) if x[1] - x[0] >= 45]
+    assert found == sorted(want)
+
+
+def test_the_first_place_of_a_content_speaks_for_it():
+    """Contents, their last texts and homes are the same wherever batches end; every place passes once."""
+    import pyarrow as pa
+
+    chance = random.Random(12)
+    rows = sorted({(s, chance.randrange(-3, 9), chance.randrange(6)) for s in range(20) for _ in range(chance.choice([1, 3, 60]))})
+    rows = [(*r, 50, chance.randrange(-2, chance.choice([1, 4, 30]))) for r in rows]
+    names, kinds = ["signature", "text_a", "first", "size", "content"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    want = {}
+    for s, t, f, _, c in rows:
+        want.setdefault((s, c), (t, f, t))
+        want[s, c] = (*want[s, c][:2], t)
+    many = {s: sum(x == s for x, _ in want) for s, _ in want}
+    homes = set()
+    for size in (1, 3, 50, 10_000):
+        parts = [list(zip(*rows[i : i + size], strict=True)) for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(p, kinds, strict=True)], names) for p in parts]
+        got = [r for b in substring_dedup.met_contents(iter(batches)) for r in b.to_pylist()]
+        assert sorted(tuple(r[x] for x in names) for r in got) == sorted(rows)
+        first = [r for r in got if r["members"] is not None]
+        assert {(r["signature"], r["content"]): (r["text_a"], r["first"], r["high"]) for r in first} == want
+        assert all(r["members"] == many[r["signature"]] for r in first)
+        homes.add(frozenset((r["signature"], r["home"]) for r in first))
+    assert len(homes) == 1 and len(next(iter(homes))) == len(many)
+    assert list(substring_dedup.met_contents(iter([]))) == []
